@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.llm import sentencepiece_codec
+from webloom.llm import langid, sentencepiece_codec, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +17,17 @@ def op1_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.codec_digest(_table(spark, sf_dir, "documents"))
 
 
+def op5_simhash(spark, sf_dir):
+    return simhash.simhash_components(_table(spark, sf_dir, "documents"))
+
+
+def op7_language(spark, sf_dir):
+    return langid.language_prediction(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op5_simhash": op5_simhash,
+    "op7_language": op7_language,
 }
 ORACLES: dict[str, str] = {}

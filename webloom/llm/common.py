@@ -126,3 +126,25 @@ def components(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).union(links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def logistic(design: np.ndarray, labels: np.ndarray, ridge: float = 1e-2, steps: int = 60) -> np.ndarray:
+    """Weights of a logistic regression by Newton's steps, each shortened until the loss falls."""
+    w = np.zeros(design.shape[1])
+
+    def loss(w):
+        z = design @ w
+        return float((np.logaddexp(0, z) - labels * z).sum() + ridge * (w**2).sum() / 2)
+
+    now = loss(w)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -50, 50)))
+        step = np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + ridge * np.eye(len(w)), design.T @ (labels - p) - ridge * w)
+        size = 1.0
+        while size > 1e-4 and loss(w + size * step) > now:
+            size /= 2
+        w = w + size * step
+        before, now = now, loss(w)
+        if before - now < 1e-9 * max(1.0, before):
+            break
+    return w
