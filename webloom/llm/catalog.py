@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.llm import langid, sentencepiece_codec, simhash
+from webloom.llm import langid, quality, sentencepiece_codec, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,17 +17,27 @@ def op1_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.codec_digest(_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark, sf_dir):
+    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_simhash(spark, sf_dir):
     return simhash.simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark, sf_dir):
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_language(spark, sf_dir):
     return langid.language_prediction(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
+    "op6_quality": op6_quality,
     "op7_language": op7_language,
 }
 ORACLES: dict[str, str] = {}
