@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.llm import langid, quality, sentencepiece_codec, simhash, toxicity
+from webloom.llm import decontaminate, langid, quality, sentencepiece_codec, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,11 +33,16 @@ def op7_language(spark, sf_dir):
     return langid.language_prediction(_table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark, sf_dir):
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
     "op6_quality": op6_quality,
     "op7_language": op7_language,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLES: dict[str, str] = {}
