@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.llm import decontaminate, langid, quality, sentencepiece_codec, simhash, toxicity
+from webloom.llm import decontaminate, langid, quality, repeats, sentencepiece_codec, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op7_language(spark, sf_dir):
     return langid.language_prediction(_table(spark, sf_dir, "documents"))
 
 
+def op8_repeats(spark, sf_dir):
+    return repeats.repeats_digest(_table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark, sf_dir):
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -43,6 +47,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_quality": op6_quality,
     "op7_language": op7_language,
+    "op8_repeats": op8_repeats,
     "op10_decontamination": op10_decontamination,
 }
 ORACLES: dict[str, str] = {}
