@@ -15,7 +15,8 @@ Digits are 64-bit hashes of the bytes (polynomials over random values, odd base,
 hashes over id and text; equal rows have equal spans.
 
 Defined results: null text is empty; texts shorter than the length have no window. Equal rows are copies of each other. Ids may
-be null or repeated. Texts of any length are read in pieces that overlap by one window. Other columns pass through.
+be null or repeated. Texts of any length are read in pieces that overlap by one window. Other columns pass through. The input is
+read three times, in the same order: give a table or a checkpoint.
 """
 
 from __future__ import annotations
@@ -133,7 +134,7 @@ def _runs_of(length: int, gram: int):
         for batch in batches:
             for part in slices(batch, "text", 4 * PIECE):
                 k1, k2 = part.column(0).to_numpy(), part.column(1).to_numpy()
-                for held in _packed(utf8(part.column(3)), length):
+                for held in _packed(utf8(part.column(2)), length):
                     ends = np.cumsum([len(p[2]) for p in held])
                     key, whole, first, last = anchors(np.frombuffer(b"".join(p[2] for p in held), np.uint8), ends, length, gram)
                     if not len(key):
@@ -324,8 +325,9 @@ def _with_spans(df: DataFrame, id_col: str, text_col: str, length: int):
     a, b = F.col(id_col).cast("string"), F.col(text_col).cast("string")
     one, two = F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))
     every = df.select(F.xxhash64(one, two, a.isNull()).alias("k1"), F.xxhash64(two, one).alias("k2"), F.struct(*[F.col(c) for c in df.columns]).alias("row"), b.alias("text"))
+    # What merges copies depends on the rows' order: it reads the source itself and not a shuffle, whose order a retry may change.
+    runs = every.select("k1", "k2", "text").mapInArrow(_runs_of(length, gram), RUNS)
     every = every.repartition(parts, "k1", "k2")
-    runs = every.select("k1", "k2", F.lit(0).alias("unused"), "text").mapInArrow(_runs_of(length, gram), RUNS)
     found = runs.repartition(parts, "spread").sortWithinPartitions("spread").mapInArrow(_grouped, FOUND)
     doubt = found.where("not known").groupBy("k1", "k2").agg(F.collect_set(F.struct("key", "first", "last")).alias("runs"))
     stretches = every.join(doubt.hint("shuffle_hash"), ["k1", "k2"]).select("k1", "k2", "text", "runs").mapInArrow(_stretches(length), STRETCHES)
