@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.llm import decontaminate, langid, quality, repeats, sentencepiece_codec, simhash, toxicity
+from webloom.llm import chat, decontaminate, langid, quality, repeats, sentencepiece_codec, simhash, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.codec_digest(_table(spark, sf_dir, "documents"))
 
 
+def op2_topk(spark, sf_dir):
+    return topk.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_toxicity(spark, sf_dir):
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -37,17 +41,25 @@ def op8_repeats(spark, sf_dir):
     return repeats.repeats_digest(_table(spark, sf_dir, "documents"))
 
 
+def op9_chat(spark, sf_dir):
+    return chat.conversation_digest(_table(spark, sf_dir, "conversations"))
+
+
 def op10_decontamination(spark, sf_dir):
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_topk": op2_topk,
     "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
     "op6_quality": op6_quality,
     "op7_language": op7_language,
     "op8_repeats": op8_repeats,
+    "op9_chat": op9_chat,
     "op10_decontamination": op10_decontamination,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_topk": topk.ORACLE,
+}
