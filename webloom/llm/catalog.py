@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.llm import chat, decontaminate, langid, quality, repeats, sentencepiece_codec, simhash, topk, toxicity
+from webloom.llm import chat, decontaminate, langid, quality, repeats, sentencepiece_codec, simhash, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_topk(spark, sf_dir):
     return topk.nearest(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_warc(spark, sf_dir):
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op4_toxicity(spark, sf_dir):
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -52,6 +56,7 @@ def op10_decontamination(spark, sf_dir):
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_topk": op2_topk,
+    "op3_warc": op3_warc,
     "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
     "op6_quality": op6_quality,
