@@ -197,3 +197,144 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint, component_id) of documents(doc_id, text)."""
     found = near_duplicates(docs)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+#: Words of 64 bits of the wide fingerprint; share of pairs at the similarity that tables may miss; tables' least key width.
+WIDE, MISS, LEAST_BITS = 4, 0.04, 18
+
+
+def differing_share(similarity: float) -> float:
+    """The share of bits in which the fingerprints of two sets of this Jaccard similarity are expected to differ."""
+    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+def wide_fingerprints(texts: list[bytes], words: int) -> np.ndarray:
+    """Rows of ``WIDE`` 64-bit words: SimHash over the distinct shingles of each text."""
+    hashes = [shingle_hashes(t, words) for t in texts]
+    whose = np.repeat(np.arange(len(texts)), [len(h) for h in hashes])
+    flat = np.fromiter((h for hs in hashes for h in hs), np.uint64, len(whose))
+    order = np.lexsort((flat, whose))
+    whose, flat = whose[order], flat[order]
+    fresh = np.ones(len(flat), bool)
+    fresh[1:] = (flat[1:] != flat[:-1]) | (whose[1:] != whose[:-1])
+    whose, flat = whose[fresh], flat[fresh]
+    sizes = np.bincount(whose, minlength=len(texts))
+    out = np.zeros((len(texts), WIDE), np.uint64)
+    for w in range(WIDE):
+        x = (flat + np.uint64(0x9E3779B97F4A7C15 * (w + 1) & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+        octets = (x ^ (x >> np.uint64(29))).view(np.uint8).reshape(-1, 8)
+        for j in range(8):
+            ones = np.bincount(whose * 256 + octets[:, j], minlength=len(texts) * 256).reshape(-1, 256) @ _BYTE_BITS
+            for bit in range(8):
+                out[:, w] |= (2 * ones[:, bit] > sizes).astype(np.uint64) << np.uint64(8 * j + bit)
+    return out
+
+
+def _far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+
+
+def _linked(rows: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Edges (row numbers) of a spanning forest of the rows within the radius of each other."""
+    left, edges = np.arange(len(rows)), []
+    while len(left) > 1:
+        queue, left = [left[0]], left[1:]
+        while queue and len(left):
+            x = queue.pop()
+            near = _far(rows[left], rows[x]) <= radius
+            found, left = left[near], left[~near]
+            edges += [(x, y) for y in found]
+            queue.extend(found.tolist())
+    return edges
+
+
+def _bucket_edges(radius: int, short: int = 8):
+    """Edges within each bucket of batches sorted by key: neighbours at every shift for short buckets, a search for others."""
+
+    def run(batches):
+        held = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            keys = batch.column(0).to_numpy()
+            if held and held[-1].column(0)[-1].as_py() != keys[0]:
+                yield from work(held)
+                held = []
+            edge = np.flatnonzero(keys[1:] != keys[:-1])
+            if len(edge):
+                cut = int(edge[-1]) + 1
+                yield from work([*held, batch.slice(0, cut)])
+                held = [batch.slice(cut)]
+            else:
+                held.append(batch)
+        if held:
+            yield from work(held)
+
+    def work(held):
+        table = pa.Table.from_batches(held)
+        key, ref = table.column(0).to_numpy(), table.column(1).to_numpy()
+        fp = np.column_stack([table.column(2 + w).to_numpy() for w in range(WIDE)]).view(np.uint64)
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        sizes = np.diff(np.concatenate([starts, [len(key)]]))
+        size = np.repeat(sizes, sizes)
+        a, b = [], []
+        for shift in range(1, short):
+            i = np.flatnonzero((key[shift:] == key[:-shift]) & (size[shift:] <= short))
+            i = i[_far(fp[i], fp[i + shift]) <= radius]
+            a.append(ref[i])
+            b.append(ref[i + shift])
+        for s, n in zip(starts[sizes > short].tolist(), sizes[sizes > short].tolist(), strict=True):
+            found = np.array(_linked(fp[s : s + n], radius), np.int64).reshape(-1, 2) + s
+            a.append(ref[found[:, 0]])
+            b.append(ref[found[:, 1]])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+    return run
+
+
+def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id, component): rows whose distinct shingles have about this Jaccard similarity or more are linked.
+
+    Covering tables for the ten differing bits of 64 that a similarity of 0.8 gives would be two thousand; so this mode keys wide
+    fingerprints by bands of their bits. The bands' width follows the logarithm of the number of fingerprints, their number
+    the share ``MISS`` of pairs at the similarity that all of them may miss, at every size of input. Pairs in a bucket are
+    linked if their fingerprints differ in at most the expected number of bits and one and a half standard deviations.
+    """
+    p = differing_share(similarity)
+    total = 64 * WIDE
+    radius = int(round(total * p + 1.5 * (total * p * (1 - p)) ** 0.5))
+    names = [f"f{w}" for w in range(WIDE)]
+    source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+
+    def fingerprint(batches):
+        for batch in batches:
+            for part in slices(batch, "text", 4 << 20):
+                fp = wide_fingerprints(utf8(part.column(1)), words).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(fp[:, w]) for w in range(WIDE)]], ["id", *names])
+
+    fields = [T.StructField("id", source.schema["id"].dataType), *[T.StructField(n, T.LongType()) for n in names]]
+    each = source.mapInArrow(fingerprint, T.StructType(fields)).withColumn("ref", F.xxhash64(*names))
+    each = checkpointed(each)
+    distinct = checkpointed(each.groupBy("ref", *names).agg(F.min("id").alias("least")))
+    count = distinct.count()
+    width = max(LEAST_BITS, int(np.ceil(np.log2(count + 1))))
+    bands = int(np.ceil(np.log(MISS) / np.log(1 - (1 - p) ** width)))
+    chosen = [np.random.default_rng(b).choice(total, width, replace=False) for b in range(bands)]
+
+    def banded(batches):
+        for batch in batches:
+            fp = np.column_stack([batch.column(1 + w).to_numpy() for w in range(WIDE)]).view(np.uint64)
+            for b, bits in enumerate(chosen):
+                key = np.full(len(fp), b, np.uint64)
+                for bit in bits.tolist():
+                    key = (key << np.uint64(1)) | ((fp[:, bit >> 6] >> np.uint64(bit & 63)) & np.uint64(1))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *batch.columns], ["key", "ref", *names])
+
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = distinct.select("ref", *names).mapInArrow(banded, "key long, ref long, " + ", ".join(f"{n} long" for n in names))
+    edges = keyed.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_bucket_edges(radius), "a long, b long").distinct()
+    nodes = components(edges, "a", "b")
+    rooted = distinct.join(nodes, distinct.ref == nodes.node, "left").select("ref", "least", F.coalesce("root", "ref").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    return each.select("id", "ref").join(rooted.join(named, "root").select("ref", "component"), "ref").select("id", "component")
