@@ -44,9 +44,7 @@ def tight_links(text: Column) -> Column:
 def comparable(text: Column) -> Column:
     """What lines are compared by: links as their text, no punctuation, lower case, runs of one word once."""
     x = chain(F.lower(tight_links(text)), [(r"\[([^\]]+)\]\([^\)]+\)", "$1"), (r"mailto:\s*", ""), (r"[^\p{L}\p{N}_\s]", ""), (r"\s+", " ")])
-    words = F.split(F.trim(x), " ")
-    kept = F.filter(words, lambda w, i: (i == 0) | (w != F.get(words, i - 1)))
-    return F.array_join(kept, " ")
+    return F.regexp_replace(F.trim(x), r"(?<=^| )(\S+)( \1)+(?= |$)", "$1")
 
 
 def emails(text: Column) -> Column:
@@ -56,8 +54,7 @@ def emails(text: Column) -> Column:
 
 def similarity(a: Column, b: Column) -> Column:
     """Equal characters at equal places, of the longer text's length; 0 if one is empty."""
-    n = F.least(F.length(a), F.length(b))
-    same = F.size(F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1))))
+    same = F.size(F.filter(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x == y), lambda x: x))
     return F.when((F.length(a) == 0) | (F.length(b) == 0), 0.0).otherwise(same / F.greatest(F.length(a), F.length(b)))
 
 

@@ -18,4 +18,4 @@ def register(name: str, oracle: str | None = None):
     return add
 
 
-from webloom.plans import link_queries, text_queries  # noqa: E402, F401
+from webloom.plans import dedup_queries, link_queries, text_queries, vector_queries  # noqa: E402, F401
