@@ -53,7 +53,7 @@ def leaks_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's token ids, checked by decoding them."""
-    both = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, "text", "token_ids"), "token_ids", "__decoded")
+    both = sentencepiece_codec.encode(docs, "text", "token_ids", decoded_col="__decoded")
     return both.withColumn("n_tokens", F.size("token_ids").cast("long")).withColumn("decodes", F.col("__decoded") == F.coalesce("text", F.lit(""))).drop("__decoded")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that a Python worker holds at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:

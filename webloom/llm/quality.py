@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 
 from webloom.llm.common import logistic, slices, stable_sample, utf8
 
-SAMPLE_ROWS, FIT_LINES, STEPS = 2500, 400, 250
-SLICE = 2 << 20
+SAMPLE_ROWS, FIT_LINES, STEPS = 1500, 400, 200
+SLICE = 1 << 20
 #: Classes of bytes: other, lower, upper, digit, space, stop, shout, symbol.
 CLASSES = np.zeros(256, np.int64)
 for _c, _bytes in enumerate([b"", bytes(range(97, 123)), bytes(range(65, 91)), b"0123456789", b" \t\r\x0b\x0c", b".,;:'\"-()", b"!?", b"#$%&*|@~^_=<>+/\\{}[]`"]):

@@ -33,9 +33,9 @@ from webloom.llm.common import slices, utf8
 
 LENGTH, GRAM = 400, 48
 #: Bytes hashed at once; anchor stretches that a task remembers in order to merge copies.
-PIECE, REMEMBERED = 1 << 20, 400_000
+PIECE, REMEMBERED = 1 << 19, 200_000
 #: Bytes of stretches sorted at once; a larger group is sorted in ranges of its suffixes' offsets.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 2 << 20
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _RANDOM = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -268,7 +268,7 @@ def _resolved(length: int):
         n = sizes - length + 1
         first = table.column(3).to_numpy().astype(np.int64)
         total = int(n.sum())
-        rounds = max(1, total // (2 << 20))
+        rounds = max(1, total // (1 << 19))
         hit = []
         if rounds == 1:
             owner = np.repeat(np.arange(len(n)), n)

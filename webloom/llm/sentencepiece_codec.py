@@ -23,9 +23,11 @@ from pyspark.sql import types as T
 from webloom.llm.common import TwoGenerations, replaced, slices, with_field
 
 #: Distinct marked words kept by a worker: half of the table's two generations.
-TABLE_HALF = 250_000
+TABLE_HALF = 80_000
 #: Longer words are segmented where they occur and not kept.
-LONGEST_KEPT = 48
+LONGEST_KEPT = 32
+#: Bytes of text that are cut into words at once.
+SLICE = 2 << 20
 #: Texts between two marked words: a run of markers (a space is normalized into one) and what follows it up to the next
 #: marker or line feed; markers that nothing follows; a line feed.
 CHUNK = re.compile("[ ▁]*[^ ▁\n]+|[ ▁]+|\n")
@@ -92,20 +94,31 @@ def codec(model: str) -> Codec:
     return Codec(model)
 
 
-def encode(df: DataFrame, text_col: str = "text", ids_col: str = "piece_ids", model: str | None = None) -> DataFrame:
-    """df with the ids of every whole text, without begin or end ids: array<int>, empty for null or empty text."""
+def _id_lists(values: list[bytes]) -> pa.Array:
+    offsets = np.zeros(len(values) + 1, np.int32)
+    np.cumsum([len(v) // 4 for v in values], out=offsets[1:])
+    flat = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(values))])
+    return pa.ListArray.from_arrays(pa.array(offsets), flat)
+
+
+def encode(df: DataFrame, text_col: str = "text", ids_col: str = "piece_ids", model: str | None = None, decoded_col: str | None = None) -> DataFrame:
+    """df with the ids of every whole text, without begin or end ids: array<int>, empty for null or empty text.
+
+    decoded_col: also the library's text for those ids, in the same pass."""
     model = model or default_model()
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, text_col):
+            for part in slices(batch, text_col, SLICE):
                 values = codec(model).encode(part.column(part.schema.get_field_index(text_col)).to_pylist())
-                offsets = np.zeros(len(values) + 1, np.int32)
-                np.cumsum([len(v) // 4 for v in values], out=offsets[1:])
-                flat = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(values))])
-                yield replaced(part, ids_col, pa.ListArray.from_arrays(pa.array(offsets), flat))
+                out = replaced(part, ids_col, _id_lists(values))
+                if decoded_col:
+                    texts = [t for v in values for t in codec(model).decode([np.frombuffer(v, np.int32).tolist()])]
+                    out = replaced(out, decoded_col, pa.array(texts, pa.string()))
+                yield out
 
-    return df.mapInArrow(run, with_field(df.schema, ids_col, T.ArrayType(T.IntegerType())))
+    schema = with_field(df.schema, ids_col, T.ArrayType(T.IntegerType()))
+    return df.mapInArrow(run, with_field(schema, decoded_col, T.StringType()) if decoded_col else schema)
 
 
 def decode(df: DataFrame, ids_col: str = "piece_ids", text_col: str = "decoded", model: str | None = None) -> DataFrame:
@@ -125,7 +138,7 @@ def decode(df: DataFrame, ids_col: str = "piece_ids", text_col: str = "decoded",
 
 def codec_digest(docs: DataFrame, model: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of documents(doc_id, text)."""
-    both = decode(encode(docs.select("doc_id", "text"), "text", "piece_ids", model).drop("text"), "piece_ids", "decoded", model)
+    both = encode(docs.select("doc_id", "text"), "text", "piece_ids", model, "decoded")
     return both.select(
         "doc_id",
         F.size("piece_ids").cast("long").alias("n_tokens"),

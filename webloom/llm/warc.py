@@ -39,6 +39,8 @@ DATE = "19970101000000"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Bytes of payloads in a row of an archive, and rows in a file.
 RUN_BYTES, RUNS = 4 << 20, 8
+#: Bytes fed to the decompressor at once.
+FED = 4096
 EMPTY_MEMBER = gzip.compress(b"", 9, mtime=0)
 
 
@@ -145,18 +147,21 @@ def convert(data: bytes, name_of: Callable = identifier, refers: Callable | None
 
 def members(data: bytes) -> Iterator[bytes]:
     """The contents of a gzip file's members; bytes that aren't gzip come as they are."""
-    view = memoryview(data)
-    while len(view):
-        if bytes(view[:2]) != b"\x1f\x8b":
-            yield bytes(view)
+    view, at = memoryview(data), 0
+    while at < len(view):
+        if bytes(view[at : at + 2]) != b"\x1f\x8b":
+            yield bytes(view[at:])
             return
-        one = zlib.decompressobj(31)
-        out = one.decompress(view)
-        if not one.eof:
-            raise ValueError("the archive ends inside a member")
-        if out:
-            yield out
-        view = view[len(view) - len(one.unused_data) :]
+        one, out = zlib.decompressobj(31), []
+        while not one.eof:  # a little at a time: what is left over behind a member is copied
+            if at >= len(view):
+                raise ValueError("the archive ends inside a member")
+            piece = view[at : at + FED]
+            out.append(one.decompress(piece))
+            at += len(piece)
+        at -= len(one.unused_data)
+        if any(out):
+            yield b"".join(out)
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
