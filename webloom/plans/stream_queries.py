@@ -6,7 +6,6 @@ import uuid
 
 from webloom.operators import graph
 from webloom.plans.catalog import register
-from webloom.session import table
 from webloom.streaming import crawl
 
 
@@ -24,11 +23,11 @@ def _drained(spark, stream, mode="append"):
 
 @register("stream_fresh_pages", "SELECT DISTINCT replace(url, '://www.', '://') AS norm_url FROM pages WHERE url <> ''")
 def stream_fresh_pages(spark, sf_dir):
-    stream = spark.readStream.schema(table(spark, sf_dir, "pages").schema).parquet(f"{sf_dir}/pages.parquet")
+    stream = crawl.table_stream(spark, sf_dir, "pages")
     return _drained(spark, crawl.fresh_pages(stream).select("norm_url"))
 
 
 @register("stream_retries", "SELECT event_id, user_id, ts FROM events WHERE event_type = 'error'")
 def stream_retries(spark, sf_dir):
-    stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parquet")
+    stream = crawl.table_stream(spark, sf_dir, "events")
     return _drained(spark, crawl.retries(stream))

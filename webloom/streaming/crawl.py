@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webloom.functions import urls as U
+from webloom.session import table
 
 
 def stream_of(spark: SparkSession, path: str, files: int = 1) -> DataFrame:
@@ -14,6 +15,15 @@ def stream_of(spark: SparkSession, path: str, files: int = 1) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the tables under a folder as a stream: a folder of Parquet files, or a single file beside the others."""
+    stream = spark.readStream.schema(table(spark, sf_dir, name).schema)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return stream.parquet(f"{sf_dir}/{name}.parquet")
+    return stream.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 def fresh_pages(pages: DataFrame, url: str = "url") -> DataFrame:
     """The first page of each normalized URL. The state holds every URL seen, as the crawl's own does; with an event time, use
     ``fresh_within`` to bound it."""
