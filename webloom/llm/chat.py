@@ -8,7 +8,7 @@ The template marks a turn as ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside te
 backslash between ``<`` and ``|`` gets one more, so that a text can't hold a control string; ``parse`` undoes it exactly. The loss
 mask covers the assistant texts.
 
-Defined results: null texts and roles are empty; messages whose parent is missing or null are roots; messages on a cycle have no
+Defined results: null texts and roles are empty; a null tree id is a tree of its own; messages whose parent is missing or null are roots; messages on a cycle have no
 root and are left out; equal scores are ranked by the smaller leaf. Extra columns aren't read.
 """
 
@@ -56,11 +56,16 @@ def parse(text: str) -> list[tuple[str, str]]:
     return [(unescaped(m[1].replace(NEWLINE, "\n")), unescaped(m[2])) for m in TURN.finditer(text)]
 
 
+def _tree(name: str):
+    """The tree's id in a struct, so that a null id is equal to another in joins."""
+    return F.struct(F.col(name).alias("id")).alias("tree")
+
+
 def paths(messages: DataFrame, tree: str, message: str, parent: str, score: str | None = None) -> DataFrame:
     """(tree, leaf, root, depth, score): every root-to-leaf path by its leaf; score: the sum over the path.
 
     depth counts the messages of a path."""
-    rows = messages.select(F.col(tree).alias("tree"), F.col(message).alias("id"), F.col(parent).alias("up"), F.coalesce(F.col(score).cast("double"), F.lit(0.0)).alias("score") if score else F.lit(0.0).alias("score"))
+    rows = messages.select(_tree(tree), F.col(message).alias("id"), F.col(parent).alias("up"), F.coalesce(F.col(score).cast("double"), F.lit(0.0)).alias("score") if score else F.lit(0.0).alias("score"))
     known = rows.select("tree", F.col("id").alias("up")).distinct().withColumn("there", F.lit(True))
     jumps = rows.join(known, ["tree", "up"], "left").select("tree", "id", F.when(F.col("there"), F.col("up")).alias("up"), F.lit(1).cast("long").alias("depth"), "score")
     jumps = checkpointed(jumps.withColumn("root", F.when(F.col("up").isNull(), F.col("id"))))
@@ -75,7 +80,7 @@ def paths(messages: DataFrame, tree: str, message: str, parent: str, score: str
         if reach[1] == before and reach[1] and reach[0] > 2 * jumps.count():
             break  # what still moves goes round in circles
     done = jumps.where("root is not null")
-    return done.join(leaves, ["tree", "id"], "left_anti").select("tree", F.col("id").alias("leaf"), "root", "depth", "score")
+    return done.join(leaves, ["tree", "id"], "left_anti").select(F.col("tree.id").alias("tree"), F.col("id").alias("leaf"), "root", "depth", "score")
 
 
 def chosen(found: DataFrame, best: int | None = None) -> DataFrame:
@@ -87,7 +92,7 @@ def chosen(found: DataFrame, best: int | None = None) -> DataFrame:
 
 def _members(messages: DataFrame, leaves: DataFrame, tree: str, message: str, parent: str) -> DataFrame:
     """(tree, leaf, id, back): the messages of the chosen paths, back replies before the leaf: the paths' reach doubles at each self-join."""
-    up = messages.select(F.col(tree).alias("tree"), F.col(message).alias("id"), F.col(parent).alias("to"))
+    up = messages.select(_tree(tree), F.col(message).alias("id"), F.col(parent).alias("to"))
     real = up.join(up.select("tree", F.col("id").alias("to")).distinct(), ["tree", "to"], "left_semi")
     hop = checkpointed(real.select("tree", "id", "to"))
     found = checkpointed(leaves.select("tree", "leaf", F.col("leaf").alias("id"), F.lit(0).cast("long").alias("back")))
@@ -108,12 +113,14 @@ TURNS = "turns: array<struct<role: string, text: string>>"
 
 def conversations(messages: DataFrame, tree: str = "tree_id", message: str = "message_id", parent: str = "parent_id", role: str = "role", text: str = "text", score: str | None = None, best: int | None = None) -> DataFrame:
     """(tree, rank, leaf, n_turns, formatted, loss_spans): each chosen path as one conversation."""
-    picked = checkpointed(chosen(paths(messages, tree, message, parent, score), best))
+    ranked = chosen(paths(messages, tree, message, parent, score), best)
+    picked = checkpointed(ranked.withColumn("tree", _tree("tree")))
     members = _members(messages, picked, tree, message, parent)
-    bodies = messages.select(F.col(tree).alias("tree"), F.col(message).alias("id"), F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
+    bodies = messages.select(_tree(tree), F.col(message).alias("id"), F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
     turns = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("back")).alias("at"), "role", "text"))), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
     whole = members.join(bodies, ["tree", "id"]).groupBy("tree", "leaf").agg(turns.alias("turns"))
-    return format_turns(whole.join(picked.select("tree", "leaf", "rank"), ["tree", "leaf"]))
+    placed = whole.join(picked.select("tree", "leaf", "rank"), ["tree", "leaf"])
+    return format_turns(placed.withColumn("tree", F.col("tree.id")))
 
 
 def format_turns(whole: DataFrame) -> DataFrame:

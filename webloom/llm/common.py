@@ -43,6 +43,13 @@ def with_field(schema: T.StructType, name: str, kind: T.DataType) -> T.StructTyp
     return T.StructType([f for f in schema.fields if f.name != name] + [T.StructField(name, kind, True)])
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, or one made from it that no column has."""
+    while name.lower() in {c.lower() for c in columns}:
+        name = "_" + name
+    return name
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``most`` bytes in ``column`` each; a longer value stands alone, whole."""
     array = batch.column(batch.schema.get_field_index(column))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from webloom.llm.common import slices, utf8
+from webloom.llm.common import slices, unused, utf8
 
 LENGTH, GRAM = 400, 48
 #: Bytes hashed at once; anchor stretches that a task remembers in order to merge copies.
@@ -372,14 +372,16 @@ def _mapped(df: DataFrame, spans_col: str, text_col: str, schema: T.StructType,
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """df, same columns, its texts without the repeated windows. A character that a cut leaves incomplete goes too; a null text stays null."""
-    found, columns = repeats(df, id_col, text_col, length, "repeat_spans"), df.columns
+    columns = df.columns
+    spans_col = unused("repeat_spans", columns)
+    found = repeats(df, id_col, text_col, length, spans_col)
 
     def shortened(part, texts, spans):
         old = part.column(part.schema.get_field_index(text_col))
         new = pa.array([None if not x.is_valid else cut(t, s).decode("utf-8", "ignore") if s else t.decode() for x, t, s in zip(old, texts, spans, strict=True)], pa.string())
         return pa.RecordBatch.from_arrays([new if c == text_col else part.column(part.schema.get_field_index(c)) for c in columns], columns)
 
-    return _mapped(found, "repeat_spans", text_col, df.schema, shortened)
+    return _mapped(found, spans_col, text_col, df.schema, shortened)
 
 
 DIGEST = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"

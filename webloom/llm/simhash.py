@@ -200,7 +200,7 @@ def simhash_components(docs: DataFrame) -> DataFrame:
 
 
 #: Words of 64 bits of the wide fingerprint; share of pairs at the similarity that tables may miss; tables' least key width.
-WIDE, MISS, LEAST_BITS = 4, 0.04, 18
+WIDE, MISS, LEAST_BITS = 8, 0.02, 18
 
 
 def differing_share(similarity: float) -> float:
@@ -299,11 +299,11 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Covering tables for the ten differing bits of 64 that a similarity of 0.8 gives would be two thousand; so this mode keys wide
     fingerprints by bands of their bits. The bands' width follows the logarithm of the number of fingerprints, their number
     the share ``MISS`` of pairs at the similarity that all of them may miss, at every size of input. Pairs in a bucket are
-    linked if their fingerprints differ in at most the expected number of bits and one and a half standard deviations.
+    linked if their fingerprints differ in at most the expected number of bits and two standard deviations.
     """
     p = differing_share(similarity)
     total = 64 * WIDE
-    radius = int(round(total * p + 1.5 * (total * p * (1 - p)) ** 0.5))
+    radius = int(round(total * p + 2 * (total * p * (1 - p)) ** 0.5))
     names = [f"f{w}" for w in range(WIDE)]
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 

@@ -34,8 +34,8 @@ STEMS = (4, 5, 6, 7)
 #: Cyrillic and Greek letters and others by the Latin letter they look like.
 LOOKALIKES = dict(zip("аесорхуіјѕһԁԛԝьгтпкмнвᴀαβεικνορτυχγωσñłøđ", "aecopxyijshdqwbrtnkmhbaabeiknoptuxywonlod", strict=True))
 DIGITS = dict(zip("0134578", "oieastb", strict=True))
-_SIGNS = re.compile(r"(?<=[^\W\d_])[@$!](?=[^\W\d_])")
-_SIGN = {"@": "a", "$": "s", "!": "i"}
+_SIGNS = re.compile(r"(?<=[^\W\d_])(?:[@$]+|!(?=[^\W\d_]))")
+_SIGN = str.maketrans("@$!", "asi")
 WORD = re.compile(r"\w+")
 
 
@@ -56,7 +56,7 @@ FOLDS = _Folds()
 def fold(text: str) -> str:
     """The text as the lexicon sees it."""
     if "@" in text or "$" in text or "!" in text:
-        text = _SIGNS.sub(lambda m: _SIGN[m[0]], text)
+        text = _SIGNS.sub(lambda m: m[0].translate(_SIGN), text)
     return text.translate(FOLDS)
 
 
