@@ -85,3 +85,30 @@ def diverse(found: DataFrame, docs: DataFrame, id_col: str, vector: str, k: int,
 
     kind = found.schema["id"].dataType.simpleString()
     return rows.groupBy("query_id").applyInPandas(choose, f"query_id {kind}, rank int, id {kind}")
+
+
+def hashing(width: int):
+    """Texts as unit vectors of signed word counts by hash: needs no model, and is the same everywhere."""
+
+    def vectors(texts: list[str]) -> list[list[float]]:
+        from zlib import crc32
+
+        out = np.zeros((len(texts), width))
+        for i, text in enumerate(texts):
+            for word in text.lower().split():
+                h = crc32(word.encode())
+                out[i, h % width] += 1 if h >> 31 else -1
+        return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-300)).tolist()
+
+    return vectors
+
+
+def embed(df: DataFrame, text: str, out: str, model=None, width: int = 64) -> DataFrame:
+    """df with a vector for each text, in Arrow batches. model: texts -> vectors; without one the hashing embedder. Null counts as empty."""
+    vectors = model or hashing(width)
+
+    @F.pandas_udf("array<double>")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(list(vectors(["" if t is None else t for t in texts])), index=texts.index)
+
+    return df.withColumn(out, run(F.col(text)))

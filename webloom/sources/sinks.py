@@ -30,3 +30,8 @@ def write_report(report: DataFrame, path: str) -> None:
 def save_state(state: DataFrame, path: str) -> None:
     """A crawl's state; written whole before it takes the old one's place, by the writer's commit."""
     state.write.mode("overwrite").json(path)
+
+
+def observed(pages: DataFrame, observation) -> DataFrame:
+    """pages, whose numbers of rows and of errors the observation has once an action has run: no pass of its own."""
+    return pages.observe(observation, F.count(F.lit(1)).alias("pages"), F.count("error").alias("errors"))
