@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -94,8 +95,6 @@ def is_listed(text: Column, markers: list[str], least: int) -> Column:
 
 def resolve_any():
     """The general resolver as an Arrow function, for references with dots, queries or no leading slash."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def joined(base: pd.Series, href: pd.Series) -> pd.Series:
         from urllib.parse import urljoin
