@@ -116,3 +116,53 @@ def test_similar_documents_at_the_shingle_similarity(spark):
     found = {r["id"]: r["component"] for r in simhash.similar_documents(clashing(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
     assert all(found[100 + i] == found[i] == i for i in range(40))
     assert all(found[200 + i] == 200 + i for i in range(40))
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def shingles(text, n=5):
+    words = (text or "").lower().split()
+    return {" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def groups(ids, linked):
+    """The smallest id that links reach, for each id."""
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in linked:
+        x, y = sorted([find(a), find(b)])
+        root[y] = x
+    return {i: find(i) for i in ids}
+
+
+def test_similar_documents_never_link_below_the_similarity(spark):
+    draw = np.random.default_rng(2)
+    words = [f"w{i}" for i in range(5000)]
+    base = [[words[i] for i in draw.integers(0, 5000, 300)] for _ in range(40)]
+    rows = [(i, " ".join(b)) for i, b in enumerate(base)]
+    rows += [(100 + i, " ".join(b[:-42] + [words[j] for j in draw.integers(0, 5000, 42)])) for i, b in enumerate(base)]  # a similarity of 0.75
+    found = {r["id"]: r["component"] for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {i: i for i, _ in rows}
+
+
+@pytest.mark.parametrize("block", [1 << 20, 400])
+def test_similar_documents_are_those_of_all_pairs(spark, sf_dir, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    sets = {r["doc_id"]: shingles(r["text"]) for r in docs.collect()}
+    linked = [(a, b) for a, b in combinations(sorted(sets), 2) if min(len(sets[a]), len(sets[b])) >= 0.8 * max(len(sets[a]), len(sets[b])) and jaccard(sets[a], sets[b]) >= 0.8]
+    found = {r["id"]: r["component"] for r in simhash.similar_documents(docs).collect()}
+    assert found == groups(sets, linked)
+
+
+def test_a_failed_link_is_tried_again_with_the_others():
+    sets = [np.arange(0, 100), np.arange(20, 120), np.arange(10, 110)]  # neighbours at 0.82, the first two at 0.67
+    rows = np.zeros((3, simhash.WIDE), np.uint64)
+    assert sorted(simhash._similar(rows, [s.astype(np.uint64) for s in sets], 100, 0.8)) == [(0, 2), (2, 1)]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from webloom.llm.common import checkpointed, components, slices, utf8
+from webloom.llm.common import checkpointed, components, release, slices, utf8
 
 BITS = 64
 #: Distinct fingerprints of a bucket that is searched as it is.
@@ -200,7 +200,9 @@ def simhash_components(docs: DataFrame) -> DataFrame:
 
 
 #: Words of 64 bits of the wide fingerprint; share of pairs at the similarity that tables may miss; tables' least key width.
-WIDE, MISS, LEAST_BITS = 8, 0.02, 18
+WIDE, MISS, LEAST_BITS = 8, 0.01, 18
+#: Shingles of candidates that one task compares at once; candidates that are broadcast.
+BLOCK, BROADCAST = 1 << 19, 1 << 18
 
 
 def differing_share(similarity: float) -> float:
@@ -208,8 +210,8 @@ def differing_share(similarity: float) -> float:
     return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
 
-def wide_fingerprints(texts: list[bytes], words: int) -> np.ndarray:
-    """Rows of ``WIDE`` 64-bit words: SimHash over the distinct shingles of each text."""
+def shingle_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, sizes): the distinct shingles of each text, in ascending order, one text after another."""
     hashes = [shingle_hashes(t, words) for t in texts]
     whose = np.repeat(np.arange(len(texts)), [len(h) for h in hashes])
     flat = np.fromiter((h for hs in hashes for h in hs), np.uint64, len(whose))
@@ -217,15 +219,31 @@ def wide_fingerprints(texts: list[bytes], words: int) -> np.ndarray:
     whose, flat = whose[order], flat[order]
     fresh = np.ones(len(flat), bool)
     fresh[1:] = (flat[1:] != flat[:-1]) | (whose[1:] != whose[:-1])
-    whose, flat = whose[fresh], flat[fresh]
-    sizes = np.bincount(whose, minlength=len(texts))
-    out = np.zeros((len(texts), WIDE), np.uint64)
+    return flat[fresh], np.bincount(whose[fresh], minlength=len(texts))
+
+
+def _mixed(flat: np.ndarray, w: int) -> np.ndarray:
+    x = (flat + np.uint64(0x9E3779B97F4A7C15 * (w + 1) & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(29))
+
+
+def set_keys(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each set: the sum of its mixed hashes; the empty set's is zero."""
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(flat, WIDE), dtype=np.uint64)])
+    ends = np.cumsum(sizes)
+    return total[ends] - total[ends - sizes]
+
+
+def wide_fingerprints(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Rows of ``WIDE`` 64-bit words: SimHash over each set of shingles."""
+    n = len(sizes)
+    whose = np.repeat(np.arange(n), sizes) * 256
+    out = np.zeros((n, WIDE), np.uint64)
     for w in range(WIDE):
-        x = (flat + np.uint64(0x9E3779B97F4A7C15 * (w + 1) & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-        octets = (x ^ (x >> np.uint64(29))).view(np.uint8).reshape(-1, 8)
+        octets = _mixed(flat, w).view(np.uint8).reshape(-1, 8)
         for j in range(8):
-            ones = np.bincount(whose * 256 + octets[:, j], minlength=len(texts) * 256).reshape(-1, 256) @ _BYTE_BITS
+            ones = np.bincount(whose + octets[:, j], minlength=n * 256).reshape(-1, 256) @ _BYTE_BITS
             for bit in range(8):
                 out[:, w] |= (2 * ones[:, bit] > sizes).astype(np.uint64) << np.uint64(8 * j + bit)
     return out
@@ -293,30 +311,145 @@ def _bucket_edges(radius: int, short: int = 8):
     return run
 
 
+def _similar(rows: np.ndarray, sets: list[np.ndarray], radius: int, similarity: float) -> list[tuple[int, int]]:
+    """Edges (row numbers) of a spanning forest of the sets that have the Jaccard similarity; rows beyond the radius aren't compared."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    left, edges = np.arange(len(sets)), []
+    while len(left) > 1:
+        queue, left = [left[0]], left[1:]
+        while queue and len(left):
+            x = queue.pop()
+            least, most = np.minimum(sizes[left], sizes[x]), np.maximum(sizes[left], sizes[x])
+            at = np.flatnonzero((least >= similarity * most - 1e-6) & (_far(rows[left], rows[x]) <= radius))
+            if not len(at):
+                continue
+            flat = np.concatenate([sets[y] for y in left[at]])
+            place = np.minimum(np.searchsorted(sets[x], flat), max(sizes[x] - 1, 0))
+            both = np.concatenate([[0], np.cumsum(sets[x][place] == flat)]) if sizes[x] else np.zeros(len(flat) + 1, np.int64)
+            ends = np.cumsum(sizes[left[at]])
+            common = both[ends] - both[ends - sizes[left[at]]]
+            union = sizes[left[at]] + sizes[x] - common
+            near = np.zeros(len(left), bool)
+            near[at[(union == 0) | (common / np.maximum(union, 1) >= similarity)]] = True
+            found, left = left[near], left[~near]
+            edges += [(x, y) for y in found]
+            queue.extend(found.tolist())
+    return edges
+
+
+def _group_edges(radius: int, similarity: float):
+    """(whole, a, b) within each group of batches sorted by key, by the sets themselves: b is linked to a, the first of its rows."""
+
+    def edges(held):
+        ref = np.concatenate([b.column(1).to_numpy() for b in held])
+        _, once = np.unique(ref, return_index=True)
+        if len(once) < 2:
+            return None
+        fp = np.concatenate([np.column_stack([b.column(4 + w).to_numpy() for w in range(WIDE)]) for b in held]).view(np.uint64)
+        sets = [np.frombuffer(x.as_py(), np.uint64) for b in held for x in b.column(3)]
+        first = np.arange(len(once))
+        for x, y in _similar(fp[once], [sets[i] for i in once.tolist()], radius, similarity):
+            first[y] = first[x]
+        linked = np.flatnonzero(first != np.arange(len(once)))
+        whole = pa.array(np.full(len(linked), held[0].column(2)[0].as_py() == 1))
+        return pa.RecordBatch.from_arrays([whole, pa.array(ref[once][first[linked]]), pa.array(ref[once][linked])], ["whole", "a", "b"])
+
+    def run(batches):
+        held, last = [], None
+        for batch in batches:
+            if not len(batch):
+                continue
+            keys = batch.column(0).to_numpy()
+            starts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]]).tolist()
+            for s, e in zip(starts[:-1], starts[1:], strict=True):
+                if held and keys[s] != last:
+                    if (out := edges(held)) is not None:
+                        yield out
+                    held = []
+                held.append(batch.slice(s, e - s))
+                last = keys[s]
+        if held and (out := edges(held)) is not None:
+            yield out
+        release()
+
+    return run
+
+
+def similar_nodes(source: DataFrame, members: DataFrame, words: int, radius: int, similarity: float) -> DataFrame:
+    """(node, root): components of the sets of shingles that have the similarity, for members (ref, root, n, text_key) of source(text, text_key).
+
+    The members of a root with over ``BLOCK`` shingles are dealt into blocks, and every two blocks meet in one task, so that each
+    two members of a root are compared, whatever their number.
+    """
+    parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = members.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
+    wanted = checkpointed(members.join(blocks, "root").select("text_key", "ref", "root", F.greatest("blocks", F.lit(1)).cast("long").alias("blocks")))
+    if wanted.count() <= BROADCAST:
+        wanted = F.broadcast(wanted)
+    else:
+        source = source.dropDuplicates(["text_key"])
+    texts = source.join(wanted, "text_key").select("text", "ref", "root", "blocks")
+    names = [f"f{w}" for w in range(WIDE)]
+
+    def sets(batches):
+        seen = set()
+        for batch in batches:
+            for part in slices(batch, "text"):
+                fresh = []
+                for i, ref in enumerate(part.column(1).to_pylist()):
+                    if ref not in seen:
+                        seen.add(ref)
+                        fresh.append(i)
+                part = part.take(pa.array(fresh, pa.int64()))
+                flat, sizes = shingle_sets(utf8(part.column(0)), words)
+                same = set_keys(flat, sizes).view(np.int64) == part.column(1).to_numpy()
+                fp = wide_fingerprints(flat, sizes).view(np.int64)
+                ends = np.cumsum(sizes)
+                each = pa.array([flat[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary())
+                out = pa.RecordBatch.from_arrays([part.column(1), part.column(2), part.column(3), each, *[pa.array(fp[:, w]) for w in range(WIDE)]], ["ref", "root", "blocks", "items", *names])
+                yield out.filter(pa.array(same))
+        release()
+
+    rows = texts.mapInArrow(sets, "ref long, root long, blocks long, items binary, " + ", ".join(f"{n} long" for n in names))
+    own = F.pmod(F.xxhash64("ref"), F.col("blocks"))
+    others = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).otherwise(F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: j != F.col("own")))
+    met = rows.withColumn("own", own).withColumn("other", F.explode(others))
+    key = F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other"))
+    dealt = met.select(key.alias("key"), "ref", "blocks", "items", *names).repartition(parts, "key").sortWithinPartitions("key")
+    found = checkpointed(dealt.mapInArrow(_group_edges(radius, similarity), "whole boolean, a long, b long"))
+    nodes, parted = found.where("whole").select(F.col("b").alias("node"), F.col("a").alias("root")), found.where("not whole")
+    return nodes if parted.isEmpty() else nodes.union(components(parted, "a", "b"))
+
+
 def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(id, component): rows whose distinct shingles have about this Jaccard similarity or more are linked.
+    """(id, component): rows whose distinct shingles have this Jaccard similarity or more are linked.
 
     Covering tables for the ten differing bits of 64 that a similarity of 0.8 gives would be two thousand; so this mode keys wide
     fingerprints by bands of their bits. The bands' width follows the logarithm of the number of fingerprints, their number
-    the share ``MISS`` of pairs at the similarity that all of them may miss, at every size of input. Pairs in a bucket are
-    linked if their fingerprints differ in at most the expected number of bits and two standard deviations.
+    the share ``MISS`` of pairs at the similarity that all of them may miss, at every size of input. Pairs in a bucket whose
+    fingerprints differ in at most the expected number of bits and six standard deviations are candidates only. Within what
+    candidates connect, rows are linked by the sets of shingles themselves, so that no link is below the similarity. Equality of
+    shingles and of sets rests on 64-bit hashes. The input is read twice: give a table or a checkpoint.
     """
     p = differing_share(similarity)
     total = 64 * WIDE
-    radius = int(round(total * p + 2 * (total * p * (1 - p)) ** 0.5))
+    radius = int(round(total * p + 6 * (total * p * (1 - p)) ** 0.5))
     names = [f"f{w}" for w in range(WIDE)]
-    source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    source = df.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"))
 
     def fingerprint(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                fp = wide_fingerprints(utf8(part.column(1)), words).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(fp[:, w]) for w in range(WIDE)]], ["id", *names])
-
-    fields = [T.StructField("id", source.schema["id"].dataType), *[T.StructField(n, T.LongType()) for n in names]]
-    each = source.mapInArrow(fingerprint, T.StructType(fields)).withColumn("ref", F.xxhash64(*names))
-    each = checkpointed(each)
-    distinct = checkpointed(each.groupBy("ref", *names).agg(F.min("id").alias("least")))
+                flat, sizes = shingle_sets(utf8(part.column(1)), words)
+                fp = wide_fingerprints(flat, sizes).view(np.int64)
+                ref = set_keys(flat, sizes).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(ref), pa.array(sizes), *[pa.array(fp[:, w]) for w in range(WIDE)]], ["id", "text_key", "ref", "n", *names])
+        release()
+
+    fields = [source.schema["id"], *[T.StructField(n, T.LongType()) for n in ["text_key", "ref", "n", *names]]]
+    each = checkpointed(source.mapInArrow(fingerprint, T.StructType(fields)))
+    distinct = checkpointed(each.groupBy("ref", "n", *names).agg(F.min("id").alias("least"), F.min("text_key").alias("text_key")))
     count = distinct.count()
     width = max(LEAST_BITS, int(np.ceil(np.log2(count + 1))))
     bands = int(np.ceil(np.log(MISS) / np.log(1 - (1 - p) ** width)))
@@ -333,8 +466,10 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = distinct.select("ref", *names).mapInArrow(banded, "key long, ref long, " + ", ".join(f"{n} long" for n in names))
-    edges = keyed.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_bucket_edges(radius), "a long, b long").distinct()
-    nodes = components(edges, "a", "b")
+    candidates = keyed.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_bucket_edges(radius), "a long, b long").distinct()
+    groups = components(candidates, "a", "b")
+    members = distinct.join(groups, distinct.ref == groups.node).select("ref", "root", "n", "text_key")
+    nodes = similar_nodes(source.select("text", "text_key"), members, words, radius, similarity)
     rooted = distinct.join(nodes, distinct.ref == nodes.node, "left").select("ref", "least", F.coalesce("root", "ref").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component"))
     return each.select("id", "ref").join(rooted.join(named, "root").select("ref", "component"), "ref").select("id", "component")
