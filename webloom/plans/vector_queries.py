@@ -122,3 +122,24 @@ def rag_map_reduce(spark, sf_dir):
     part = F.concat(F.lit("Summarise for question "), F.col("query_id").cast("string"), F.lit(": "), "t")
     mapped = _cosine(spark, sf_dir, 3).join(texts, "id").select("query_id", "rank", part.alias("part"))
     return mapped.groupBy("query_id").agg(F.concat(F.lit("Combine: "), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "part"))), lambda x: x["part"]), " || ")).alias("prompt"))
+
+
+#: Rows that the reference's retriever hands to its chains.
+RETRIEVED = 30
+
+
+def _retrieved(spark, sf_dir):
+    """(query_id, rank, text): the retriever's rows with their whole texts."""
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text"))
+    return _cosine(spark, sf_dir, RETRIEVED).join(texts, "id").select("query_id", "rank", "text")
+
+
+def _in_order(column, by):
+    """A group's values of the column as one text, best first."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", column))), lambda x: x[column]), by)
+
+
+@register("rag_stuff_whole")
+def rag_stuff_whole(spark, sf_dir):
+    """The 'stuff' chain: every retrieved text, whole, in one context, best first; held against a plain loop in the tests."""
+    return _retrieved(spark, sf_dir).groupBy("query_id").agg(_in_order("text", "\n").alias("context"), F.count("*").alias("n"))
