@@ -143,3 +143,12 @@ def _in_order(column, by):
 def rag_stuff_whole(spark, sf_dir):
     """The 'stuff' chain: every retrieved text, whole, in one context, best first; held against a plain loop in the tests."""
     return _retrieved(spark, sf_dir).groupBy("query_id").agg(_in_order("text", "\n").alias("context"), F.count("*").alias("n"))
+
+
+@register("rag_map_reduce_whole")
+def rag_map_reduce_whole(spark, sf_dir):
+    """A prompt for each retrieved text, whole, best first, and the one that combines them; a model would answer between the two."""
+    part = F.concat(F.lit("Summarise for question "), F.col("query_id").cast("string"), F.lit(": "), F.coalesce("text", F.lit("")))
+    mapped = _retrieved(spark, sf_dir).select("query_id", "rank", part.alias("part"))
+    prompts = F.transform(F.array_sort(F.collect_list(F.struct("rank", "part"))), lambda x: x["part"])
+    return mapped.groupBy("query_id").agg(prompts.alias("prompts"), F.concat(F.lit("Combine: "), _in_order("part", " || ")).alias("prompt"))
