@@ -31,11 +31,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
+    """One row of each group of near copies: that of the smallest id, null last. Rows of one id and other texts are decided each for itself."""
     found = simhash.similar_documents(docs)
-    kept = found.where(F.col("id") == F.col("component")).select(F.col("id").alias("doc_id")).distinct()
-    single = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return single.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    kept = found.where("kept").select(F.col("row_key").alias("__row")).distinct()
+    rows = docs.withColumn("__row", simhash.row_key("doc_id", "text")).join(kept, "__row", "left_semi")
+    return rows.groupBy("__row").agg(F.min(F.struct(*docs.columns)).alias("__first")).select("__first.*")  # equal rows once
 
 
 def passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +46,10 @@ def passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def leaks_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark window in them."""
-    found = decontaminate.matches(docs, _table(spark, sf_dir, "benchmark"))
-    leaking = found.where(F.size("spans") > 0).select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(leaking, "doc_id", "left_anti").select(*docs.columns)
+    keyed = docs.withColumn("__row", simhash.row_key("doc_id", "text"))
+    found = decontaminate.matches(keyed, _table(spark, sf_dir, "benchmark"), "__row")
+    leaking = found.where(F.size("spans") > 0).select(F.col("id").alias("__row")).distinct()
+    return keyed.join(leaking, "__row", "left_anti").select(*docs.columns)
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -81,3 +81,16 @@ def test_rows_of_every_kind_and_none(spark, documents, sf_dir):
         empty = stage(spark, documents.where("false"), sf_dir)
         assert empty.columns == documents.columns and empty.collect() == []
     assert corpus_pipeline.tokens_stage(spark, documents, sf_dir).count() == documents.count()
+
+
+def test_rows_that_share_an_id_or_have_none_are_decided_each_for_itself(spark, sf_dir):
+    draw = __import__("random").Random(3)
+    a, b, c, d = (" ".join(f"w{draw.randrange(5000)}" for _ in range(200)) for _ in range(4))
+    leak = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first()["text"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    table = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema)
+    texts = lambda df: sorted((str(r["doc_id"]), r["text"]) for r in df.collect())
+    near = table([(1, a), (2, a + " more"), (2, b), (3, c), (3, d), (None, c), (None, leak), (None, leak)])
+    assert texts(corpus_pipeline.near_copies_stage(spark, near, sf_dir)) == sorted([("1", a), ("2", b), ("3", c), ("3", d), ("None", leak)])
+    leaks = table([(1, a), (2, leak), (2, b), (None, leak), (None, c)])
+    assert texts(corpus_pipeline.leaks_stage(spark, leaks, sf_dir)) == sorted([("1", a), ("2", b), ("None", c)])

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -421,22 +421,28 @@ def similar_nodes(source: DataFrame, members: DataFrame, words: int, radius: int
     return nodes if parted.isEmpty() else nodes.union(components(parted, "a", "b"))
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """A 64-bit key of a row's id and text; null is no value of either."""
+    return F.xxhash64(F.col(id_col).isNull(), id_col, F.col(text_col).isNull(), F.col(text_col).cast("string"))
+
+
 def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(id, component): rows whose distinct shingles have this Jaccard similarity or more are linked.
+    """(id, row_key, component, kept): rows whose distinct shingles have this Jaccard similarity or more are linked.
 
     Covering tables for the ten differing bits of 64 that a similarity of 0.8 gives would be two thousand; so this mode keys wide
     fingerprints by bands of their bits. The bands' width follows the logarithm of the number of fingerprints, their number
     the share ``MISS`` of pairs at the similarity that all of them may miss, at every size of input. Pairs in a bucket whose
     fingerprints differ in at most the expected number of bits and six standard deviations are candidates only. Within what
     candidates connect, rows are linked by the sets of shingles themselves, so that no link is below the similarity. Equality of
-    shingles and of sets rests on 64-bit hashes. The input is read twice: give a table or a checkpoint.
+    shingles and of sets rests on 64-bit hashes. ``kept`` tells the row with the smallest id (null last) of all that links reach;
+    rows are told apart by ``row_key``, so that rows of one id and other texts are decided each for itself. The input is read twice: give a table or a checkpoint.
     """
     p = differing_share(similarity)
     total = 64 * WIDE
     radius = int(round(total * p + 6 * (total * p * (1 - p)) ** 0.5))
     names = [f"f{w}" for w in range(WIDE)]
     text = F.col(text_col).cast("string")
-    source = df.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"))
+    source = df.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"), row_key(id_col, text_col).alias("row_key"))
 
     def fingerprint(batches):
         for batch in batches:
@@ -444,12 +450,12 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 flat, sizes = shingle_sets(utf8(part.column(1)), words)
                 fp = wide_fingerprints(flat, sizes).view(np.int64)
                 ref = set_keys(flat, sizes).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(ref), pa.array(sizes), *[pa.array(fp[:, w]) for w in range(WIDE)]], ["id", "text_key", "ref", "n", *names])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(3), part.column(2), pa.array(ref), pa.array(sizes), *[pa.array(fp[:, w]) for w in range(WIDE)]], ["id", "row_key", "text_key", "ref", "n", *names])
         release()
 
-    fields = [source.schema["id"], *[T.StructField(n, T.LongType()) for n in ["text_key", "ref", "n", *names]]]
+    fields = [source.schema["id"], *[T.StructField(n, T.LongType()) for n in ["row_key", "text_key", "ref", "n", *names]]]
     each = checkpointed(source.mapInArrow(fingerprint, T.StructType(fields)))
-    distinct = checkpointed(each.groupBy("ref", "n", *names).agg(F.min("id").alias("least"), F.min("text_key").alias("text_key")))
+    distinct = checkpointed(each.groupBy("ref", "n", *names).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row_key")).alias("least"), F.min("text_key").alias("text_key")))
     count = distinct.count()
     width = max(LEAST_BITS, int(np.ceil(np.log2(count + 1))))
     bands = int(np.ceil(np.log(MISS) / np.log(1 - (1 - p) ** width)))
@@ -471,5 +477,6 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = distinct.join(groups, distinct.ref == groups.node).select("ref", "root", "n", "text_key")
     nodes = similar_nodes(source.select("text", "text_key"), members, words, radius, similarity)
     rooted = distinct.join(nodes, distinct.ref == nodes.node, "left").select("ref", "least", F.coalesce("root", "ref").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    return each.select("id", "ref").join(rooted.join(named, "root").select("ref", "component"), "ref").select("id", "component")
+    named = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    found = each.select("id", "row_key", "ref").join(rooted.join(named, "root").select("ref", "first"), "ref")
+    return found.select("id", "row_key", F.col("first.id").alias("component"), (F.col("row_key") == F.col("first.row_key")).alias("kept"))
