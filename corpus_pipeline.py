@@ -39,8 +39,9 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages that occur elsewhere; those of which nothing is left go."""
-    cut = repeats.remove_repeats(docs, length=PASSAGE_BYTES).where(F.col("text").isNull() | (F.trim("text") != ""))
+    """Documents without passages that occur elsewhere; those that the cut left nothing of go."""
+    blank = docs.withColumn("__blank", F.trim("text") == "")
+    cut = repeats.remove_repeats(blank, length=PASSAGE_BYTES).where(F.col("text").isNull() | F.col("__blank") | (F.trim("text") != ""))
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

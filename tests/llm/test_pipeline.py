@@ -94,3 +94,10 @@ def test_rows_that_share_an_id_or_have_none_are_decided_each_for_itself(spark, s
     assert texts(corpus_pipeline.near_copies_stage(spark, near, sf_dir)) == sorted([("1", a), ("2", b), ("3", c), ("3", d), ("None", leak)])
     leaks = table([(1, a), (2, leak), (2, b), (None, leak), (None, c)])
     assert texts(corpus_pipeline.leaks_stage(spark, leaks, sf_dir)) == sorted([("1", a), ("2", b), ("None", c)])
+
+
+def test_documents_blank_on_input_are_not_dropped_as_repeats(spark, sf_dir):
+    passage = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, ""), (2, "  "), (3, None), (4, passage), (5, passage)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.passages_stage(spark, docs, sf_dir).collect()) == [1, 2, 3]
