@@ -33,8 +33,7 @@ def expected(rows, length=400):
 
 
 def test_documents_of_every_kind(documents):
-    small = documents.where("text is null or length(text) < 20000").checkpoint()
-    assert rows_of(repeats.repeats_digest(clashing(small))) == expected([(r["doc_id"], r["text"]) for r in small.collect()])
+    assert rows_of(repeats.repeats_digest(clashing(documents))) == expected([(r["doc_id"], r["text"]) for r in documents.collect()])
 
 
 def test_the_query_over_the_table(spark, sf_dir):
@@ -65,11 +64,32 @@ def test_many_copies_of_one_text_in_many_partitions(spark):
     assert rows_of(repeats.repeats_digest(df)) == expected(rows)
 
 
+@pytest.mark.parametrize(("hot", "local"), [(3, 1), (40, 2), (100_000, 100_000)])
+def test_a_passage_among_many_different_neighbours(spark, monkeypatch, hot, local):
+    """Anchors at its borders meet in as many stretches as there are documents: below and above the bounds, the same result."""
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "LOCAL", local)
+    draw = np.random.default_rng(5)
+    word = lambda n: " ".join("".join(draw.choice(list("etaoinshrd"), 5)) for _ in range(n))
+    passage = word(90)
+    rows = [(i, f"{word(int(draw.integers(0, 90)))} {passage[: 500 + i % 3]} {word(int(draw.integers(0, 90)))}") for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).checkpoint()
+    assert rows_of(repeats.repeats_digest(df)) == expected(rows)
+
+
+def test_a_text_of_many_pieces(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "PIECE", 5000)
+    draw = np.random.default_rng(6)
+    text = "".join(draw.choice(list("abcdefgh "), 40_000))
+    rows = [(1, text), (2, text[7_000:21_500]), (3, text[39_000:] + text[:450]), (4, text[:100])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2).checkpoint()
+    assert rows_of(repeats.repeats_digest(df)) == expected(rows)
+
+
 def test_sorting_only_through_the_threshold():
     data = b"abcabcabdabcabc"
-    sums = repeats.prefix_sums(np.frombuffer(data, np.uint8))
     at = np.arange(len(data) - 5)
-    got = repeats.sort_through(sums, at, 6)
+    got = repeats.sort_through(np.frombuffer(data, np.uint8), at, 6)
     seen = Counter(data[i : i + 6] for i in at)
     assert sorted(got.tolist()) == [i for i in at.tolist() if seen[data[i : i + 6]] > 1]
 

@@ -79,7 +79,7 @@ def utf8(column) -> list[bytes]:
 
 
 def release() -> None:
-    """Gives a worker's free memory back to the system: the next stage's heap stands beside it."""
+    """Gives a worker's free memory back to the system: the JVM's heap and the next stage's workers stand beside it."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -87,6 +87,19 @@ def release() -> None:
         pass
 
 
+def lean(run):
+    """run(batches) for an Arrow worker, whose Arrow memory comes from the system's allocator and goes back at the end."""
+
+    def wrapped(batches):
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
 class TwoGenerations:
     """A bounded table of what was computed for a key: when the young half is full, the old half goes."""
 

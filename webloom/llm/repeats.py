@@ -7,16 +7,19 @@ drops groups of one. The digits, most significant first:
 1. The window's anchor: the leftmost smallest hash among its 48-byte strings. Equal windows have equal anchors at equal
    places, and neighbouring windows share theirs, so that this pass moves one row for about 170 suffixes.
 2. All windows of an anchor together: if their whole stretch occurs again, all of them are repeated, and they leave the sort.
-   Occurrences of a stretch within a task are merged before the shuffle, so a group of copies sends two rows a task.
-3. For the stretches left, where copies begin, end or differ: the stretch's bytes go to their anchor's group, and its
-   suffixes are sorted by digits of a quarter of the length each.
+   Occurrences of a stretch within a task are merged before the shuffle, so a group of copies sends two rows a task, and so does
+   an anchor among many different stretches: what a task has of it beyond ``LOCAL`` goes straight to the next pass.
+3. For the stretches left, where copies begin, end or differ: their suffixes are sorted by digits of a quarter of the length
+   each. The stretches of an anchor meet in one task, up to ``HOT`` of them. The suffixes of anchors with more are dealt out
+   one by one by their own digits, merged within a task as above, so that no anchor's group grows with the corpus.
 
-Digits are 64-bit hashes of the bytes (polynomials over random values, odd base, mod 2^64). Rows are told apart by two 64-bit
-hashes over id and text; equal rows have equal spans.
+Digits are hashes of the bytes: polynomials over random values, odd base, mod 2^64. Suffixes and stretches count as equal only
+if two such hashes, of other values and bases, are: 128 bits. Rows are told apart by two 64-bit hashes over id and text; equal
+rows have equal spans.
 
 Defined results: null text is empty; texts shorter than the length have no window. Equal rows are copies of each other. Ids may
 be null or repeated. Texts of any length are read in pieces that overlap by one window. Other columns pass through. The input is
-read three times, in the same order: give a table or a checkpoint.
+read more than once, in the same order: give a table or a checkpoint.
 """
 
 from __future__ import annotations
@@ -29,44 +32,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from webloom.llm.common import slices, unused, utf8
+from webloom.llm.common import checkpointed, lean, slices, unused, utf8
 
 LENGTH, GRAM = 400, 48
 #: Bytes hashed at once; anchor stretches that a task remembers in order to merge copies.
-PIECE, REMEMBERED = 1 << 19, 200_000
-#: Bytes of stretches sorted at once; a larger group is sorted in ranges of its suffixes' offsets.
+PIECE, REMEMBERED = 1 << 18, 100_000
+#: Different stretches of an anchor that a task sends to the anchor's group; stretches of an anchor that are sorted in one task.
+LOCAL, HOT = 8, 2048
+#: Bytes of stretches sorted at once.
 GROUP_BYTES = 2 << 20
 _MASK = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15
-_RANDOM = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOW = np.uint64((1 << 24) - 1)
 
 
-class _Powers:
-    """Powers of the base and of its inverse, mod 2^64, as many as asked for so far."""
+class _Hash:
+    """A polynomial hash mod 2^64: random values for bytes; powers of the base and of its inverse, as many as asked for so far."""
 
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
+    def __init__(self, base: int, seed: int):
+        self.base, self.up, self.down = base, np.ones(1, np.uint64), np.ones(1, np.uint64)
+        self.values = np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+    def powers(self, n: int) -> None:
         if len(self.up) <= n:
             size = max(n + 1, 2 * len(self.up))
-            for name, factor in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            for name, factor in (("up", self.base), ("down", pow(self.base, -1, 1 << 64))):
                 x = np.full(size, np.uint64(factor), np.uint64)
                 x[0] = 1
                 setattr(self, name, np.cumprod(x, dtype=np.uint64))
-        return self.up, self.down
 
+    def sums(self, buffer: np.ndarray) -> np.ndarray:
+        """Prefix sums, for ``of``."""
+        self.powers(len(buffer))
+        out = np.zeros(len(buffer) + 1, np.uint64)
+        np.cumsum(self.values[buffer] * self.up[: len(buffer)], out=out[1:])
+        return out
 
-_POWERS = _Powers()
+    def of(self, sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """The hashes of buffer[start:stop]."""
+        return (sums[stop] - sums[start]) * self.down[start]
 
 
-def prefix_sums(buffer: np.ndarray) -> np.ndarray:
-    """P with hash of buffer[s:e] = (P[e] - P[s]) * down[s]."""
-    up, _ = _POWERS.get(len(buffer))
-    out = np.zeros(len(buffer) + 1, np.uint64)
-    np.cumsum(_RANDOM[buffer] * up[: len(buffer)], out=out[1:])
-    return out
+_FIRST, _SECOND = _Hash(0x9E3779B97F4A7C15, 7), _Hash(0xC2B2AE3D27D4EB4F, 11)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -85,10 +91,9 @@ def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(buffer: np.ndarray, ends: np.ndarray, length: int, gram: int):
-    """(anchor's hash, hash of the stretch, first and last window start) of each run of windows with one anchor; no window goes over an end."""
-    sums = prefix_sums(buffer)
-    _, down = _POWERS.get(len(buffer))
-    grams = mixed((sums[gram:] - sums[:-gram]) * down[: len(buffer) - gram + 1])
+    """(anchor's hash, two hashes of the stretch, first and last window start) of each run of windows with one anchor; no window goes over an end."""
+    sums = _FIRST.sums(buffer)
+    grams = mixed((sums[gram:] - sums[:-gram]) * _FIRST.down[: len(buffer) - gram + 1])
     least = sliding_minimum((grams & ~_LOW) | np.arange(len(grams), dtype=np.uint64), length - gram + 1)
     at = (least & _LOW).astype(np.int64)
     for end in ends:  # windows that would go over it
@@ -97,75 +102,96 @@ def anchors(buffer: np.ndarray, ends: np.ndarray, length: int, gram: int):
     first, last, place = edge[:-1], edge[1:] - 1, at[edge[:-1]]
     real = place >= 0
     first, last, place = first[real], last[real], place[real]
-    whole = (sums[last + length] - sums[first]) * down[first]
-    whole = mixed(whole + (place - first).astype(np.uint64) * np.uint64(0x94D049BB133111EB) + (last - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    return grams[place], whole, first, last
+    shape = (place - first).astype(np.uint64) * np.uint64(0x94D049BB133111EB) + (last - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    one = mixed(_FIRST.of(sums, first, last + length) + shape)
+    two = mixed(_SECOND.of(_SECOND.sums(buffer), first, last + length) + shape)
+    return grams[place], one, two, first, last
 
 
-def _pieces(texts: list[bytes], length: int):
+def _pieces(texts: list[bytes], length: int, piece: int):
     """(row, offset, bytes) such that every window lies in one piece; short texts come whole."""
     for row, text in enumerate(texts):
-        for start in range(0, max(1, len(text) - length + 1), PIECE):
+        for start in range(0, max(1, len(text) - length + 1), piece):
             if len(text) >= length:
-                yield row, start, text[start : start + PIECE + length - 1]
+                yield row, start, text[start : start + piece + length - 1]
 
 
-def _packed(texts: list[bytes], length: int):
-    """Pieces joined to buffers of about PIECE bytes: (rows, offsets, starts, ends, buffer)."""
+def _packed(texts: list[bytes], length: int, piece: int):
+    """Pieces in lists of about that many bytes."""
     held, size = [], 0
-    for piece in _pieces(texts, length):
-        held.append(piece)
-        size += len(piece[2])
-        if size >= PIECE:
+    for one in _pieces(texts, length, piece):
+        held.append(one)
+        size += len(one[2])
+        if size >= piece:
             yield held
             held, size = [], 0
     if held:
         yield held
 
 
-RUNS = "kind int, spread long, key long, whole long, k1 long, k2 long, first int, last int"
+class _Merged:
+    """What a task has seen: of equal digits the first is to be grouped (0), later ones are known to be repeated (1), and once it
+    must be said that there is another (2)."""
+
+    def __init__(self, most: int = REMEMBERED):
+        self.seen: dict[tuple[int, int], bool] = {}
+        self.most = most
+
+    def kinds(self, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """(kind of each, numbers of those that also go out with kind 2)."""
+        if len(self.seen) > self.most:
+            self.seen.clear()
+        kind, again, seen = np.zeros(len(one), np.int32), [], self.seen
+        for i, pair in enumerate(zip(one.tolist(), two.tolist(), strict=True)):
+            if pair in seen:
+                kind[i] = 1
+                if not seen[pair]:
+                    seen[pair] = True
+                    again.append(i)
+            else:
+                seen[pair] = False
+        return kind, again
+
+
+RUNS = "kind int, spread long, key long, one long, two long, k1 long, k2 long, first int, last int"
 
 
 def _runs_of(length: int, gram: int):
-    """Runs of every row; kind 0: to be grouped; 1: known to be repeated; 2: says only that a stretch is there once more."""
+    """Runs of every row. Kinds 0 to 2 as above; 3: not the only one of its anchor, and to be sorted as it is."""
 
     def run(batches):
-        known: dict[int, bool] = {}
+        merged_runs, stretches = _Merged(), {}
         for batch in batches:
             for part in slices(batch, "text", 4 * PIECE):
                 k1, k2 = part.column(0).to_numpy(), part.column(1).to_numpy()
-                for held in _packed(utf8(part.column(2)), length):
+                for held in _packed(utf8(part.column(2)), length, PIECE):
                     ends = np.cumsum([len(p[2]) for p in held])
-                    key, whole, first, last = anchors(np.frombuffer(b"".join(p[2] for p in held), np.uint8), ends, length, gram)
+                    key, one, two, first, last = anchors(np.frombuffer(b"".join(p[2] for p in held), np.uint8), ends, length, gram)
                     if not len(key):
                         continue
                     which = np.searchsorted(ends, first, side="right")
                     shift = np.array([p[1] for p in held]) - np.concatenate([[0], ends[:-1]])
                     row = np.array([p[0] for p in held])[which]
                     first, last = first + shift[which], last + shift[which]
-                    kind = np.zeros(len(key), np.int32)
-                    extra = []
-                    for i, w in enumerate(whole.tolist()):
-                        if w not in known:
-                            known[w] = False
-                        else:
-                            kind[i] = 1
-                            if not known[w]:
-                                known[w] = True
-                                extra.append(i)
-                    if len(known) > REMEMBERED:
-                        known.clear()
-                    take = np.concatenate([np.arange(len(key)), np.array(extra, np.int64)])
-                    kind = np.concatenate([kind, np.full(len(extra), 2, np.int32)])
-                    key, whole = key[take].view(np.int64), whole[take].view(np.int64)
+                    kind, again = merged_runs.kinds(one, two)
+                    fresh = np.flatnonzero(kind == 0)
+                    for i, k in zip(fresh.tolist(), key[fresh].tolist(), strict=True):
+                        n = stretches[k] = stretches.get(k, 0) + 1
+                        if n > LOCAL:
+                            kind[i] = 3
+                    if len(stretches) > REMEMBERED:
+                        stretches.clear()
+                    take = np.concatenate([np.arange(len(key)), np.array(again, np.int64)])
+                    kind = np.concatenate([kind, np.full(len(again), 2, np.int32)])
                     a, b = k1[row[take]], k2[row[take]]
-                    spread = np.where(kind == 1, a, key)
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (kind, spread, key, whole, a, b, first[take].astype(np.int32), last[take].astype(np.int32))], ["kind", "spread", "key", "whole", "k1", "k2", "first", "last"])
+                    digits = [x[take].view(np.int64) for x in (key, one, two)]
+                    spread = np.where((kind == 1) | (kind == 3), a, digits[0])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (kind, spread, *digits, a, b, first[take].astype(np.int32), last[take].astype(np.int32))], ["kind", "spread", "key", "one", "two", "k1", "k2", "first", "last"])
 
-    return run
+    return lean(run)
 
 
-def _whole_groups(batches, key_col: str, most: int = 1 << 30):
+def _whole_groups(batches, key_col: str):
     """Sorted batches cut anew so that no group of equal keys goes over an end."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -189,68 +215,121 @@ def _whole_groups(batches, key_col: str, most: int = 1 << 30):
 FOUND = "known boolean, key long, k1 long, k2 long, first int, last int"
 
 
+def suffix_digits(buffer: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Both hashes of the first ``length`` bytes of each suffix."""
+    return tuple(mixed(h.of(h.sums(buffer), start, start + length)).view(np.int64) for h in (_FIRST, _SECOND))
+
+
+def _pair(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    out = np.empty(len(one), [("one", np.int64), ("two", np.int64)])
+    out["one"], out["two"] = one, two
+    return out
+
+
+@lean
 def _grouped(batches):
     """Of runs sorted by anchor: those known to be repeated, and those whose anchor occurs again but not with the whole stretch."""
     for held in _whole_groups(batches, "spread"):
         table = pa.Table.from_batches(held)
-        kind, spread, key, whole, k1, k2, first, last = (table.column(i).to_numpy() for i in range(8))
-        done = kind == 1
-        open_ = np.flatnonzero(~done)
+        kind, _, key, one, two, k1, k2, first, last = (table.column(i).to_numpy() for i in range(9))
+        done, sent = np.flatnonzero(kind == 1), np.flatnonzero(kind == 3)
+        open_ = np.flatnonzero((kind == 0) | (kind == 2))
         _, group, n_key = np.unique(key[open_], return_inverse=True, return_counts=True)
-        _, same, n_whole = np.unique(mixed(whole[open_].view(np.uint64)) ^ key[open_].view(np.uint64), return_inverse=True, return_counts=True)
+        _, same, n_whole = np.unique(_pair(one[open_], two[open_]), return_inverse=True, return_counts=True)
         again = n_whole[same] > 1
         own = kind[open_] == 0
-        known = np.concatenate([np.flatnonzero(done), open_[own & again]])
+        known = np.concatenate([done, open_[own & again]])
         doubt = own & ~again & (n_key[group] > 1)
         doubted = np.zeros(len(n_key), bool)
         doubted[group[doubt]] = True
-        witness = np.flatnonzero(own & again & doubted[group])  # one of each stretch that is settled itself, for others to be held against
+        # One of each stretch that is settled itself is a witness: others are held against it.
+        witness = np.flatnonzero(own & again & doubted[group])
         _, one_of = np.unique(same[witness], return_index=True)
-        unsure = open_[np.concatenate([np.flatnonzero(doubt), witness[one_of]])]
+        unsure = np.concatenate([sent, open_[np.concatenate([np.flatnonzero(doubt), witness[one_of]])]])
         take = np.concatenate([known, unsure])
         if len(take):
             flag = np.concatenate([np.ones(len(known), bool), np.zeros(len(unsure), bool)])
             yield pa.RecordBatch.from_arrays([pa.array(flag), *[pa.array(x[take]) for x in (key, k1, k2, first, last)]], ["known", "key", "k1", "k2", "first", "last"])
 
 
-STRETCHES = "key long, k1 long, k2 long, first int, stretch binary"
-
-
-def _stretches(length: int):
-    """The bytes of the runs that are still in doubt."""
+#: kind as in _Merged, for single suffixes of hot anchors; -1: a whole stretch.
+STRETCHES = "kind int, spread long, one long, two long, k1 long, k2 long, first int, last int, stretch binary"
+_NAMES = [c.split()[0] for c in STRETCHES.split(", ")]
+
+
+def _stretches(length: int, text_col: str):
+    """The bytes of the runs that are still in doubt; of hot anchors, the digits of each suffix."""
+
+    def whole(out):
+        n = len(out)
+        columns = [pa.array([-1] * n, pa.int32()), *[pa.array([o[i] for o in out], pa.int64()) for i in (0, 1, 1, 2, 3)]]
+        return pa.RecordBatch.from_arrays([*columns, *[pa.array([o[4] for o in out], pa.int32())] * 2, pa.array([o[5] for o in out], pa.binary())], _NAMES)
+
+    def single(out, seen):
+        sizes = np.fromiter((len(o[5]) for o in out), np.int64, len(out))
+        base, n = np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes - length + 1
+        buffer = np.frombuffer(b"".join(o[5] for o in out), np.uint8)
+        owner = np.repeat(np.arange(len(n)), n)
+        offset = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+        start = base[owner] + offset
+        one, two = suffix_digits(buffer, start, length)
+        kind, again = seen.kinds(one, two)
+        k1, k2, first = (np.array([o[i] for o in out], np.int64) for i in (2, 3, 4))
+        at = first[owner] + offset
+        known = kind == 1  # in runs of neighbours
+        edge = np.ones(len(kind), bool)
+        edge[1:] = ~(known[1:] & known[:-1] & (owner[1:] == owner[:-1]))
+        starts = np.flatnonzero(edge)
+        stops = np.concatenate([starts[1:], [len(kind)]]) - 1
+        lo, hi = np.concatenate([starts, again]).astype(np.int64), np.concatenate([stops, again]).astype(np.int64)
+        kinds = np.concatenate([kind[starts], np.full(len(again), 2, np.int32)])
+        a, b = k1[owner[lo]], k2[owner[lo]]
+        columns = (kinds, np.where(kinds == 1, a, one[lo]), one[lo], two[lo], a, b, at[lo].astype(np.int32), at[hi].astype(np.int32))
+        return pa.RecordBatch.from_arrays([*[pa.array(c) for c in columns], pa.nulls(len(lo), pa.binary())], _NAMES)
 
     def run(batches):
+        seen = _Merged(2 * REMEMBERED)
         for batch in batches:
-            for part in slices(batch, "text", 4 * PIECE):
-                k1, k2 = part.column(0).to_pylist(), part.column(1).to_pylist()
-                out = []
-                for a, b, text, runs in zip(k1, k2, utf8(part.column(2)), part.column(3).to_pylist(), strict=True):
-                    out += [(r["key"], a, b, r["first"], text[r["first"] : r["last"] + length]) for r in runs]
-                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))], ["key", "k1", "k2", "first", "stretch"])
-
-    return run
-
-
-def sort_through(sums: np.ndarray, at: np.ndarray, length: int, passes: int = 4) -> np.ndarray:
+            texts = pa.RecordBatch.from_struct_array(batch.column(2)).column(text_col)
+            for part in slices(pa.RecordBatch.from_arrays([*batch.columns[:2], texts, batch.column(3)], ["k1", "k2", "text", "runs"]), "text", 4 * PIECE):
+                cold, hot, size = [], [], 0
+                for a, b, text, runs in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), utf8(part.column(2)), part.column(3).to_pylist(), strict=True):
+                    for r in runs:
+                        stretch = text[r["first"] : r["last"] + length]
+                        (hot if r["hot"] else cold).append((r["key"], 0, a, b, r["first"], stretch))
+                        size += len(stretch)
+                        if size > GROUP_BYTES:
+                            yield from ([whole(cold)] if cold else []) + ([single(hot, seen)] if hot else [])
+                            cold, hot, size = [], [], 0
+                yield from ([whole(cold)] if cold else []) + ([single(hot, seen)] if hot else [])
+
+    return lean(run)
+
+
+def sort_through(buffer: np.ndarray, at: np.ndarray, length: int, passes: int = 4) -> np.ndarray:
     """Indices of those suffixes whose first ``length`` bytes some other of them has: most significant digit first."""
-    _, down = _POWERS.get(len(sums))
+    sums, second = _FIRST.sums(buffer), _SECOND.sums(buffer)
     alive, group = np.arange(len(at)), np.zeros(len(at), np.uint64)
-    edges = np.linspace(0, length, passes + 1).astype(int)
-    for a, b in zip(edges[:-1], edges[1:], strict=True):
+    edges = np.linspace(0, length, passes + 1).astype(int).tolist()
+    digits = [(_FIRST, sums, a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)] + [(_SECOND, second, 0, length)]
+    for h, from_, a, b in digits:
         start = at[alive]
-        digit = (sums[start + b] - sums[start + a]) * down[start + a]
-        _, inverse, counts = np.unique(mixed(digit) ^ mixed(group * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)), return_inverse=True, return_counts=True)
+        digit = mixed(h.of(from_, start + a, start + b)).view(np.int64)
+        _, inverse, counts = np.unique(mixed(digit.view(np.uint64)) ^ mixed(group * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)), return_inverse=True, return_counts=True)
         keep = counts[inverse] > 1
         alive, group = alive[keep], inverse[keep].astype(np.uint64)
     return alive
 
 
+RESOLVED = "k1 long, k2 long, first int, last int"
+
+
 def _resolved(length: int):
-    """Of stretches sorted by anchor, the runs of windows that occur more than once."""
+    """Of stretches sorted by anchor and single suffixes sorted by digits, the runs of windows that occur more than once."""
 
     def run(batches):
         held, size = [], 0
-        for group in _whole_groups(batches, "key"):
+        for group in _whole_groups(batches, "spread"):
             held += group
             size += sum(b.nbytes for b in group)
             if size >= GROUP_BYTES:
@@ -260,37 +339,29 @@ def _resolved(length: int):
             yield from work(held)
 
     def work(held):
-        table = pa.Table.from_batches(held).combine_chunks()
-        stretches = table.column(4).to_pylist()
+        table = pa.Table.from_batches(held)
+        kind = table.column(0).to_numpy()
+        if (single := np.flatnonzero(kind >= 0)).size:
+            one, two, k1, k2, first, last = (table.column(i).to_numpy()[single] for i in (2, 3, 4, 5, 6, 7))
+            kinds = kind[single]
+            _, same, n = np.unique(_pair(one, two), return_inverse=True, return_counts=True)
+            # A known run of several suffixes goes by its first one's digits; it counts for nothing else.
+            hit = (kinds == 1) | ((kinds == 0) & (np.bincount(same, kinds != 1, len(n))[same] > 1))
+            if hit.any():
+                yield pa.RecordBatch.from_arrays([pa.array(x[hit]) for x in (k1, k2, first, last)], ["k1", "k2", "first", "last"])
+        if not (whole := np.flatnonzero(kind < 0)).size:
+            return
+        table = table.take(pa.array(whole)).combine_chunks()
+        stretches = table.column(8).to_pylist()
         sizes = np.fromiter(map(len, stretches), np.int64, len(stretches))
         base = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        sums = prefix_sums(np.frombuffer(b"".join(stretches), np.uint8))
+        buffer = np.frombuffer(b"".join(stretches), np.uint8)
         n = sizes - length + 1
-        first = table.column(3).to_numpy().astype(np.int64)
-        total = int(n.sum())
-        rounds = max(1, total // (1 << 19))
-        hit = []
-        if rounds == 1:
-            owner = np.repeat(np.arange(len(n)), n)
-            offset = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
-            hit.append(sort_through(sums, base[owner] + offset, length))
-            hit = [(owner[hit[0]], offset[hit[0]])]
-        else:  # equal windows have equal hashes, so a large group can be sorted a share of the hashes at a time
-            _, down = _POWERS.get(len(sums))
-            for share in range(rounds):
-                owner, offset = [], []
-                for lo in range(0, len(n), 4096):
-                    part = n[lo : lo + 4096]
-                    o = np.repeat(np.arange(lo, lo + len(part)), part)
-                    f = np.arange(int(part.sum())) - np.repeat(np.cumsum(part) - part, part)
-                    start = base[o] + f
-                    mine = mixed((sums[start + length] - sums[start]) * down[start]) % np.uint64(rounds) == share
-                    owner.append(o[mine])
-                    offset.append(f[mine])
-                owner, offset = np.concatenate(owner), np.concatenate(offset)
-                got = sort_through(sums, base[owner] + offset, length)
-                hit.append((owner[got], offset[got]))
-        owner, offset = np.concatenate([h[0] for h in hit]), np.concatenate([h[1] for h in hit])
+        first = table.column(6).to_numpy().astype(np.int64)
+        owner = np.repeat(np.arange(len(n)), n)
+        offset = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+        hit = sort_through(buffer, base[owner] + offset, length)
+        owner, offset = owner[hit], offset[hit]
         if not len(owner):
             return
         order = np.lexsort((offset, owner))
@@ -300,11 +371,11 @@ def _resolved(length: int):
         stops = np.concatenate([starts[1:], [len(owner)]]) - 1
         o = owner[starts]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(table.column(i).to_numpy()[o]) for i in (1, 2)] + [pa.array((first[o] + offset[starts]).astype(np.int32)), pa.array((first[o] + offset[stops]).astype(np.int32))],
+            [pa.array(table.column(i).to_numpy()[o]) for i in (4, 5)] + [pa.array((first[o] + offset[starts]).astype(np.int32)), pa.array((first[o] + offset[stops]).astype(np.int32))],
             ["k1", "k2", "first", "last"],
         )
 
-    return run
+    return lean(run)
 
 
 def merged(runs: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -318,37 +389,50 @@ def merged(runs: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _with_spans(df: DataFrame, id_col: str, text_col: str, length: int):
-    """(rows keyed by their content, runs of repeated windows grouped by row)."""
+def _applied(df: DataFrame, id_col: str, text_col: str, length: int, schema: T.StructType, function) -> DataFrame:
+    """function(rows, their texts, their covered stretches) of all rows, in batches."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     gram = min(GRAM, max(1, length // 4))
     a, b = F.col(id_col).cast("string"), F.col(text_col).cast("string")
     one, two = F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))
-    every = df.select(F.xxhash64(one, two, a.isNull()).alias("k1"), F.xxhash64(two, one).alias("k2"), F.struct(*[F.col(c) for c in df.columns]).alias("row"), b.alias("text"))
+    fields = [b.alias(c) if c == text_col else F.col(c) for c in df.columns]
+    every = df.select(F.xxhash64(one, two, a.isNull()).alias("k1"), F.xxhash64(two, one).alias("k2"), F.struct(*fields).alias("row"))
     # What merges copies depends on the rows' order: it reads the source itself and not a shuffle, whose order a retry may change.
-    runs = every.select("k1", "k2", "text").mapInArrow(_runs_of(length, gram), RUNS)
-    every = every.repartition(parts, "k1", "k2")
-    found = runs.repartition(parts, "spread").sortWithinPartitions("spread").mapInArrow(_grouped, FOUND)
-    doubt = found.where("not known").groupBy("k1", "k2").agg(F.collect_set(F.struct("key", "first", "last")).alias("runs"))
-    stretches = every.join(doubt.hint("shuffle_hash"), ["k1", "k2"]).select("k1", "k2", "text", "runs").mapInArrow(_stretches(length), STRETCHES)
-    settled = stretches.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_resolved(length), "k1 long, k2 long, first int, last int")
-    covered = found.where("known").select("k1", "k2", "first", "last").unionByName(settled)
-    return every, covered.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+    runs = every.select("k1", "k2", F.col("row").getField(text_col).alias("text")).mapInArrow(_runs_of(length, gram), RUNS)
+    found = checkpointed(runs.repartition(parts, "spread").sortWithinPartitions("spread").mapInArrow(_grouped, FOUND))
+    open_ = found.where("not known")
+    hot = open_.groupBy("key").count().where(F.col("count") > HOT).select("key", F.lit(True).alias("hot"))
+    doubt = open_.join(hot, "key", "left").groupBy("k1", "k2").agg(F.collect_set(F.struct("key", "first", "last", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("runs"))
+    # Both joins read one shuffle of the rows: they ask for the same columns of it.
+    stretches = every.join(doubt.hint("merge"), ["k1", "k2"]).select("k1", "k2", "row", "runs").mapInArrow(_stretches(length, text_col), STRETCHES)
+    settled = stretches.repartition(parts, "spread").sortWithinPartitions("spread").mapInArrow(_resolved(length), RESOLVED)
+    covered = found.where("known").select("k1", "k2", "first", "last").unionByName(settled).groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+    rows = every.join(covered.hint("merge"), ["k1", "k2"], "left").select("row", "runs")
+    columns = df.columns
+    held = unused("runs", columns)
+
+    def run(batches):
+        for batch in batches:
+            inner = pa.RecordBatch.from_struct_array(batch.column(0))
+            for part in slices(pa.RecordBatch.from_arrays([*inner.columns, batch.column(1)], [*columns, held]), text_col):
+                spans = [[{"start": x, "stop": y} for x, y in merged([(r["first"], r["last"]) for r in runs or []], length)] for runs in part.column(len(columns)).to_pylist()]
+                yield function(part.select(columns), utf8(part.column(part.schema.get_field_index(text_col))), spans)
+
+    return rows.mapInArrow(lean(run), schema)
+
+
+SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType())]))
 
 
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, spans_col: str = "repeat_spans") -> DataFrame:
     """df with the maximal stretches of bytes inside windows that occur again: array<struct<start, stop>>; a column of that name is replaced."""
     source = df.drop(spans_col)
-    every, covered = _with_spans(source, id_col, text_col, length)
-    rows = every.join(covered.hint("shuffle_hash"), ["k1", "k2"], "left").select("row", "runs")
-    kind = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType())]))
 
-    def run(batches):
-        for batch in batches:
-            spans = [[{"start": x, "stop": y} for x, y in merged([(r["first"], r["last"]) for r in runs or []], length)] for runs in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))], ["row", spans_col])
+    def with_spans(part, texts, spans):
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+        return pa.RecordBatch.from_arrays([*part.columns, pa.array(spans, kind)], [*part.schema.names, spans_col])
 
-    return rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField(spans_col, kind)])).select("row.*", spans_col)
+    return _applied(source, id_col, text_col, length, T.StructType([*source.schema.fields, T.StructField(spans_col, SPANS)]), with_spans)
 
 
 def cut(text: bytes, spans: list[dict]) -> bytes:
@@ -360,28 +444,15 @@ def cut(text: bytes, spans: list[dict]) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
-def _mapped(df: DataFrame, spans_col: str, text_col: str, schema: T.StructType, function):
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, text_col):
-                texts = utf8(part.column(part.schema.get_field_index(text_col)))
-                yield function(part, texts, part.column(part.schema.get_field_index(spans_col)).to_pylist())
-
-    return df.mapInArrow(run, schema)
-
-
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """df, same columns, its texts without the repeated windows. A character that a cut leaves incomplete goes too; a null text stays null."""
-    columns = df.columns
-    spans_col = unused("repeat_spans", columns)
-    found = repeats(df, id_col, text_col, length, spans_col)
 
     def shortened(part, texts, spans):
         old = part.column(part.schema.get_field_index(text_col))
-        new = pa.array([None if not x.is_valid else cut(t, s).decode("utf-8", "ignore") if s else t.decode() for x, t, s in zip(old, texts, spans, strict=True)], pa.string())
-        return pa.RecordBatch.from_arrays([new if c == text_col else part.column(part.schema.get_field_index(c)) for c in columns], columns)
+        new = pa.array([None if not valid else cut(t, s).decode("utf-8", "ignore") if s else t.decode() for valid, t, s in zip(old.is_valid().to_pylist(), texts, spans, strict=True)], pa.string())
+        return pa.RecordBatch.from_arrays([new if c == text_col else part.column(i) for i, c in enumerate(part.schema.names)], part.schema.names)
 
-    return _mapped(found, spans_col, text_col, df.schema, shortened)
+    return _applied(df, id_col, text_col, length, df.schema, shortened)
 
 
 DIGEST = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -389,7 +460,7 @@ DIGEST = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 def repeats_digest(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of documents(doc_id, text)."""
-    found = repeats(docs.select("doc_id", "text"))
+    source = docs.select("doc_id", "text")
 
     def digest(part, texts, spans):
         removed = [sum(x["stop"] - x["start"] for x in s) for s in spans]
@@ -397,4 +468,4 @@ def repeats_digest(docs: DataFrame) -> DataFrame:
         columns = [pa.array(list(map(len, texts)), pa.int64()), pa.array(removed, pa.int64()), pa.array(list(map(len, spans)), pa.int64()), pa.array(kept)]
         return pa.RecordBatch.from_arrays([part.column(0), *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return _mapped(found, "repeat_spans", "text", T.StructType([found.schema["doc_id"], *T._parse_datatype_string(DIGEST).fields]), digest)
+    return _applied(source, "doc_id", "text", LENGTH, T.StructType([source.schema["doc_id"], *T._parse_datatype_string(DIGEST).fields]), digest)
