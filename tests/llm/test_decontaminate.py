@@ -6,6 +6,7 @@ import pytest
 
 from tests.llm.conftest import clashing, rows_of
 from webloom.llm import catalog, decontaminate
+from webloom.llm.common import scratch
 
 SPLIT = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -57,7 +58,7 @@ def test_documents_of_every_kind(spark):
 def test_items_in_several_blocks(spark, monkeypatch):
     docs, items = frames(spark)
     one = decontaminate.blocks
-    monkeypatch.setattr(decontaminate, "blocks", lambda *a: one(*a, 40))
+    monkeypatch.setattr(decontaminate, "blocks", lambda *a: one(*a[:4], 40))
     assert rows_of(decontaminate.contamination(docs, items)) == brute(DOCS, ITEMS)
 
 
@@ -77,10 +78,34 @@ def test_the_query_over_the_table(spark, sf_dir):
     assert rows_of(catalog.op10_decontamination(spark, sf_dir)) == brute(docs, items)
 
 
+def stored(spark, docs):
+    decontaminate.write_index(docs, path := scratch(spark, "index"))
+    return decontaminate.read_index(spark, path)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_words_near_each_other(spark, seed):
+    draw = np.random.default_rng(seed)
+    text = lambda n: [str(w) for w in draw.choice(list("abcdef"), n)]
+    docs = {i: text(int(draw.integers(0, 60))) for i in range(40)}
+    items = {str(i): text(int(draw.integers(1, 7))) for i in range(12)}
+    block = decontaminate.Block([(k, [w.encode() for w in v]) for k, v in items.items()], window=4)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in docs.items()], "doc_id long, text string").repartition(2)
+    found = decontaminate.proximity_matches(stored(spark, df), block, slop=2).collect()
+    want = set()
+    for k, words in items.items():
+        for w in [words[i : i + 4] for i in range(max(1, len(words) - 3))]:
+            want |= {(i, k) for i, t in docs.items() for s in range(len(t)) if set(w) <= set(t[s : s + len(w) + 2])}
+    assert {(r["id"], r["item"]) for r in found} == want
+    for r in found:
+        held = docs[r["id"]][r["start"] : r["stop"]]
+        assert any(set(w) <= set(held) and len(held) <= len(w) + 2 for w in [items[r["item"]][i : i + 4] for i in range(max(1, len(items[r["item"]]) - 3))])
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "red x green y blue"), (2, "blue red green"), (3, "red x x x x x x x x green blue"), (4, "red green"), (5, None)], "doc_id long, text string")
     block = decontaminate.Block([("a", [b"red", b"green", b"blue"])])
-    found = decontaminate.proximity_matches(decontaminate.postings(docs, block, runs=False), block, slop=2)
+    found = decontaminate.proximity_matches(stored(spark, docs), block, slop=2)
     assert sorted((r["id"], r["item"], r["start"], r["stop"]) for r in found.collect()) == [(1, "a", 0, 5), (2, "a", 0, 3)]
 
 

@@ -1,13 +1,14 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-``postings`` stores, in the partition of each document, the positions of every word that the test items use (and, for phrases
-only, that stands in a run of such words as long as the shortest window). The index is split by document, so that no word's
-list, however frequent, gathers in one place, and intersections need no shuffle. A query goes from the rarest word of a
-window: its positions, less its offset, are the window's possible starts, and the lists of the other words, offset-adjusted,
-are intersected with them from the next rarest on. ``phrase_matches`` gives exact phrases, ``proximity_matches`` stretches of
-text that hold all of a window's words.
+``write_index`` stores the postings of every word of the documents, in segments of ``SEGMENT_BYTES`` of text: a segment has its
+documents, its distinct words, and each word's running positions. A segment holds whole documents, so that no word's list, however
+frequent, gathers in one place, and intersections need no shuffle. Searches read the stored index, whatever the test items. A query
+goes from the rarest word of a window: its positions, less its offset, are the window's possible starts, and the lists of the
+other words, offset-adjusted, are intersected with them from the next rarest on. ``phrase_matches`` gives exact phrases,
+``proximity_matches`` stretches of text that hold all of a window's words.
 
-Items go to the workers in blocks of ``BLOCK_BYTES``, one pass for each block, so that what is broadcast is bounded.
+Test items are searched for in blocks of ``BLOCK_BYTES``: the driver holds one block at a time, and the workers one. Each further
+block reads the index again; the blocks' results are written before they are united.
 
 Defined results: null or empty text has no words and no hit; an item without words has no window; an item of fewer words than
 a window is one window. An item with a null id causes hits but isn't listed. Repeated items, ids and documents each count as
@@ -17,7 +18,7 @@ they stand. Columns of documents other than the id and the text aren't read.
 from __future__ import annotations
 
 from bisect import bisect_left
-from itertools import repeat
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from webloom.llm.common import slices, utf8
+from webloom.llm.common import lean, scratch, slices, utf8
 
-WINDOW, BLOCK_BYTES = 10, 4 << 20
+WINDOW, BLOCK_BYTES, SEGMENT_BYTES = 10, 4 << 20, 4 << 20
+#: Words that a proximity match may have beyond its window's length.
+SLOP = 5
 #: A-Z lowered; what isn't a digit, a letter or beyond ASCII parts words.
 WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -54,29 +57,35 @@ class Block:
         self.shortest = int(self.lengths.min()) if len(whose) else 0
 
 
-def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, most: int = BLOCK_BYTES) -> list[Block]:
-    """The items in blocks of bounded size, read one after another."""
-    out, held, size = [], [], 0
+def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, most: int = BLOCK_BYTES) -> Iterator[Block]:
+    """The items in blocks of bounded size, read one after another; at least one block."""
+    held, size = [], 0
     for name, text in benchmark.select(F.col(id_col).cast("string"), F.col(text_col).cast("string")).toLocalIterator():
         words = words_of((text or "").encode())
         if held and size + sum(map(len, words)) > most:
-            out.append(Block(held, window))
+            yield Block(held, window)
             held, size = [], 0
         held.append((name, words))
         size += sum(map(len, words))
-    return [*out, Block(held, window)]
+    yield Block(held, window)
 
 
 class Segment:
-    """The postings of some documents under running positions: a list for each term, one after another."""
-
-    def __init__(self, terms: np.ndarray, at: np.ndarray, n_terms: int):
-        order = np.argsort(terms, kind="stable")
-        self.at = at[order]
-        self.counts = np.bincount(terms, minlength=n_terms)
+    """A stored segment's lists of a block's terms, one after another."""
+
+    def __init__(self, terms: list[bytes], counts: np.ndarray, positions: np.ndarray, block: Block):
+        place = {t: i for i, t in enumerate(terms)}
+        local = np.fromiter((place.get(t, -1) for t in block.vocabulary), np.int64, len(block.vocabulary))
+        there = local >= 0
+        self.counts = np.zeros(len(local), np.int64)
+        self.counts[there] = counts[local[there]]
         self.starts = np.concatenate([[0], np.cumsum(self.counts)])
-        self.room = int(at.max()) + 1 if len(at) else 1
-        self.keys = terms[order] * self.room + self.at
+        begins = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+        term = np.repeat(np.arange(len(local)), self.counts)
+        within = np.arange(len(term)) - self.starts[term]
+        self.at = positions[begins[local[term]] + within].astype(np.int64)
+        self.room = int(self.at.max()) + 1 if len(self.at) else 1
+        self.keys = term * self.room + self.at
 
     def has(self, terms: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Whether each position is in its term's list."""
@@ -107,77 +116,101 @@ class Segment:
             window, start = window[ok], start[ok]
         return window, start
 
-    def near(self, block: Block, slop: int) -> list[tuple[int, int, int]]:
-        """(window, first, last) of the shortest stretches with all distinct words of a window in at most its length and slop words."""
-        out = []
-        for w in range(len(block.windows)):
-            need = sorted({int(t) for t in block.windows[w] if t >= 0}, key=lambda t: self.counts[t])
+    def distance(self, terms: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """How far from each position the nearest place in its term's list is."""
+        keys = terms * self.room + at
+        i = np.searchsorted(self.keys, keys)
+        out = np.full(len(keys), self.room, np.int64)
+        for j in (i - 1, i):
+            ok = (j >= self.starts[terms]) & (j < self.starts[terms + 1])
+            out[ok] = np.minimum(out[ok], np.abs(self.at[j[ok]] - at[ok]))
+        return out
+
+    def near(self, block: Block, slop: int, base: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(window, document, first, last) of the shortest stretches with all distinct words of a window in at most its length and slop words.
+
+        base: the first running position of each document."""
+        if not len(self.at) or not len(block.windows):
+            return []
+        sizes = np.where(block.windows >= 0, self.counts[block.windows], np.iinfo(np.int64).max)
+        by_rarity = np.argsort(sizes, axis=1, kind="stable")
+        which = np.flatnonzero((sizes > 0).all(axis=1))
+        terms = block.windows[which, by_rarity[which, 0]]
+        n = self.counts[terms]
+        window = np.repeat(which, n)
+        seed = self.at[np.repeat(self.starts[terms], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)]
+        for rank in range(1, block.windows.shape[1]):  # a word of each kind near enough on either side
+            term = block.windows[window, by_rarity[window, rank]]
+            ok = (term < 0) | (self.distance(np.maximum(term, 0), seed) < block.lengths[window] + slop)
+            window, seed = window[ok], seed[ok]
+        out = set()
+        owner = np.searchsorted(base, seed, side="right") - 1
+        for w, p, own in zip(window.tolist(), seed.tolist(), owner.tolist(), strict=True):
             room = int(block.lengths[w]) + slop
-            lists = [self.at[self.starts[t] : self.starts[t + 1]] for t in need]
-            if not lists or any(not len(x) for x in lists):
-                continue
-            seeds = lists[0]
-            for other in lists[1:]:  # a word of each kind near enough on either side
-                i = np.searchsorted(other, seeds)
-                left = np.where(i > 0, seeds - other[np.maximum(i - 1, 0)], room)
-                right = np.where(i < len(other), other[np.minimum(i, len(other) - 1)] - seeds, room)
-                seeds = seeds[np.minimum(left, right) < room]
-            for p in seeds.tolist():
-                near = sorted((int(q), k) for k, x in enumerate(lists) for q in x[bisect_left(x, p - room + 1) : bisect_left(x, p + room)])
-                best = None
-                last = [-1] * len(lists)
-                for q, k in near:
-                    last[k] = q
-                    if min(last) >= 0 and min(last) <= p <= q and q - min(last) < room and (best is None or q - min(last) < best[1] - best[0]):
-                        best = min(last), q
-                if best:
-                    out.append((w, *best))
-        return sorted(set(out))
-
-
-INDEX = "n_words long, terms array<int>, positions array<int>"
-
-
-def postings(df: DataFrame, block: Block, id_col: str = "doc_id", text_col: str = "text", runs: bool = True) -> DataFrame:
-    """(id, n_words, terms, positions): for each row the block's words in it with their positions. runs: only those in runs of at least the shortest window's length, which is enough for phrases."""
-    source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+            lo, hi = max(p - room + 1, int(base[own])), min(p + room, int(base[own + 1]))
+            lists = [self.at[self.starts[t] : self.starts[t + 1]].tolist() for t in {int(t) for t in block.windows[w] if t >= 0}]
+            near = sorted((q, k) for k, x in enumerate(lists) for q in x[bisect_left(x, lo) : bisect_left(x, hi)])
+            best, last = None, [-1] * len(lists)
+            for q, k in near:
+                last[k] = q
+                if min(last) >= 0 and min(last) <= p <= q and q - min(last) < room and (best is None or q - min(last) < best[1] - best[0]):
+                    best = min(last), q
+            if best:
+                out.add((w, own, *best))
+        return sorted(out)
+
+
+def index_schema(id_type: T.DataType) -> T.StructType:
+    """A segment: its documents in order, its distinct words, how often each occurs, and its running positions, word after word."""
+    rest = T._parse_datatype_string("n_words array<long>, terms array<binary>, counts array<int>, positions array<int>")
+    return T.StructType([T.StructField("ids", T.ArrayType(id_type)), *rest.fields])
+
+
+def _one_list(values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def segments(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The segments of an index of df."""
 
     def run(batches):
-        get = block.vocabulary.get
         for batch in batches:
-            for part in slices(batch, "text"):
-                n_words, terms, places = [], [], []
+            for part in slices(batch, "text", SEGMENT_BYTES):
+                vocabulary: dict[bytes, int] = {}
+                number, ids, n_words = vocabulary.setdefault, [], []
                 for text in utf8(part.column(1)):
                     words = words_of(text)
-                    ids = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
-                    at = np.flatnonzero(ids >= 0)
-                    if runs and len(at):
-                        edge = np.flatnonzero(np.diff(at) > 1) + 1
-                        sizes = np.diff(np.concatenate([[0], edge, [len(at)]]))
-                        at = at[np.repeat(sizes, sizes) >= block.shortest]
                     n_words.append(len(words))
-                    terms.append(ids[at])
-                    places.append(at.astype(np.int32))
-                offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in terms])]).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x) if x else np.zeros(0, np.int32))) for x in (terms, places)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n_words, pa.int64()), *lists], ["id", "n_words", "terms", "positions"])
+                    ids.append(np.fromiter((number(w, len(vocabulary)) for w in words), np.int32, len(words)))
+                sizes = np.array(n_words, np.int64)
+                base = np.cumsum(sizes + 1) - sizes - 1  # a gap between documents, over which no phrase goes
+                terms = np.concatenate(ids)
+                at = np.repeat(base - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(terms))
+                order = np.argsort(terms, kind="stable")
+                counts = np.bincount(terms, minlength=len(vocabulary)).astype(np.int32)
+                columns = [part.column(0), pa.array(sizes), pa.array(list(vocabulary), pa.binary()), pa.array(counts), pa.array(at[order].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([_one_list(c) for c in columns], ["ids", "n_words", "terms", "counts", "positions"])
+
+    source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return source.mapInArrow(lean(run), index_schema(source.schema["id"].dataType))
 
-    return source.mapInArrow(run, T.StructType([T.StructField("id", source.schema["id"].dataType), *T._parse_datatype_string(INDEX).fields]))
 
+def write_index(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
+    """Store the index of df, segment by segment, through Spark's own committer."""
+    segments(df, id_col, text_col).write.option("parquet.block.size", 16 << 20).parquet(path)
 
-def _segment(part: pa.RecordBatch, block: Block):
-    """(the rows' segment, first running position of each row)."""
-    sizes = part.column(1).to_numpy()
-    base = np.concatenate([[0], np.cumsum(sizes + 1)])  # a gap between rows, over which no phrase goes
-    terms, places = part.column(2), part.column(3)
-    counts = np.diff(np.asarray(terms.offsets))
-    at = np.repeat(base[:-1], counts) + places.flatten().to_numpy()
-    return Segment(terms.flatten().to_numpy().astype(np.int64), at, len(block.vocabulary)), base
 
+def read_index(spark, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
-def _pieces(batch: pa.RecordBatch, rows: int = 4000):
-    for start in range(0, len(batch), rows):
-        yield batch.slice(start, rows)
+
+def _opened(batch: pa.RecordBatch, block: Block):
+    """(ids, words of each document, first running position of each, the segment) of every stored segment."""
+    for i in range(len(batch)):
+        ids, n_words, terms, counts, positions = (batch.column(batch.schema.get_field_index(c))[i].values for c in ("ids", "n_words", "terms", "counts", "positions"))
+        sizes = n_words.to_numpy()
+        base = np.concatenate([[0], np.cumsum(sizes + 1)])
+        yield ids, sizes, base, Segment(terms.to_pylist(), counts.to_numpy(), positions.to_numpy(), block)
 
 
 MATCHES = "n_words long, spans array<struct<start:int,stop:int>>, items array<string>"
@@ -195,59 +228,60 @@ def _span_lists(owner: np.ndarray, start: np.ndarray, stop: np.ndarray, rows: in
     return pa.ListArray.from_arrays(offsets, spans)
 
 
+def _own_id(index: DataFrame) -> T.StructField:
+    return T.StructField("id", index.schema["ids"].dataType.elementType)
+
+
 def phrase_matches(index: DataFrame, block: Block) -> DataFrame:
     """(id, n_words, spans, items): runs of words inside occurrences of windows, and the items with occurring windows, as sorted strings."""
 
     def run(batches):
         for batch in batches:
-            for part in _pieces(batch):
-                segment, base = _segment(part, block)
+            for ids, sizes, base, segment in _opened(batch, block):
                 window, start = segment.phrases(block)
                 owner = np.searchsorted(base, start, side="right") - 1
                 order = np.lexsort((start, owner))
                 window, owner, start = window[order], owner[order], (start - base[owner])[order]
-                spans = _span_lists(owner, start, start + block.lengths[window], len(part))
-                found: list[set] = [set() for _ in range(len(part))]
+                spans = _span_lists(owner, start, start + block.lengths[window], len(sizes))
+                found: list[set] = [set() for _ in range(len(sizes))]
                 for row, w in np.unique(np.column_stack([owner, window]), axis=0).tolist():
                     found[row].update(block.items[w])
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), spans, pa.array([sorted(x) for x in found], pa.list_(pa.string()))], ["id", "n_words", "spans", "items"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(sizes), spans, pa.array([sorted(x) for x in found], pa.list_(pa.string()))], ["id", "n_words", "spans", "items"])
 
-    return index.mapInArrow(run, T.StructType([index.schema["id"], *T._parse_datatype_string(MATCHES).fields]))
+    return index.mapInArrow(lean(run), T.StructType([_own_id(index), *T._parse_datatype_string(MATCHES).fields]))
 
 
-def proximity_matches(index: DataFrame, block: Block, slop: int = 5) -> DataFrame:
-    """(id, item, start, stop): stretches of words that hold all distinct words of an item's window, in any order, within its length and slop. The index must be built with runs=False."""
+def proximity_matches(index: DataFrame, block: Block, slop: int = SLOP) -> DataFrame:
+    """(id, item, start, stop): stretches of words that hold all distinct words of an item's window, in any order, within its length and slop."""
 
     def run(batches):
         for batch in batches:
-            for part in _pieces(batch, 500):
-                segment, base = _segment(part, block)
-                rows = []
-                for w, first, last in segment.near(block, slop):
-                    owner = int(np.searchsorted(base, first, side="right") - 1)
-                    if last < base[owner + 1]:
-                        rows += [(owner, item, first - int(base[owner]), last + 1 - int(base[owner])) for item in block.items[w]]
-                ids = part.column(0).take(pa.array([r[0] for r in rows], pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids, pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.int32())], ["id", "item", "start", "stop"])
-
-    return index.mapInArrow(run, T.StructType([index.schema["id"], *T._parse_datatype_string("item string, start int, stop int").fields]))
-
-
-def matches(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """(id, n_words, spans, items) of every row of df against every item of the benchmark. Several blocks are united by row number of a numbered copy, since ids may be repeated."""
-    all_blocks = blocks(benchmark, item_col, item_text_col, window)
-    if len(all_blocks) == 1:
-        return phrase_matches(postings(df, all_blocks[0], id_col, text_col), all_blocks[0])
+            for ids, _, base, segment in _opened(batch, block):
+                rows = [(own, item, first - int(base[own]), last + 1 - int(base[own])) for w, own, first, last in segment.near(block, slop, base) for item in block.items[w]]
+                own = ids.take(pa.array([r[0] for r in rows], pa.int64()))
+                yield pa.RecordBatch.from_arrays([own, pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.int32())], ["id", "item", "start", "stop"])
+
+    return index.mapInArrow(lean(run), T.StructType([_own_id(index), *T._parse_datatype_string("item string, start int, stop int").fields]))
+
+
+def matches(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, most: int = BLOCK_BYTES) -> DataFrame:
+    """(id, n_words, spans, items) of every row of df against every item of the benchmark. Rows are numbered where several blocks' results are united, since ids may be repeated."""
+    spark = df.sparkSession
     numbered = df.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id")).alias("id"), F.col(text_col).alias("text"))
-    each = [phrase_matches(postings(numbered, b, "id", "text"), b) for b in all_blocks]
-    joined = each[0]
-    for more in each[1:]:
-        joined = joined.unionByName(more)
-    merged = joined.groupBy("id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    write_index(numbered, path := scratch(spark, "index"), "id", "text")
+    index, each = read_index(spark, path), blocks(benchmark, item_col, item_text_col, window, most)
+    found, more = phrase_matches(index, next(each)), next(each, None)
+    if more is None:
+        return found.select("id.id", "n_words", "spans", "items")
+    found.write.parquet(united := scratch(spark, "matches"))
+    while more is not None:
+        phrase_matches(index, more).write.mode("append").parquet(united)
+        more = next(each, None)
+    merged = spark.read.parquet(united).groupBy("id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     far = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("stop"))
     start = lambda acc, x: F.when(x["start"] <= F.get(acc, F.lit(0))["stop"], F.concat(F.array(F.struct(F.get(acc, F.lit(0))["start"].alias("start"), F.greatest(F.get(acc, F.lit(0))["stop"], x["stop"]).alias("stop"))), F.slice(acc, 2, F.size(acc)))).otherwise(F.concat(F.array(x), acc))
-    united = F.filter(F.aggregate(F.array_sort("spans"), F.array(far), start), lambda x: x["start"] >= 0)
-    return merged.select("id.id", "n_words", F.array_sort(united).alias("spans"), "items")
+    joined = F.filter(F.aggregate(F.array_sort("spans"), F.array(far), start), lambda x: x["start"] >= 0)
+    return merged.select("id.id", "n_words", F.array_sort(joined).alias("spans"), "items")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
