@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from webloom.llm.common import checkpointed, components, release, slices, utf8
+from webloom.llm.common import checkpointed, components, lean, slices, utf8
 
 BITS = 64
 #: Distinct fingerprints of a bucket that is searched as it is.
@@ -68,7 +68,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
 
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, T.StructType([T.StructField("id", source.schema["id"].dataType), T.StructField("fp", T.LongType())]))
+    return source.mapInArrow(lean(run), T.StructType([T.StructField("id", source.schema["id"].dataType), T.StructField("fp", T.LongType())]))
 
 
 def covering_masks(bits: list[int], radius: int) -> list[int]:
@@ -308,7 +308,7 @@ def _bucket_edges(radius: int, short: int = 8):
             b.append(ref[found[:, 1]])
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
-    return run
+    return lean(run)
 
 
 def _similar(rows: np.ndarray, sets: list[np.ndarray], radius: int, similarity: float) -> list[tuple[int, int]]:
@@ -370,9 +370,8 @@ def _group_edges(radius: int, similarity: float):
                 last = keys[s]
         if held and (out := edges(held)) is not None:
             yield out
-        release()
 
-    return run
+    return lean(run)
 
 
 def similar_nodes(source: DataFrame, members: DataFrame, words: int, radius: int, similarity: float) -> DataFrame:
@@ -408,9 +407,8 @@ def similar_nodes(source: DataFrame, members: DataFrame, words: int, radius: int
                 each = pa.array([flat[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary())
                 out = pa.RecordBatch.from_arrays([part.column(1), part.column(2), part.column(3), each, *[pa.array(fp[:, w]) for w in range(WIDE)]], ["ref", "root", "blocks", "items", *names])
                 yield out.filter(pa.array(same))
-        release()
 
-    rows = texts.mapInArrow(sets, "ref long, root long, blocks long, items binary, " + ", ".join(f"{n} long" for n in names))
+    rows = texts.mapInArrow(lean(sets), "ref long, root long, blocks long, items binary, " + ", ".join(f"{n} long" for n in names))
     own = F.pmod(F.xxhash64("ref"), F.col("blocks"))
     others = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).otherwise(F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: j != F.col("own")))
     met = rows.withColumn("own", own).withColumn("other", F.explode(others))
@@ -451,10 +449,9 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 fp = wide_fingerprints(flat, sizes).view(np.int64)
                 ref = set_keys(flat, sizes).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(3), part.column(2), pa.array(ref), pa.array(sizes), *[pa.array(fp[:, w]) for w in range(WIDE)]], ["id", "row_key", "text_key", "ref", "n", *names])
-        release()
 
     fields = [source.schema["id"], *[T.StructField(n, T.LongType()) for n in ["row_key", "text_key", "ref", "n", *names]]]
-    each = checkpointed(source.mapInArrow(fingerprint, T.StructType(fields)))
+    each = checkpointed(source.mapInArrow(lean(fingerprint), T.StructType(fields)))
     distinct = checkpointed(each.groupBy("ref", "n", *names).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row_key")).alias("least"), F.min("text_key").alias("text_key")))
     count = distinct.count()
     width = max(LEAST_BITS, int(np.ceil(np.log2(count + 1))))
@@ -471,7 +468,7 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *batch.columns], ["key", "ref", *names])
 
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = distinct.select("ref", *names).mapInArrow(banded, "key long, ref long, " + ", ".join(f"{n} long" for n in names))
+    keyed = distinct.select("ref", *names).mapInArrow(lean(banded), "key long, ref long, " + ", ".join(f"{n} long" for n in names))
     candidates = keyed.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_bucket_edges(radius), "a long, b long").distinct()
     groups = components(candidates, "a", "b")
     members = distinct.join(groups, distinct.ref == groups.node).select("ref", "root", "n", "text_key")
