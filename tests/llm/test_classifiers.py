@@ -90,6 +90,83 @@ def test_folding_and_exceptions():
     assert lexicon.features(None) == (0.0, 1.0)
 
 
+def plain_features(lexicon, text):
+    """The sum of weights by looking for every entry at every place."""
+    folded = toxicity.fold(text or "")
+    inner = lambda i: 0 <= i < len(folded) and (folded[i].isalnum() or folded[i] == "_")
+    words, total = [(m.start(), m.group()) for m in toxicity.WORD.finditer(folded)], 0.0
+    for n, (start, word) in enumerate(words):
+        hits = []
+        for entry, weight in lexicon.weights.items():
+            key = entry.rstrip("*")
+            if folded.startswith(key, start) and (entry.endswith("*") or not inner(start + len(key))):
+                hits.append(weight)
+        around = ([f"{words[n - 1][1]} {word}"] if n else []) + ([f"{word} {words[n + 1][1]}"] if n + 1 < len(words) else [])
+        if hits and not set(around) & lexicon.exceptions:
+            total += max(hits)
+    return total
+
+
+def test_the_automaton_finds_what_a_plain_search_finds():
+    draw = np.random.default_rng(4)
+    word = lambda: "".join(draw.choice(list("abcé01-@$ "), int(draw.integers(1, 6))))
+    for _ in range(150):
+        entries = {toxicity.fold(w).strip(): None for w in (word() for _ in range(8))}
+        weights = {e + ("*" if draw.random() < 0.5 else ""): float(draw.random()) for e in entries if toxicity.WORD.fullmatch(e)}
+        text = "".join(draw.choice([word() for _ in range(9)] + [" ", " " * 90, "\n"], 60))
+        pairs = toxicity.WORD.findall(toxicity.fold(text))
+        lexicon = toxicity.Lexicon(weights, {f"{a} {b}" for a, b in zip(pairs[::7], pairs[1::7], strict=False)}, ())
+        assert np.isclose(lexicon.features(text)[0], plain_features(lexicon, text))
+
+
+def test_numbers_stay_numbers_and_long_words_count():
+    assert toxicity.fold("call 455 now, 8008 or x455") == "call 455 now, 8008 or x455"
+    long = "x" * 5000 + "1dea"
+    assert toxicity.terms(long) >= {"x" * 5000 + "idea", "xxxx*"}
+
+
+def test_numerals_are_no_letters():
+    assert langid.words_of("² ½ Ⅷ ① 12") == [] and langid.words_of("aⅧb Straße²") == ["a", "b", "straße"]
+
+
+def test_long_words_are_summed_whole(monkeypatch):
+    pieces = {"▁": (0.1, 0.2), "▁a": (0.2, 0.1), "a": (0.3, 0.1), "b": (0.25, 0.3), "ab": (0.15, 0.2), "": (0.01, 0.02)}
+    model, word = langid.Model(["x", "y"], pieces).ready(), "abbaz" * 4
+    short = model.word(word)
+    arcs = list(model.lattice.arcs("▁" + word))
+    prob = {p: v[0] for p, v in pieces.items()}
+    shares = langid.expected(arcs, len(word) + 1, prob)
+    monkeypatch.setattr(langid, "LINEAR", 0)
+    assert np.allclose(short, model.word(word)) and np.allclose(shares, langid.expected(arcs, len(word) + 1, prob))
+    assert all(np.isfinite(model.word("ab" * 5000)))  # ten thousand letters
+    assert model.texts(["ab" * 5000])[0] == ["x"] or model.texts(["ab" * 5000])[0] == ["y"]
+
+
+def test_long_chains_are_summed_in_stretches():
+    draw = np.random.default_rng(1)
+    for n in (1, 2, 127, 128, 129, 700):
+        unary, transition = 3 * draw.normal(size=n), 2 * draw.normal(size=(2, 2))
+        assert np.allclose(quality.marginals(unary, transition, np.array([n]))[0], quality.chain_marginals(unary, transition, 16 if n < 700 else 128))
+
+
+def test_features_of_long_texts_are_made_block_by_block(monkeypatch):
+    draw = np.random.default_rng(2)
+    text = b"\n".join(bytes(draw.integers(32, 122, int(draw.integers(0, 60))).astype(np.uint8)) for _ in range(900))
+    weights = draw.normal(size=quality.WIDTH)
+    features, sizes, _ = quality.line_features([text])
+    for lines, most in ((100, 1 << 20), (1 << 15, 200), (3, 40)):
+        monkeypatch.setattr(quality, "BLOCK_LINES", lines)
+        monkeypatch.setattr(quality, "SLICE", most)
+        got = quality.long_scores(text, weights)
+        assert np.allclose(got[0], features @ weights) and (got[1] == sizes).all()
+
+
+def test_a_text_of_a_million_lines():
+    field = quality.LineField(np.linspace(-1, 1, quality.WIDTH), np.array([[1.0, -1.0], [-1.0, 1.0]]), 1.0, 0.0)
+    many, few = field.raw([b"\n" * (1 << 20)])[0], field.raw([b"\n" * 3000])[0]
+    assert 0 <= many <= 1 and np.isclose(many, few, atol=1e-3)
+
+
 def test_marginals_are_those_of_all_label_sequences():
     draw = np.random.default_rng(0)
     unary, transition = draw.normal(size=9), draw.normal(size=(2, 2))

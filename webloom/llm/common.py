@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -15,14 +16,18 @@ from pyspark.sql import types as T
 
 #: Bytes of text that a Python worker holds at once.
 SLICE_BYTES = 2 << 20
+#: Edges of a file of a graph's steps.
+EDGES = 200_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset and all run on one machine (tests)."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir")
     current = context._jsc.sc().getCheckpointDir()
     if not current.isDefined():
+        if not named and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
         context.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="webloom-"))
         current = context._jsc.sc().getCheckpointDir()
     return named or current.get()
@@ -122,33 +127,34 @@ class TwoGenerations:
             self.old, self.young = self.young, {}
 
 
-def stable_sample(df: DataFrame, key: str, most: int, by: str | None = None) -> DataFrame:
-    """At most ``most`` rows (of each value of ``by``): those with the smallest hash of the key, at every input size the same rule."""
-    order = [F.xxhash64(F.col(key).cast("string")), F.col(key)]
-    if by is None:
-        return df.orderBy(*order).limit(most)
-    from pyspark.sql import Window
+def stable_sample(df: DataFrame, key: str, most: int, by: str) -> DataFrame:
+    """About ``most`` rows of each value of ``by``, all where there are fewer: those whose key's hash lies in the lowest ``most``/n.
 
-    rank = "__sample_rank"
-    return df.withColumn(rank, F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col(rank) <= most).drop(rank)
+    One rule at every size; the values are counted by partial sums, and no value's rows are gathered. The counts are broadcast: a
+    fitted model holds as many entries as there are values in any case."""
+    counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("__rows")).withColumnRenamed(by, "__by")
+    place = F.pmod(F.xxhash64(F.lit(7), F.col(key).cast("string")), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return df.join(F.broadcast(counts), F.col(by) == F.col("__by")).where(place * F.col("__rows") < most).drop("__by", "__rows")
 
 
 def components(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
     """Connected components as (node, root), root the smallest node that can be reached; only nodes with edges.
 
     Alternates large-star and small-star steps until nothing changes. Each step moves a number of edges that doesn't exceed
-    the input's; a node of very high degree is handled by a pre-aggregated minimum and a join, never collected.
+    the input's; a node of very high degree is handled by a pre-aggregated minimum and a join, never collected. A step's edges are
+    stored in files of some ``EDGES`` each, however many partitions a shuffle has.
     """
     links = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     links = checkpointed(links)
     before = None
+    files = max(1, -(-links.count() // EDGES))
     for _ in range(rounds):
         both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
-        links = checkpointed(small)
+        links = checkpointed(small.coalesce(files))
         state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break

@@ -5,24 +5,28 @@ marginal, and their length-weighted mean, calibrated on the training documents,
 line carries its document's label.
 
 Defined results: null and empty text are one empty line; a table without labels gives 0.5 everywhere. Ids may be null or
-repeated. Whole texts are scored, however long; only the fit is bounded: at most ``SAMPLE_ROWS`` labelled documents of each
-label, of at most ``FIT_LINES`` lines. Extra columns aren't read.
+repeated. Whole texts are scored, however many lines they have: features are made for ``BLOCK_LINES`` at a time, and a long chain
+is summed in stretches, all of them abreast. Only the fit is bounded: about ``SAMPLE_ROWS`` labelled documents of each label, of
+each a window of ``FIT_BYTES`` that begins where a hash of the text says. Extra columns aren't read.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from webloom.llm.common import logistic, slices, stable_sample, utf8
+from webloom.llm.common import lean, logistic, replaced, slices, stable_sample, utf8
 
-SAMPLE_ROWS, FIT_LINES, STEPS = 1500, 400, 200
-SLICE = 1 << 20
+SAMPLE_ROWS, FIT_BYTES, STEPS = 1500, 1 << 14, 200
+#: Bytes and lines whose features are held at once; lines of a chain that are summed one after another.
+SLICE, BLOCK_LINES, STRETCH = 1 << 20, 1 << 15, 128
 #: Classes of bytes: other, lower, upper, digit, space, stop, shout, symbol.
-CLASSES = np.zeros(256, np.int64)
+CLASSES = np.zeros(256, np.uint8)
 for _c, _bytes in enumerate([b"", bytes(range(97, 123)), bytes(range(65, 91)), b"0123456789", b" \t\r\x0b\x0c", b".,;:'\"-()", b"!?", b"#$%&*|@~^_=<>+/\\{}[]`"]):
     CLASSES[list(_bytes)] = _c
 _WIDE_UPPER = np.zeros(256, bool)
@@ -31,33 +35,96 @@ OWN = 14
 WIDTH = 1 + OWN + 8
 
 
+def _shares(line: bytes) -> tuple[np.ndarray, int, int, int]:
+    """(bytes of each class, words, distinct words, words that repeat the one before) of a line."""
+    kinds = np.zeros(8, np.int64)
+    for start in range(0, len(line), SLICE):
+        buffer = np.frombuffer(line, np.uint8)[max(0, start - 1) : start + SLICE]
+        kind = CLASSES[buffer]
+        kind[1:][(buffer[:-1] == 0xC3) & _WIDE_UPPER[buffer[1:]]] = 2  # upper case of Latin-1 letters in UTF-8
+        kinds += np.bincount(kind[start > 0 :], minlength=8)
+    parts = line.split()
+    return kinds, len(parts), len(set(parts)), sum(map(bytes.__eq__, parts, parts[1:]))
+
+
+def own_features(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(features of each line by itself, its bytes)."""
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    if len(lines) == 1:  # however long
+        kinds, *counted = _shares(lines[0])
+        share, words = kinds[None, :].astype(float), np.array([counted], float)
+    else:
+        buffer = np.frombuffer(b"".join(lines), np.uint8)
+        kinds = CLASSES[buffer]
+        if len(buffer) > 1:
+            kinds[1:][(buffer[:-1] == 0xC3) & _WIDE_UPPER[buffer[1:]]] = 2
+        share = np.bincount(np.repeat(np.arange(len(lines)) * 8, sizes) + kinds, minlength=8 * len(lines)).reshape(-1, 8)[:, :8].astype(float)
+        words = np.zeros((len(lines), 3))
+        for i, line in enumerate(lines):
+            parts = line.split()
+            if parts:
+                words[i] = len(parts), len(set(parts)), sum(map(bytes.__eq__, parts, parts[1:]))
+    share /= np.maximum(sizes, 1)[:, None]
+    count = np.maximum(words[:, 0], 1)
+    return np.column_stack([share, words[:, 1] / count, words[:, 2] / count, np.log1p(sizes) / 8, np.log1p(words[:, 0]) / 6, np.minimum(sizes / count / 10, 3), sizes == 0]), sizes
+
+
+#: Of the lines beside a line: upper, shout, symbol, distinct words.
+BESIDE = [2, 6, 7, 8]
+
+
 def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(features by line, bytes by line, lines by text) of some texts."""
-    lines = [line for t in texts for line in t.split(b"\n")]
     counts = np.array([t.count(b"\n") + 1 for t in texts], np.int64)
-    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
-    buffer = np.frombuffer(b"".join(lines), np.uint8)
-    kinds = CLASSES[buffer]
-    if len(buffer) > 1:  # upper case of Latin-1 letters in UTF-8
-        kinds[1:][(buffer[:-1] == 0xC3) & _WIDE_UPPER[buffer[1:]]] = 2
-    share = np.bincount(np.repeat(np.arange(len(lines)) * 8, sizes) + kinds, minlength=8 * len(lines)).reshape(-1, 8)[:, :8].astype(float)
-    n = np.maximum(sizes, 1)[:, None]
-    share /= n
-    words = np.zeros((len(lines), 3))
-    for i, line in enumerate(lines):
-        parts = line.split()
-        if parts:
-            words[i] = len(parts), len(set(parts)), sum(map(bytes.__eq__, parts, parts[1:]))
-    count = np.maximum(words[:, 0], 1)
-    own = np.column_stack([share, words[:, 1] / count, words[:, 2] / count, np.log1p(sizes) / 8, np.log1p(words[:, 0]) / 6, np.minimum(sizes / count / 10, 3), sizes == 0])
-    first = np.zeros(len(lines), bool)
+    own, sizes = own_features([line for t in texts for line in t.split(b"\n")])
+    first = np.zeros(len(own), bool)
     first[np.concatenate([[0], np.cumsum(counts)[:-1]])] = True
     last = np.roll(first, -1)
-    beside = [2, 6, 7, 8]  # upper, shout, symbol, distinct words
-    before, after = np.roll(own[:, beside], 1, axis=0), np.roll(own[:, beside], -1, axis=0)
-    before[first] = own[first][:, beside]
-    after[last] = own[last][:, beside]
-    return np.column_stack([np.ones(len(lines)), own, before, after]), sizes, counts
+    before, after = np.roll(own[:, BESIDE], 1, axis=0), np.roll(own[:, BESIDE], -1, axis=0)
+    before[first] = own[first][:, BESIDE]
+    after[last] = own[last][:, BESIDE]
+    return np.column_stack([np.ones(len(own)), own, before, after]), sizes, counts
+
+
+def line_blocks(text: bytes):
+    """The lines of a text, in lists of bounded size; a line over it stands alone."""
+    at, n = 0, len(text)
+    while True:
+        ends, stop, count = [], at, 0
+        while count < BLOCK_LINES:
+            end = text.find(b"\n", stop)
+            end = n if end < 0 else end
+            if count and end - at > SLICE:
+                break
+            ends.append((stop, end))
+            count += 1
+            stop = end + 1
+            if end == n:
+                yield [text[a:b] for a, b in ends]
+                return
+        yield [text[a:b] for a, b in ends]
+        at = stop
+
+
+def long_scores(text: bytes, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(score of each line, its bytes) of one text, its features made block by block."""
+    scores, sizes, held, before = [], [], None, None
+    for lines in _then_none(line_blocks(text)):
+        made = own_features(lines) if lines is not None else None
+        if held is not None:
+            own, size = held
+            ahead = np.vstack([own[1:, BESIDE], (made[0] if made is not None else own)[0 if made is not None else -1, BESIDE][None]])
+            behind = np.vstack([(own[0] if before is None else before)[BESIDE][None], own[:-1, BESIDE]])
+            scores.append(np.column_stack([np.ones(len(own)), own, behind, ahead]) @ weights)
+            sizes.append(size)
+            before = own[-1]
+        held = made
+    return np.concatenate(scores), np.concatenate(sizes)
+
+
+def _then_none(blocks):
+    yield from blocks
+    yield None
 
 
 def _by_position(counts: np.ndarray):
@@ -96,6 +163,51 @@ def marginals(unary: np.ndarray, transition: np.ndarray, counts: np.ndarray, wei
     return np.exp(ahead[:, 1] + back[:, 1] - total), pairs
 
 
+def chain_marginals(unary: np.ndarray, transition: np.ndarray, stretch: int = STRETCH) -> np.ndarray:
+    """P(good) by line of one long chain: messages through each stretch for either label it may begin with, all stretches abreast;
+    then from stretch to stretch; then within the stretches."""
+    n = len(unary)
+    m = -(-n // stretch)
+    e = np.zeros((m * stretch, 2))
+    e[:n, 1] = unary
+    real = np.zeros(m * stretch, bool)
+    real[:n] = True
+    e, real = e.reshape(m, stretch, 2), real.reshape(m, stretch)
+    add = np.logaddexp
+
+    def step(came, scores, mask):  # came[..., label before] -> [..., label here]; a line that isn't there changes nothing
+        new = np.stack([add(came[..., 0] + transition[0, k], came[..., 1] + transition[1, k]) + scores[..., k] for k in (0, 1)], axis=-1)
+        return np.where(mask[..., None], new, came)
+
+    # through[s, a, b]: label a on the line before the stretch, b on its last line
+    through = np.full((m, 2, 2), -np.inf)
+    through[:, 0, 0] = through[:, 1, 1] = 0.0
+    for t in range(stretch):
+        through = step(through, e[:, None, t], real[:, None, t])
+    enter = np.zeros((m, 2))  # messages on the line before each stretch
+    came = e[0, 0].copy()
+    for t in range(1, stretch):
+        came = step(came, e[0, t], real[0, t])
+    for i in range(1, m):
+        enter[i] = came
+        came = add(came[0] + through[i, 0], came[1] + through[i, 1])
+    leave = np.zeros((m, 2))  # messages from all lines behind each stretch, on its last line
+    for i in range(m - 1, 0, -1):
+        leave[i - 1] = add(through[i, :, 0] + leave[i, 0], through[i, :, 1] + leave[i, 1])
+    ahead, back = np.zeros_like(e), np.zeros_like(e)
+    ahead[:, 0] = step(enter, e[:, 0], real[:, 0])
+    ahead[0, 0] = e[0, 0]
+    for t in range(1, stretch):
+        ahead[:, t] = step(ahead[:, t - 1], e[:, t], real[:, t])
+    back[:, -1] = leave
+    for t in range(stretch - 2, -1, -1):
+        goes = e[:, t + 1] + back[:, t + 1]
+        new = np.stack([add(goes[:, 0] + transition[k, 0], goes[:, 1] + transition[k, 1]) for k in (0, 1)], axis=-1)
+        back[:, t] = np.where(real[:, t + 1, None], new, back[:, t + 1])
+    ahead, back = ahead.reshape(-1, 2)[:n], back.reshape(-1, 2)[:n]
+    return np.exp(ahead[:, 1] + back[:, 1] - add(*(ahead + back).T))
+
+
 class LineField:
     """Weights of the field and of the calibration."""
 
@@ -104,16 +216,32 @@ class LineField:
 
     def raw(self, texts: list[bytes]) -> np.ndarray:
         """The length-weighted mean of the lines' marginals."""
-        features, sizes, counts = line_features(texts)
-        good, _ = marginals(features @ self.weights, self.transition, counts)
-        weight = sizes + 1.0
-        at = np.concatenate([[0], np.cumsum(counts)[:-1]])
-        return np.add.reduceat(good * weight, at) / np.add.reduceat(weight, at)
+        out = np.zeros(len(texts))
+        long = np.array([len(t) > SLICE or t.count(b"\n") >= STRETCH * 4 for t in texts], bool)
+        for i in np.flatnonzero(long).tolist():
+            unary, sizes = long_scores(texts[i], self.weights)
+            out[i] = np.average(chain_marginals(unary, self.transition), weights=sizes + 1.0)
+        if not long.all():
+            features, sizes, counts = line_features([t for t, x in zip(texts, long.tolist(), strict=True) if not x])
+            good, _ = marginals(features @ self.weights, self.transition, counts)
+            weight = sizes + 1.0
+            at = np.concatenate([[0], np.cumsum(counts)[:-1]])
+            out[~long] = np.add.reduceat(good * weight, at) / np.add.reduceat(weight, at)
+        return out
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.raw(texts) + self.shift, -50, 50)))
 
 
+def window_of(text: bytes, most: int = FIT_BYTES) -> bytes:
+    """The part of a text that a fit sees: whole lines from one that a hash of the text picks, up to ``most`` bytes; a longer line's beginning."""
+    if len(text) <= most:
+        return text
+    start = text.rfind(b"\n", 0, zlib.crc32(text) % (len(text) - most + 1)) + 1
+    stop = text.rfind(b"\n", start, start + most)
+    return text[start : stop if stop > start else start + most]
+
+
 def fit_lines(texts: list[bytes], labels: np.ndarray, steps: int = STEPS) -> LineField:
     """Maximum likelihood by Adam over all the lines; then a logistic calibration of the documents' raw scores."""
     if not len(texts):
@@ -138,12 +266,19 @@ def fit_lines(texts: list[bytes], labels: np.ndarray, steps: int = STEPS) -> Lin
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = SAMPLE_ROWS) -> LineField:
-    """Learn from rows with a label of 0 or 1: at most ``rows`` of each."""
+    """Learn from rows with a label of 0 or 1: a window of about ``rows`` of each."""
     source = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")).where("id is not null and label in (0, 1)")
     chosen = stable_sample(source.select("id", "label"), "id", rows, "label").select("id").distinct()
-    sampled = source.join(F.broadcast(chosen), "id", "left_semi").where(F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"))), F.lit(0)) < FIT_LINES)
-    found = sampled.orderBy(F.xxhash64(F.col("id").cast("string")), "id").select("text", "label").toPandas()
-    return fit_lines([(t or "").encode() for t in found["text"]], found["label"].to_numpy(int))
+    sampled = source.join(F.broadcast(chosen), "id", "left_semi").select("id", "text", "label")
+
+    def cut(batches):
+        for batch in batches:
+            for part in slices(batch, "text", SLICE):
+                yield replaced(part, "text", pa.array([window_of(t) for t in utf8(part.column(1))], pa.binary()))
+
+    windows = sampled.mapInArrow(lean(cut), T.StructType([sampled.schema["id"], sampled.schema["label"], T.StructField("text", T.BinaryType())]))
+    found = sorted(windows.collect(), key=lambda r: (zlib.crc32(str(r["id"]).encode()), str(r["id"]), bytes(r["text"]), r["label"]))
+    return fit_lines([bytes(r["text"]) for r in found], np.array([r["label"] for r in found], int))
 
 
 def score(df: DataFrame, field: LineField, text_col: str = "text", score_col: str = "quality_score") -> DataFrame:
@@ -159,7 +294,7 @@ def score(df: DataFrame, field: LineField, text_col: str = "text", score_col: st
                     columns = [part.column(part.schema.get_field_index(c)) for c in keep]
                     yield pa.RecordBatch.from_arrays([*columns, pa.array(values)], [*keep, score_col])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def labelled_documents(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:

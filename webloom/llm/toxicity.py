@@ -1,14 +1,14 @@
 """Toxicity by a weighted lexicon, matched by Aho-Corasick on folded text.
 
-Folding lowers case, strips accents, maps letters of other scripts that look like Latin ones, and reads digits and signs inside
-words as the letters they stand for. The lexicon holds whole words and word beginnings whose share of toxic training
+Folding lowers case, strips accents, maps letters of other scripts that look like Latin ones, and reads signs inside words, and one or
+two digits beside a letter, as the letters they stand for; numbers stay numbers. The lexicon holds whole words and word beginnings whose share of toxic training
 documents is far above that of the others; its weights are log ratios. A match counts where its word begins, unless it lies
 in an exception phrase: two words around a lexicon entry that training documents only have where they aren't toxic. The sum of
 weights, and that sum for the length of the text, go into a logistic score fitted on the training rows.
 
 Defined results: null and empty text have no match and get the score of such texts. Without labelled rows of both kinds the
-lexicon is empty and every score 0. Whole texts are scored; only the fit is bounded: at most ``SAMPLE_ROWS`` labelled rows of
-each label and ``LEXICON`` entries. Ids may be null or repeated; extra columns aren't read.
+lexicon is empty and every score 0. Whole texts are scored, words of any length; only the fit is bounded: about ``SAMPLE_ROWS``
+labelled rows of each label, and an entry must be in ``SHARE`` of the toxic ones. Ids may be null or repeated; extra columns aren't read.
 """
 
 from __future__ import annotations
@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from webloom.llm.common import logistic, slices, stable_sample
+from webloom.llm.common import lean, logistic, slices, stable_sample
 
-SAMPLE_ROWS, LEXICON, LEAST_WEIGHT = 5000, 5000, 2.5
+SAMPLE_ROWS, LEAST_WEIGHT = 5000, 2.5
 #: Toxic training documents that an entry is in: so many, and this share of them.
 SUPPORT, SHARE = 3, 0.01
 #: Lengths of the word beginnings that may become entries.
@@ -36,7 +36,10 @@ LOOKALIKES = dict(zip("аесорхуіјѕһԁԛԝьгтпкмнвᴀαβεικ
 DIGITS = dict(zip("0134578", "oieastb", strict=True))
 _SIGNS = re.compile(r"(?<=[^\W\d_])(?:[@$]+|!(?=[^\W\d_]))")
 _SIGN = str.maketrans("@$!", "asi")
+_DIGIT = str.maketrans(DIGITS)
+_BESIDE = re.compile(r"(?<=[^\W\d_])[0-9]{1,2}(?![0-9])|(?<![0-9])[0-9]{1,2}(?=[^\W\d_])")
 WORD = re.compile(r"\w+")
+_AFTER = re.compile(r"\W*(\w+)")
 
 
 class _Folds(dict):
@@ -45,7 +48,7 @@ class _Folds(dict):
     def __missing__(self, code: int) -> str:
         char = chr(code)
         out = "".join(c for c in unicodedata.normalize("NFKD", char.lower()) if not unicodedata.combining(c))
-        out = "".join(LOOKALIKES.get(c, DIGITS.get(c, c)) for c in out)
+        out = "".join(LOOKALIKES.get(c, c) for c in out)
         self[code] = out = " " if unicodedata.category(char) in ("Zl", "Zp") else "" if unicodedata.category(char) == "Cf" else out
         return out
 
@@ -57,7 +60,7 @@ def fold(text: str) -> str:
     """The text as the lexicon sees it."""
     if "@" in text or "$" in text or "!" in text:
         text = _SIGNS.sub(lambda m: m[0].translate(_SIGN), text)
-    return text.translate(FOLDS)
+    return _BESIDE.sub(lambda m: m[0].translate(_DIGIT), text.translate(FOLDS))
 
 
 class Lexicon:
@@ -122,24 +125,30 @@ def design(pairs: list[tuple[float, float]]) -> np.ndarray:
 
 
 def phrases(folded: str, start: int, end: int) -> list[str]:
-    """The matched word with the word before and with the one after it."""
+    """The matched word with the word before and with the one after it, however far off they are."""
     stop = WORD.match(folded, start).end()
     word, out = folded[start:stop], []
-    if before := re.search(r"(\w+)\W*$", folded[max(0, start - 64) : start]):
-        out.append(f"{before[1]} {word}")
-    if after := re.compile(r"\W*(\w+)").match(folded, stop, stop + 64):
+    last = start
+    while last and not (folded[last - 1].isalnum() or folded[last - 1] == "_"):
+        last -= 1
+    if last:
+        first = last
+        while first and (folded[first - 1].isalnum() or folded[first - 1] == "_"):
+            first -= 1
+        out.append(f"{folded[first:last]} {word}")
+    if after := _AFTER.match(folded, stop):
         out.append(f"{word} {after[1]}")
     return out
 
 
 def terms(text: str | None) -> set[str]:
     """The distinct words of a folded text and their beginnings."""
-    words = {w for w in WORD.findall(fold(text)) if len(w) <= 32} if text else set()
+    words = set(WORD.findall(fold(text))) if text else set()
     return words | {w[:n] + "*" for w in words for n in STEMS if len(w) > n}
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = SAMPLE_ROWS) -> Lexicon:
-    """Learn from rows with a label of 0 or 1: at most ``rows`` of each."""
+    """Learn from rows with a label of 0 or 1: about ``rows`` of each."""
     source = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")).where("id is not null and label in (0, 1)")
     chosen = stable_sample(source.select("id", "label"), "id", rows, "label").select("id").distinct()
     sampled = source.join(F.broadcast(chosen), "id", "left_semi").select("text", "label").distinct()
@@ -161,7 +170,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
         return Lexicon({}, set(), ())
     weight = F.log((F.col("toxic") + 0.5) / (total["toxic"] + 1)) - F.log((F.col("clean") + 0.5) / (total["clean"] + 1))
     top = counted.where((F.col("term") != "") & (F.col("toxic") >= max(SUPPORT, math.ceil(SHARE * total["toxic"])))).withColumn("weight", weight).where(F.col("weight") >= LEAST_WEIGHT)
-    entries = {r["term"]: r["weight"] for r in top.orderBy(F.desc("weight"), "term").limit(LEXICON).collect()}
+    entries = {r["term"]: r["weight"] for r in top.collect()}
     counted.unpersist()
     stems = {e[:-1] for e in entries if e.endswith("*")}
     short = {s for s in stems if not any(s[:n] in stems for n in STEMS if n < len(s))}
@@ -179,7 +188,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
                 yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), *[pa.array([v[k] for v in found.values()], pa.int64()) for k in (0, 1)]], ["phrase", "clean", "toxic"])
 
     innocent = sampled.mapInArrow(context, "phrase string, clean long, toxic long").groupBy("phrase").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(f"toxic = 0 and clean >= {SUPPORT}")
-    lexicon.exceptions = {r["phrase"] for r in innocent.orderBy(F.desc("clean"), "phrase").limit(LEXICON).collect()}
+    lexicon.exceptions = {r["phrase"] for r in innocent.collect()}
     seen = sampled.mapInArrow(_features(lexicon), "total double, words double, label int").toPandas()
     labels = seen["label"].to_numpy(int)
     pairs = list(zip(seen["total"], seen["words"], strict=True))
@@ -208,7 +217,7 @@ def score(df: DataFrame, lexicon: Lexicon, text_col: str = "text", score_col: st
                 values = lexicon.scores([lexicon.features(t) for t in part.column(part.schema.get_field_index(text_col)).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(c)) for c in keep], pa.array(values, pa.float64())], [*keep, score_col])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
