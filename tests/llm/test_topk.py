@@ -46,6 +46,17 @@ def test_what_takes_no_part(spark):
     assert found(clashing(spark.createDataFrame([(i, v, 0) for i, v in rows], KIND))) == brute(rows)
 
 
+def test_repeated_ids_that_share_a_vector(spark):
+    """An id's repeats don't push other ids of its class out."""
+    rows = [(50, [1.0, 2.0])] * 7 + [(51, [1.0, 2.0]), (52, [1.0, 2.0]), (53, [0.5, 0.5])] + [(54, [0.25, 0.5])] * 9
+    got = found(spark.createDataFrame([(i, v, 0) for i, v in rows], KIND).repartition(3))
+    want = []
+    for q, x in {(i, tuple(v)) for i, v in rows if i % 50 == 0}:
+        scored = sorted((-sum(math.floor(256 * a) * math.floor(256 * b) for a, b in zip(x, y, strict=True)), i) for i, y in rows if i != q)[:5]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
+    assert got == sorted(want) and [r[2] for r in got] == [51, 52, 53, 54, 54]
+
+
 def test_fewer_rows_than_asked_for_and_none(spark):
     rows = [(50, [1.0, 0.0]), (3, [0.0, 1.0])]
     assert found(spark.createDataFrame([(i, v, 0) for i, v in rows], KIND)) == brute(rows)

@@ -1,16 +1,17 @@
 """Exact top-k by inner product with a three-phase uniform threshold.
 
-Vectors are cut into fragments of dimensions; a node holds one fragment of a block of vectors and knows partial scores only.
+Vectors are cut into fragments of dimensions; a node holds a block of vectors, and a list of partial scores for each fragment.
 
-1. Every node sends, for each query, its k best entries by partial score. The union of the fragments' lists is scored in full;
-   the k-th best of those scores is a safe cutoff: no result can be below it.
+1. Every node sends, for each query, the k best entries of each of its lists, with their full scores. The k-th best of those
+   scores is a safe cutoff: no result can be below it.
 2. The cutoff goes back with the queries. A vector that reaches cutoff t in all must reach t/m in some of the m fragments, so
-   nodes send every entry of at least that, which is sufficient.
-3. Entries are joined by vector. Those whose upper bound (what is known, and just under t/m for each fragment that sent
-   nothing) stays below the cutoff go; scores with all fragments known are exact, and the others are resolved exactly.
+   in each list the entries of at least that are sufficient.
+3. Their remaining scores are resolved exactly where they stand, since a node holds all fragments of its vectors; what reaches
+   the cutoff is sent.
 
-Equal vectors are one class, scored once: a class keeps its smallest ids, as many as a result can hold, so that a vector that a
-third of the rows share brings no more pairs than any other. Queries go against all classes in blocks.
+Equal vectors are one class, scored once: a class keeps its smallest distinct ids, as many as a result can hold, and of each as
+many rows, so that a vector that a third of the rows share brings no more pairs than any other. Classes are told apart by their
+vectors and numbered. Queries go against all classes in blocks.
 
 Defined results: vectors that are null, hold null or non-finite components, or have another length than the vector of the smallest
 id, and rows without an id, take no part. Ties go to the smaller id. Repeated ids are separate candidates, but never
@@ -24,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from webloom.llm.common import checkpointed
+from webloom.llm.common import checkpointed, lean
 
 K, SCALE, FRAGMENTS = 5, 256, 2
-#: Classes and queries of a block: a task holds one of each and scores in strips of ``STRIP`` queries.
-BLOCK, QUERIES, STRIP = 16_384, 1024, 128
+#: Bytes of a block of classes and of one of queries: a task holds one of each and scores in strips of ``STRIP`` queries.
+BLOCK, QUERIES, STRIP = 8 << 20, 1 << 19, 128
 
 
 def _matrix(column) -> np.ndarray:
@@ -60,15 +61,14 @@ def quantised(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFr
                     packed.append(np.floor(v * scale).astype(np.int64).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, batch.column(0).type), pa.array(packed, pa.binary())], ["id", "v"])
 
-    found = source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, v binary")
+    found = source.mapInArrow(lean(run), f"id {source.schema['id'].dataType.simpleString()}, v binary")
     width = found.select(F.min_by(F.length("v"), "id").alias("width"))
     return found.join(F.broadcast(width), F.length("v") == F.col("width")).drop("width")
 
 
-def _blocks(rows: DataFrame, size: int, extra: list[str]) -> DataFrame:
-    """Rows packed into one row for each block of about ``size``: (block, ids, vectors, *extra)."""
-    total = rows.count()
-    n = max(1, -(-total // size))
+def _blocks(rows: DataFrame, size: int, extra: list[str]) -> tuple[DataFrame, int]:
+    """Rows packed into one row for each block of about ``size`` bytes of vectors: (block, rows of c, v and extra); and how many blocks."""
+    n = max(1, -(-int(rows.agg(F.sum(F.length("v"))).first()[0] or 0) // size))
     spread = rows.withColumn("block", (F.pmod(F.xxhash64("c"), F.lit(n))).cast("int"))
     return spread.groupBy("block").agg(F.collect_list(F.struct("c", "v", *extra)).alias("rows")), n
 
@@ -90,11 +90,12 @@ def _edges(width: int, fragments: int) -> list[tuple[int, int]]:
     return list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
 
 
-ENTRIES = "q long, c long, fragment int, part long"
+ENTRIES = "q long, c long, score long"
 
 
 def _entries(k: int, fragments: int, threshold: bool):
-    """Partial scores that nodes send: phase 1 the k best of each fragment, phase 2 all of at least the query's share of its cutoff."""
+    """Entries that nodes send, with their full scores. Phase 1: the k best of each fragment's list. Phases 2 and 3: of all that
+    have the query's share of its cutoff in some list, those that reach the cutoff."""
 
     def run(batches):
         for batch in batches:
@@ -103,68 +104,48 @@ def _entries(k: int, fragments: int, threshold: bool):
                 qid, cid = queries[0].to_numpy(), classes[0].to_numpy()
                 q, c = _matrix(queries[1]), _matrix(classes[1])
                 edges = _edges(c.shape[1], fragments)
-                for f, (a, b) in enumerate(edges):
-                    out = []
-                    for s in range(0, len(q), STRIP):
-                        part = _product(q[s : s + STRIP, a:b], c[:, a:b])
-                        if threshold:
-                            least = np.array(queries[2].to_numpy()[s : s + STRIP])
-                            rows, columns = np.nonzero(part >= -(-least[:, None] // len(edges)))
-                        else:
-                            top = min(k, part.shape[1])
-                            columns = np.argpartition(part, part.shape[1] - top, axis=1)[:, -top:].ravel()
-                            rows = np.repeat(np.arange(len(part)), top)
-                        out.append((qid[s + rows], cid[columns], part[rows, columns].astype(np.int64)))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate([o[0] for o in out])), pa.array(np.concatenate([o[1] for o in out])), pa.array(np.full(sum(len(o[0]) for o in out), f, np.int32)), pa.array(np.concatenate([o[2] for o in out]))], ["q", "c", "fragment", "part"]
-                    )
-
-    return run
-
-
-def _resolve(pairs: DataFrame, queries: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (q, c) with their exact scores."""
-
-    def run(batches):
-        for batch in batches:
-            a, b = _matrix(batch.column(2)), _matrix(batch.column(3))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((a * b).sum(axis=1) if len(a) else np.zeros(0, np.int64), pa.int64())], ["q", "c", "score"])
-
-    both = pairs.join(queries.select(F.col("c").alias("q"), F.col("v").alias("qv")), "q").join(classes.select("c", F.col("v").alias("cv")), "c")
-    return both.select("q", "c", "qv", "cv").mapInArrow(run, "q long, c long, score long")
+                for s in range(0, len(q), STRIP):
+                    lists = [_product(q[s : s + STRIP, a:b], c[:, a:b]) for a, b in edges]
+                    total = sum(lists)
+                    sent = np.zeros(total.shape, bool)
+                    if threshold:
+                        cutoff = np.array(queries[2].to_numpy()[s : s + STRIP])[:, None]
+                        for part in lists:
+                            sent |= part >= -(-cutoff // len(edges))
+                        sent &= total >= cutoff
+                    else:
+                        top = min(k, len(c))
+                        for part in lists:
+                            np.put_along_axis(sent, np.argpartition(part, len(c) - top, axis=1)[:, -top:], True, axis=1)
+                    rows, columns = np.nonzero(sent)
+                    yield pa.RecordBatch.from_arrays([pa.array(qid[s + rows]), pa.array(cid[columns]), pa.array(total[rows, columns].astype(np.int64))], ["q", "c", "score"])
+
+    return lean(run)
 
 
 def search(candidates: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, scale: int = SCALE, fragments: int = FRAGMENTS) -> DataFrame:
     """(query_id, rank, id, score): each query's k best among the candidates of other ids; scores are inner products of floor(scale * x)."""
-    rows = checkpointed(quantised(candidates, id_col, vector_col, scale))
-    asked = checkpointed(quantised(queries, id_col, vector_col, scale))
+    rows = quantised(candidates, id_col, vector_col, scale).groupBy("v", "id").agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("rows"))
+    asked = checkpointed(quantised(queries, id_col, vector_col, scale).distinct())
+    need = k + 1  # of classes, and of ids in a class: one may be the query's own
     smallest = Window.partitionBy("v").orderBy("id")
-    few = rows.withColumn("n", F.row_number().over(smallest)).where(F.col("n") <= k + 1)  # limited before the shuffle, too
-    classes = checkpointed(few.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids")).withColumn("c", F.xxhash64(F.lit(0), "v")))
-    distinct = checkpointed(asked.select("v").distinct().withColumn("c", F.xxhash64(F.lit(0), "v")))
-    cblocks, _ = _blocks(classes, BLOCK, [])
+    few = rows.withColumn("n", F.row_number().over(smallest)).where(F.col("n") <= need)  # limited before the shuffle, too
+    classes = few.groupBy("v").agg(F.array_sort(F.collect_list(F.struct("id", "rows"))).alias("ids"))
+    classes = checkpointed(classes.withColumn("c", F.monotonically_increasing_id()))
+    distinct = checkpointed(asked.select("v").distinct().withColumn("c", F.monotonically_increasing_id()))
+    cblocks, _ = _blocks(classes.select("c", "v"), BLOCK, [])
     qblocks, n = _blocks(distinct, QUERIES, [])
-    need = k + 1  # one class may lose its only id to the query itself
+    best = Window.partitionBy("q").orderBy(F.desc("score"), "c")
     lists = _nodes(qblocks, cblocks, n).mapInArrow(_entries(need, fragments, False), ENTRIES)
-    best = Window.partitionBy("q", "fragment").orderBy(F.desc("part"), "c")
-    first = lists.withColumn("n", F.row_number().over(best)).where(F.col("n") <= need).select("q", "c").distinct()
-    scored = _resolve(first, distinct, classes)
-    order = Window.partitionBy("q").orderBy(F.desc("score"), "c")
-    cutoff = scored.withColumn("n", F.row_number().over(order)).where(F.col("n") <= need).groupBy("q").agg(F.min("score").alias("cutoff"))
+    cutoff = lists.withColumn("n", F.row_number().over(best)).where(F.col("n") <= need).groupBy("q").agg(F.min("score").alias("cutoff"))
     known = checkpointed(distinct.join(cutoff, distinct.c == cutoff.q).select("c", "v", "cutoff"))
     qblocks, n = _blocks(known, QUERIES, ["cutoff"])
-    sent = _nodes(qblocks, cblocks, n).mapInArrow(_entries(need, fragments, True), ENTRIES)
-    joined = sent.groupBy("q", "c").agg(F.sum("part").alias("sum"), F.count("*").alias("known"))
-    width = int(classes.select(F.first(F.length("v"))).first()[0] or 0) // 8
-    m = max(1, len(_edges(width, fragments)))
-    share = F.ceil(F.col("cutoff") / F.lit(m)) - 1
-    open_ = joined.join(known.select(F.col("c").alias("q"), "cutoff"), "q").where((F.col("sum") + (m - F.col("known")) * (share + 1)) >= F.col("cutoff"))
-    open_ = checkpointed(open_.select("q", "c", "sum", "known"))
-    exact = open_.where(F.col("known") == m).select("q", "c", F.col("sum").alias("score")).unionByName(_resolve(open_.where(F.col("known") < m).select("q", "c"), distinct, classes))
-    ranked = exact.join(classes.select("c", "ids"), "c").withColumn("least", F.col("ids")[0])
+    exact = _nodes(qblocks, cblocks, n).mapInArrow(_entries(need, fragments, True), ENTRIES)
+    ranked = exact.join(classes.select("c", "ids"), "c").withColumn("least", F.col("ids")[0]["id"])
     top = ranked.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "least"))).where(F.col("n") <= need)
-    answers = asked.withColumn("q", F.xxhash64(F.lit(0), "v")).select("q", F.col("id").alias("query_id")).distinct()
-    pairs = answers.join(top.groupBy("q").agg(F.collect_list(F.struct("score", "ids")).alias("found")), "q").select("query_id", "q", F.explode("found").alias("f")).select("query_id", "q", F.col("f.score").alias("score"), F.explode("f.ids").alias("id")).where("id <> query_id")
+    answers = asked.join(distinct, "v").select(F.col("c").alias("q"), F.col("id").alias("query_id"))
+    found = F.struct("score", F.flatten(F.transform("ids", lambda x: F.array_repeat(x["id"], x["rows"].cast("int")))).alias("ids"))
+    pairs = answers.join(top.groupBy("q").agg(F.collect_list(found).alias("found")), "q").select("query_id", "q", F.explode("found").alias("f")).select("query_id", "q", F.col("f.score").alias("score"), F.explode("f.ids").alias("id")).where("id <> query_id")
     final = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "id")
     return pairs.withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
 
