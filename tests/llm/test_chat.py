@@ -69,6 +69,12 @@ def test_reply_trees(spark):
     assert sorted((r["tree"], r["leaf"]) for r in best.collect()) == [(1, 4), (2, 7)]
 
 
+def test_repeated_messages_count_once(spark):
+    rows = [(1, i, i - 1 if i else None, "user", t, 0.0) for i in range(30) for t in ("b", "a")] + [(1, None, 29, "user", "no id", 0.0)]
+    (only,) = chat.conversations(spark.createDataFrame(rows, TREE)).collect()
+    assert chat.parse(only["formatted"]) == [("user", "a")] * 30
+
+
 def test_a_deep_path_takes_few_joins(spark):
     rows = [(1, i, i - 1 if i else None, "user", str(i), 0.0) for i in range(700)]
     (only,) = chat.conversations(spark.createDataFrame(rows, TREE)).collect()

@@ -8,8 +8,9 @@ The template marks a turn as ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside te
 backslash between ``<`` and ``|`` gets one more, so that a text can't hold a control string; ``parse`` undoes it exactly. The loss
 mask covers the assistant texts.
 
-Defined results: null texts and roles are empty; a null tree id is a tree of its own; messages whose parent is missing or null are roots; messages on a cycle have no
-root and are left out; equal scores are ranked by the smaller leaf. Extra columns aren't read.
+Defined results: null texts and roles are empty; a null tree id is a tree of its own; messages whose parent is missing or null are
+roots; messages on a cycle have no root and are left out, as are messages without an id; of messages of one id in a tree the one
+with the smallest parent, role, text and score counts (null first); equal scores are ranked by the smaller leaf. Extra columns aren't read.
 """
 
 from __future__ import annotations
@@ -69,15 +70,16 @@ def paths(messages: DataFrame, tree: str, message: str, parent: str, score: str
     known = rows.select("tree", F.col("id").alias("up")).distinct().withColumn("there", F.lit(True))
     jumps = rows.join(known, ["tree", "up"], "left").select("tree", "id", F.when(F.col("there"), F.col("up")).alias("up"), F.lit(1).cast("long").alias("depth"), "score")
     jumps = checkpointed(jumps.withColumn("root", F.when(F.col("up").isNull(), F.col("id"))))
+    state = lambda: jumps.agg(F.count("up"), F.max("depth"), F.count(F.lit(1))).first()
+    moving, _, total = state()
     leaves = jumps.select("tree", F.col("up").alias("id")).where("id is not null").distinct()
-    while not jumps.where("up is not null").isEmpty():
+    while moving:
         far = jumps.select("tree", F.col("id").alias("up"), F.col("up").alias("far"), F.col("depth").alias("more"), F.col("score").alias("gain"), F.col("root").alias("top"))
-        before = jumps.where("up is not null").count()
-        moving = jumps.where("up is not null").join(far, ["tree", "up"])
-        moved = moving.select("tree", "id", F.col("far").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("score") + F.col("gain")).alias("score"), F.col("top").alias("root"))
+        joined = jumps.where("up is not null").join(far, ["tree", "up"])
+        moved = joined.select("tree", "id", F.col("far").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("score") + F.col("gain")).alias("score"), F.col("top").alias("root"))
         jumps = checkpointed(jumps.where("up is null").unionByName(moved))
-        reach = jumps.agg(F.max("depth"), F.count(F.when(F.col("up").isNotNull(), 1))).first()
-        if reach[1] == before and reach[1] and reach[0] > 2 * jumps.count():
+        before, (moving, depth, _) = moving, state()
+        if moving == before and (depth or 0) > 2 * total:
             break  # what still moves goes round in circles
     done = jumps.where("root is not null")
     return done.join(leaves, ["tree", "id"], "left_anti").select(F.col("tree.id").alias("tree"), F.col("id").alias("leaf"), "root", "depth", "score")
@@ -96,13 +98,13 @@ def _members(messages: DataFrame, leaves: DataFrame, tree: str, message: str, pa
     real = up.join(up.select("tree", F.col("id").alias("to")).distinct(), ["tree", "to"], "left_semi")
     hop = checkpointed(real.select("tree", "id", "to"))
     found = checkpointed(leaves.select("tree", "leaf", F.col("leaf").alias("id"), F.lit(0).cast("long").alias("back")))
-    reach = 1
+    reach, n = 1, found.count()
     while True:  # who is within ``reach`` of the leaf is known; hop goes ``reach`` up
         more = found.join(hop, ["tree", "id"]).select("tree", "leaf", F.col("to").alias("id"), (F.col("back") + reach).alias("back"))
-        grown = checkpointed(found.unionByName(more))
-        if more.isEmpty():
-            return grown
-        found = grown
+        found = checkpointed(found.unionByName(more))
+        before, n = n, found.count()
+        if n == before:
+            return found
         far = hop.select("tree", F.col("id").alias("to"), F.col("to").alias("end"))
         hop = checkpointed(hop.join(far, ["tree", "to"]).select("tree", "id", F.col("end").alias("to")))
         reach *= 2
@@ -113,6 +115,9 @@ TURNS = "turns: array<struct<role: string, text: string>>"
 
 def conversations(messages: DataFrame, tree: str = "tree_id", message: str = "message_id", parent: str = "parent_id", role: str = "role", text: str = "text", score: str | None = None, best: int | None = None) -> DataFrame:
     """(tree, rank, leaf, n_turns, formatted, loss_spans): each chosen path as one conversation."""
+    rest = [parent, role, text, *([score] if score else [])]
+    own = messages.where(F.col(message).isNotNull()).groupBy(tree, message).agg(F.min(F.struct(*rest)).alias("__own"))
+    messages = checkpointed(own.select(tree, message, *[F.col("__own")[c].alias(c) for c in rest]))
     ranked = chosen(paths(messages, tree, message, parent, score), best)
     picked = checkpointed(ranked.withColumn("tree", _tree("tree")))
     members = _members(messages, picked, tree, message, parent)
@@ -174,5 +179,5 @@ def reply_chains(rows: DataFrame) -> DataFrame:
 def conversation_digest(table: DataFrame) -> DataFrame:
     """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars) of conversations and of conversation -1."""
     hard = table.sparkSession.createDataFrame([(-1, 0, "user", HARD), (-1, 1, "assistant", HARD)], "conv_id long, turn long, role string, text string")
-    messages = checkpointed(reply_chains(table.select("conv_id", "turn", "role", "text").unionByName(hard)))
+    messages = reply_chains(table.select("conv_id", "turn", "role", "text").unionByName(hard))
     return read_back(conversations(messages).select(F.col("tree").alias("conv_id"), "formatted", "loss_spans"), "conv_id")
