@@ -166,3 +166,12 @@ def test_a_failed_link_is_tried_again_with_the_others():
     sets = [np.arange(0, 100), np.arange(20, 120), np.arange(10, 110)]  # neighbours at 0.82, the first two at 0.67
     rows = np.zeros((3, simhash.WIDE), np.uint64)
     assert sorted(simhash._similar(rows, [s.astype(np.uint64) for s in sets], 100, 0.8)) == [(0, 2), (2, 1)]
+
+
+def test_shingles_of_a_text_in_pieces():
+    draw = np.random.default_rng(8)
+    for _ in range(60):
+        text = "".join(draw.choice(["ab", "C", " ", "\n\t ", "é"], int(draw.integers(0, 80)))).encode()
+        for words in (1, 3, 5):
+            whole = [int(h) for x in simhash.shingle_hashes(text, words) for h in x]
+            assert whole == [int(h) for x in simhash.shingle_hashes(text, words, most=7) for h in x]

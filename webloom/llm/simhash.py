@@ -15,6 +15,8 @@ each keep their row; component ids are the smallest non-null id. Extra columns a
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,32 +32,70 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _BYTE_BITS = np.array([[b >> i & 1 for i in range(8)] for b in range(256)], np.float64)
 
 
-def shingle_hashes(text: bytes, words: int, seed: int = 42) -> list[int]:
-    """XXH64 of each shingle of a UTF-8 text, repeats included: A-Z lowered, words between ASCII white space, one space between."""
+#: Bytes of a text whose words are held at once.
+PIECE = 1 << 20
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def _pieces(text: bytes, most: int):
+    """The text in parts of about that size, cut at white space."""
+    at = 0
+    while len(text) - at > most:
+        found = _SPACE.search(text, at + most)
+        if found is None:
+            break
+        yield text[at : found.start()]
+        at = found.end()
+    yield text[at:]
+
+
+def shingle_hashes(text: bytes, words: int, seed: int = 42, most: int = PIECE):
+    """XXH64 of each shingle of a UTF-8 text, repeats included, in arrays: A-Z lowered, words between ASCII white space, one space between."""
     from xxhash import xxh64_intdigest
 
-    parts = text.translate(LOWER).split()
-    if len(parts) <= words:
-        return [xxh64_intdigest(b" ".join(parts), seed)] if parts else []
-    joined = b" ".join(parts)
-    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
-    starts = np.concatenate([[0], ends[:-words]]).tolist()
-    return [xxh64_intdigest(joined[s:e], seed) for s, e in zip(starts, (ends[words - 1 :] - 1).tolist(), strict=True)]
+    carried: list[bytes] = []
+    whole = True  # the text so far has no more words than a shingle
+    for piece in _pieces(text, most):
+        parts = carried + piece.translate(LOWER).split()
+        if len(parts) > words or (not whole and len(parts) == words):
+            joined = b" ".join(parts)
+            ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+            starts = np.concatenate([[0], ends[: len(parts) - words]])
+            stops = ends[words - 1 :] - 1
+            yield np.fromiter((xxh64_intdigest(joined[s:e], seed) for s, e in zip(starts.tolist(), stops.tolist(), strict=True)), np.uint64, len(stops))
+            carried, whole = parts[len(parts) - words + 1 :], False
+        else:
+            carried = parts
+    if whole and carried:
+        yield np.array([xxh64_intdigest(b" ".join(carried), seed)], np.uint64)
 
 
 def fingerprint_many(texts: list[bytes], words: int) -> np.ndarray:
     """The uint64 fingerprints of some texts: a bit is set if it is in over half of the hashes."""
-    hashes = [shingle_hashes(t, words) for t in texts]
-    sizes = np.fromiter(map(len, hashes), np.int64, len(hashes))
-    flat = np.fromiter((h for hs in hashes for h in hs), np.uint64, int(sizes.sum()))
-    out = np.zeros(len(texts), np.uint64)
-    whose = np.repeat(np.arange(len(texts)), sizes) * 256
-    octets = flat.view(np.uint8).reshape(-1, 8)
-    for j in range(8):
-        ones = np.bincount(whose + octets[:, j], minlength=len(texts) * 256).reshape(-1, 256) @ _BYTE_BITS
-        for bit in range(8):
-            out |= (2 * ones[:, bit] > sizes).astype(np.uint64) << np.uint64(8 * j + bit)
-    return out
+    ones, sizes = np.zeros((len(texts), 64), np.int64), np.zeros(len(texts), np.int64)
+
+    def count(held):
+        rows = np.array([i for i, _ in held])
+        flat = np.concatenate([h for _, h in held])
+        whose = np.repeat(np.arange(len(held)), [len(h) for _, h in held]) * 256
+        octets = flat.view(np.uint8).reshape(-1, 8)
+        for j in range(8):
+            found = np.bincount(whose + octets[:, j], minlength=len(held) * 256).reshape(-1, 256) @ _BYTE_BITS
+            np.add.at(ones[:, 8 * j : 8 * j + 8], rows, found.astype(np.int64))
+        np.add.at(sizes, rows, [len(h) for _, h in held])
+
+    held, size = [], 0
+    for i, text in enumerate(texts):
+        for hashes in shingle_hashes(text, words):
+            held.append((i, hashes))
+            size += len(hashes)
+            if size >= PIECE >> 3:
+                count(held)
+                held, size = [], 0
+    if held:
+        count(held)
+    bits = (2 * ones > sizes[:, None]).astype(np.uint64)
+    return (bits << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
@@ -212,9 +252,9 @@ def differing_share(similarity: float) -> float:
 
 def shingle_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, sizes): the distinct shingles of each text, in ascending order, one text after another."""
-    hashes = [shingle_hashes(t, words) for t in texts]
+    hashes = [np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(t, words)]) for t in texts]
     whose = np.repeat(np.arange(len(texts)), [len(h) for h in hashes])
-    flat = np.fromiter((h for hs in hashes for h in hs), np.uint64, len(whose))
+    flat = np.concatenate([np.zeros(0, np.uint64), *hashes])
     order = np.lexsort((flat, whose))
     whose, flat = whose[order], flat[order]
     fresh = np.ones(len(flat), bool)
@@ -254,21 +294,25 @@ def _far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _linked(rows: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Edges (row numbers) of a spanning forest of the rows within the radius of each other."""
+    """(first, other): rows that links within the radius reach from each other, by the first of them."""
     left, edges = np.arange(len(rows)), []
     while len(left) > 1:
-        queue, left = [left[0]], left[1:]
+        first, left = left[0], left[1:]
+        queue = [first]
         while queue and len(left):
             x = queue.pop()
             near = _far(rows[left], rows[x]) <= radius
             found, left = left[near], left[~near]
-            edges += [(x, y) for y in found]
+            edges += [(first, y) for y in found]
             queue.extend(found.tolist())
     return edges
 
 
 def _bucket_edges(radius: int, short: int = 8):
-    """Edges within each bucket of batches sorted by key: neighbours at every shift for short buckets, a search for others."""
+    """Edges within each bucket of batches sorted by key: neighbours at every shift for short buckets, a search for others.
+
+    An edge goes from the smaller row to the larger, and in large buckets from the smallest of those that links reach, so that
+    the tables name the same edges of a large group again and again, and each is kept once."""
 
     def run(batches):
         held = []
@@ -292,7 +336,9 @@ def _bucket_edges(radius: int, short: int = 8):
     def work(held):
         table = pa.Table.from_batches(held)
         key, ref = table.column(0).to_numpy(), table.column(1).to_numpy()
-        fp = np.column_stack([table.column(2 + w).to_numpy() for w in range(WIDE)]).view(np.uint64)
+        order = np.lexsort((ref, key))
+        key, ref = key[order], ref[order]
+        fp = np.column_stack([table.column(2 + w).to_numpy()[order] for w in range(WIDE)]).view(np.uint64)
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         sizes = np.diff(np.concatenate([starts, [len(key)]]))
         size = np.repeat(sizes, sizes)
