@@ -444,10 +444,17 @@ def cut(text: bytes, spans: list[dict]) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """df, same columns, its texts without the repeated windows. A character that a cut leaves incomplete goes too; a null text stays null."""
+def of_words(text: bytes, spans: list[dict], least: int) -> list[dict]:
+    """The stretches with at least so many words, or parts of words."""
+    return [s for s in spans if len(text[s["start"] : s["stop"]].split()) >= least] if least > 1 else spans
+
+
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, least_words: int = 0) -> DataFrame:
+    """df, same columns, its texts without the repeated windows; stretches of fewer words than ``least_words`` stay. A character
+    that a cut leaves incomplete goes too; a null text stays null."""
 
     def shortened(part, texts, spans):
+        spans = [of_words(t, s, least_words) for t, s in zip(texts, spans, strict=True)]
         old = part.column(part.schema.get_field_index(text_col))
         new = pa.array([None if not valid else cut(t, s).decode("utf-8", "ignore") if s else t.decode() for valid, t, s in zip(old.is_valid().to_pylist(), texts, spans, strict=True)], pa.string())
         return pa.RecordBatch.from_arrays([new if c == text_col else part.column(i) for i, c in enumerate(part.schema.names)], part.schema.names)
