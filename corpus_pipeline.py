@@ -16,8 +16,8 @@ from webloom.llm.common import scratch
 
 #: Documents that score less are rejected.
 LEAST_QUALITY = 0.3
-#: Bytes of a passage that may stand once only: fifty words of the shortest running text.
-PASSAGE_BYTES = 220
+#: A passage may stand once only if it has this many bytes and over fifty words: the bytes are those of 51 very short words.
+PASSAGE_BYTES, PASSAGE_WORDS = 200, 51
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,9 +39,9 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages that occur elsewhere; those that the cut left nothing of go."""
+    """Documents without passages of over fifty words that occur elsewhere; those that the cut left nothing of go."""
     blank = docs.withColumn("__blank", F.trim("text") == "")
-    cut = repeats.remove_repeats(blank, length=PASSAGE_BYTES).where(F.col("text").isNull() | F.col("__blank") | (F.trim("text") != ""))
+    cut = repeats.remove_repeats(blank, length=PASSAGE_BYTES, least_words=PASSAGE_WORDS).where(F.col("text").isNull() | F.col("__blank") | (F.trim("text") != ""))
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
