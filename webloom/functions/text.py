@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Fixed values (F13, F18, F30, P27, F9): patterns and word lists that decide results.
 EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+DOTTED_DATE, CLOCK = r"\d{2}\.\d{2}\.\d{4}", r"\d{1,2}:\d{2}\s*(?:AM|PM)?"
+WEEKDAY_DATE = r"(?i)(?:Mon|Tues|Wednes|Thurs|Fri|Satur|Sun)day,?\s+\w+\s+\w+"
 PHONE_START = r"\+?\d+\s*\("
 CONTACT_SIGNAL = r"@|mailto:|T\.\s*\(?\d+|\(he/him\)|\(she/her\)"
 VALUE_WITH_UNIT = r"(?iu)^[\d\s.,]+(ns|ms|μs|μm|mm|m|GeV|keV|MeV|T|kW|h|°|%|kHz|MHz|psec|nC|mrad|pmrad|μrad)\s*$"
 NOISE_KEYWORDS = ["contact", "privacy", "terms", "login", "menu", "search", "subscribe", "cookie", "policy", "newsletter", "copyright", "footer", "disclaimer", "faq", "sitemap"]
+#: Fixed values (P9): words of a repository's search form.
+UI_KEYWORDS = ["guest", "login", "search:", "sort by:", "display results:", "output format:", "search tips", "collections:", "name | info", "results overview", "try your search", "rss feed", "interested in being notified", "haven't found what you were looking for"]
 LABELS = {
     "Phone": ["tel", "telephone", "telefon", "contact", "t.", "phone", "mobile", "cell", "fax"],
     "E-Mail": ["email", "e-mail", "mail", "email address", "e-mail address"],
@@ -93,7 +98,7 @@ def to_ascii(text: Column) -> Column:
 
 def cleaned_v2(text: Column) -> Column:
     """ASCII, without URLs, dotted dates and bracketed spans, sentences set apart."""
-    rules = [(r"http\S+", ""), (r"\d{2}\.\d{2}\.\d{4}", ""), (r"\s+", " "), (r"\[.*?\]", ""), (r"\n+", "\n"), (r"\s([?.!,;])", "$1"), ("([a-z])([A-Z])", "$1. $2"), (r"(?<=[a-zA-Z])\s*\n\s*(?=[a-zA-Z])", ". ")]
+    rules = [(r"http\S+", ""), (DOTTED_DATE, ""), (r"\s+", " "), (r"\[.*?\]", ""), (r"\n+", "\n"), (r"\s([?.!,;])", "$1"), ("([a-z])([A-Z])", "$1. $2"), (r"(?<=[a-zA-Z])\s*\n\s*(?=[a-zA-Z])", ". ")]
     return F.trim(chain(to_ascii(text), rules))
 
 
@@ -176,3 +181,40 @@ def empty_link_free(text: Column) -> Column:
 
 def doubled_word_free(text: Column) -> Column:
     return F.regexp_replace(text, r"\b([A-ZÄÖÜ][a-zäöüß]+)\s+\1\b", "$1")
+
+
+def blank(text: Column) -> Column:
+    """Null, empty or white space only."""
+    return F.coalesce(F.trim(text), F.lit("")) == ""
+
+
+def is_ui_table(text: Column, name: str) -> Column:
+    """A table of the search form of the repository of that name, and not of its records, whose ids are name-year-number."""
+    lower = F.lower(text)
+    words = F.lit(False)
+    for word in UI_KEYWORDS:
+        words = words | lower.contains(word)
+    form = lower.contains(name) & lower.rlike("login|guest|search:|submit")
+    return F.coalesce((words | form) & ~lower.rlike(name + r"-\d{4}-\d{5}"), F.lit(False))
+
+
+def normalized_header(line: Column) -> Column:
+    """A table's header line: its filled cells in lower case, without punctuation."""
+    cells = F.transform(F.split(line, r"\|"), lambda c: F.lower(F.trim(F.regexp_replace(c, r"[^\w\s]", ""))))
+    return F.array_join(F.filter(cells, lambda c: c != ""), "|")
+
+
+def error_kind(message: Column) -> Column:
+    """disk_full, timeout or other."""
+    return F.when(message.rlike("(?i)ENOSPC|no space left"), "disk_full").when(F.lower(message).rlike("timeout|timed out"), "timeout").otherwise("other")
+
+
+def pdf_content(raw: Column, fit: Column) -> Column:
+    """A PDF's text: as it is before as it was filtered."""
+    return F.coalesce(F.nullif(raw, F.lit("")), fit, F.lit(""))
+
+
+def leaked_line(line: Column) -> Column:
+    """What a page's frame leaves behind: table rules, addresses, breadcrumbs, scraps of under three characters."""
+    t = F.trim(line)
+    return (F.length(t) < 3) | t.rlike(r"^https?://\S+$") | t.rlike(r"^\|[\s|:\-]*\|$") | t.rlike("^(URL:|Breadcrumb)")

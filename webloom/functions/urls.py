@@ -6,9 +6,9 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: File endings and schemes that a crawl leaves out.
+#: Fixed values (P3): file endings and schemes that are left out.
 FILE_ENDINGS = r"\.(ics|pdf|jpg|jpeg|png|zip|docx?|mp4|avi|xlsx?|ps|ps\.gz|mov|pptx?|dotx|wmv|tar\.gz|gz)(\?.*)?$"
-FOREIGN_SCHEMES = r"^(callto|davs?|mattermost|file|ftp|tel|mailto|javascript|data|doi|urn):"
+FOREIGN_SCHEMES = r"^(callto|davs?|mattermost|file|ftp|tel|mailto|javascript|data|doi|ttps|urn):"
 EMPTY_HOST = r"^https?://\s*$"
 SKIPPED_HREF = "^(#|javascript:|mailto:)"
 
@@ -102,3 +102,29 @@ def resolve_any():
         return pd.Series([None if b is None or h is None else urljoin(b, h) for b, h in zip(base, href, strict=True)])
 
     return joined
+
+
+def has_content(html: Column, markdown: Column) -> Column:
+    """Over 100 characters of HTML, or of markdown where there is no HTML."""
+    long = lambda c: F.length(F.trim(F.coalesce(c, F.lit("")))) > 100
+    return F.when(F.coalesce(html, F.lit("")) != "", long(html)).otherwise(long(markdown))
+
+
+def not_found(final_url: Column, status: Column, content: Column) -> Column:
+    """A page that is gone: status 404, or an address that says so, and nothing on it."""
+    return (final_url.contains("/404/") | F.coalesce(status == 404, F.lit(False))) & ~content
+
+
+def is_repository_page(url: Column, html: Column, hosts: list[str], markers: list[str], least: int = 2) -> Column:
+    """A page of a publication repository: by a part of its address, or by at least so many markers in its text."""
+    lower = F.lower(F.coalesce(url, F.lit("")))
+    by_url = F.lit(False)
+    for name in hosts:
+        by_url = by_url | lower.contains(name)
+    return by_url | F.coalesce(is_listed(html, markers, least), F.lit(False))
+
+
+def is_event_page(url: Column, host: str) -> Column:
+    """A page of an event system: its host and ``/event/`` in the address."""
+    lower = F.lower(F.coalesce(url, F.lit("")))
+    return lower.contains(host) & lower.contains("/event/")

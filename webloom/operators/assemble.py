@@ -127,6 +127,11 @@ def source_free(text: Column) -> Column:
     return F.array_join(lines, "\n")
 
 
+def image_references(paths: Column) -> Column:
+    """An array of image paths as numbered markdown images, a line each."""
+    return F.array_join(F.transform(paths, lambda x, i: F.concat(F.lit("![Image "), (i + 1).cast("string"), F.lit("]("), x, F.lit(")"))), "\n")
+
+
 def header_order(labels: Column) -> Column:
     """An array of labels in the order of a staff table: the fixed ones first, the others sorted."""
     rank = lambda x: F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(n) for n in LABEL_ORDER]), x), F.lit(0)), F.lit(len(LABEL_ORDER) + 1))
@@ -211,36 +216,51 @@ def with_addresses(markdown: str, contacts: list[dict]) -> str:
     return re.sub(r"(?im)^((?:\|\s*)?e-?mail:?\s*\|?\s*)([^|\[\]\n@]+)", link, markdown)
 
 
+#: Fixed values (F12): a phone number, a place's code, and what looks like one and isn't.
+_CALL = re.compile(r"(?<![\w/])\+?\d[\d\s()/-]{6,}\d")
+_PLACE = re.compile(r"\b\d+[a-z]?\s*/\s*[A-Z]?\d+[a-z]?\b")
+_NO_PLACE = re.compile(r"\b(?:ISBN|DOI|[A-Z]{3,}-\d{4})", re.I)
+
+
 def cell_text(node: Node) -> str:
     """A cell with its links: empty and generic link texts as the address or the title, a repeated address bare, doubled words once."""
-    seen: set[str] = set()
-
-    def render(n: Node) -> str:
-        out = []
-        for child in n.children:
-            if isinstance(child, str):
-                out.append(" ".join(child.split()))
-            elif child.tag == "a" and child.attrs.get("href"):
-                href, text = child.attrs["href"], child.text()
-                address = re.search(EMAIL, href) if href.lower().startswith("mailto:") else None
-                if text.lower() in GENERIC:
-                    text = address[0] if address else child.attrs.get("title") or child.attrs.get("aria-label") or text
-                if address and address[0].lower() in seen:
-                    out.append(address[0])
-                elif text:
-                    out.append(f"[{text}]({href})")
-                if address:
-                    seen.add(address[0].lower())
-            elif child.tag == "br":
-                out.append("\n")
-            elif child.tag not in ("img", "script", "style"):
-                out.append(render(child))
-        return " ".join(x for x in out if x)
-
-    text = re.sub(r" *\n *", "\n", render(node)).strip()
+    out, seen, stack = [], set(), [node]
+    while stack:
+        item = stack.pop()
+        if isinstance(item, str):
+            out.append(" ".join(item.split()))
+        elif item.tag == "a" and item.attrs.get("href"):
+            href, text = item.attrs["href"], item.text()
+            address = re.search(EMAIL, href) if href.lower().startswith("mailto:") else None
+            if text.lower() in GENERIC:
+                text = address[0] if address else item.attrs.get("title") or item.attrs.get("aria-label") or text
+            if address and address[0].lower() in seen:
+                out.append(address[0])
+            elif text:
+                out.append(f"[{text}]({href})")
+            if address:
+                seen.add(address[0].lower())
+        elif item.tag == "br":
+            out.append("\n")
+        elif item is node or item.tag not in ("img", "script", "style"):
+            stack.extend(reversed(item.children))
+    text = re.sub(r" *\n *", "\n", " ".join(x for x in out if x)).strip()
     return re.sub(r"\b([A-ZÄÖÜ][a-zäöüß]+) \1\b", r"\1", text)
 
 
+def labelled_cell(text: str) -> str:
+    """A cell whose address, number (eight digits, no years) or place has no label gets one."""
+    if re.search(r"\]\(mailto:", text) and not re.search(r"(?i)e-?mail\s*:", text):
+        text = re.sub(r"(\[[^\]]*\]\(mailto:)", r"E-mail: \1", text, count=1)
+    found = _CALL.search(re.sub(r"\([^)]*@[^)]*\)", "", text))
+    if found and len(re.sub(r"\D", "", found[0])) >= 8 and not re.fullmatch(r"(?:19|20)\d\d\s*[-/]\s*(?:19|20)\d\d", found[0].strip()) and not re.search(r"(?i)(?:phone|tel|fax)[.:]?", text):
+        text = text.replace(found[0], f"Phone: {found[0].strip()}", 1)
+    place = _PLACE.search(text)
+    if place and not _NO_PLACE.search(text) and not re.search(r"(?i)(?:location|office|room)\s*:", text):
+        text = text.replace(place[0], f"Location: {place[0]}", 1)
+    return text
+
+
 def contact_line(contact: dict) -> str:
     """A contact as one line of labelled fields."""
     fields = [("Name", contact["name"]), ("Title", contact["title"]), ("E-Mail", contact["email"] and f"[{contact['email']}](mailto:{contact['email']})"), ("Phone", contact["phone"])]
@@ -268,6 +288,45 @@ def merged_contact_lines(lines: list[str]) -> list[str]:
     return out
 
 
+def is_row(line: str) -> bool:
+    return bool(re.match(r"\|\s*[^|]+\s*\|", line.strip()))
+
+
+def without_fragments(lines: list[str]) -> list[str]:
+    """Lines without what lost tables left behind: rules under no header, text with two and more rows close below, rows of one cell in
+    runs or below a name, and last rows outside of tables. A header over a rule begins a table, which stays whole."""
+    bare = [x.strip() for x in lines]
+    rule = lambda x: bool(re.match(r"\|[\s\-:]+\|", x))
+    single = lambda x: bool(re.fullmatch(r"\|\s+[^|]+(?:\s*\|)?", x))
+    out, i, table = [], 0, False
+    lost = set(table_fragments(lines))
+    while i < len(lines):
+        t, after = bare[i], bare[i + 1] if i + 1 < len(lines) else ""
+        if table:
+            table = t.startswith("|")
+            out.append(lines[i])
+        elif rule(t):
+            if i and is_row(bare[i - 1]):
+                table = is_row(after)
+                out.append(lines[i])
+        elif is_row(t) and rule(after):
+            table = True
+            out.append(lines[i])
+        elif i in lost:
+            rows = [j for j in range(i + 1, min(len(lines), i + 15)) if bare[j].startswith("|")]
+            stop = next((j for j in range(i + 1, min(len(lines), i + 15)) if bare[j] and not bare[j].startswith("|")), len(lines))
+            i = max(j for j in rows if j < stop)
+        elif single(t):
+            ahead = next((bare[j] for j in range(i + 1, min(len(lines), i + 10)) if bare[j]), "")
+            name = any(bare[j] and not bare[j].startswith(("|", "#")) for j in (i - 1, i - 2) if j >= 0)
+            if not (single(ahead) or name):
+                out.append(lines[i])
+        elif not (is_row(t) and i + 1 < len(lines) and not rule(after) and not is_row(after)):
+            out.append(lines[i])
+        i += 1
+    return out
+
+
 def table_fragments(lines: list[str], reach: int = 14, rows: int = 2, gap: int = 2) -> list[int]:
     """Numbers of text lines with table rows close below, broken by no more blank lines than ``gap``: what a lost table left over."""
     out = []
@@ -276,6 +335,9 @@ def table_fragments(lines: list[str], reach: int = 14, rows: int = 2, gap: int =
             continue
         found = blank = 0
         for later in lines[i + 1 : i + 1 + reach]:
+            if is_rule(later):  # a whole table
+                found = 0
+                break
             if later.strip().startswith("|"):
                 found, blank = found + 1, 0
             elif later.strip():

@@ -1,7 +1,7 @@
 """HTML pages as a flat node table: one parse a page, then relational operators over nodes.
 
-``node_id`` numbers a page's elements in document order; a subtree is the range from node_id to ``last``; ``path`` holds the tags of
-the ancestors. The parser closes what HTML lets authors leave open, takes any input and never raises.
+``node_id`` numbers a page's elements in document order; a subtree is the range from node_id to ``last``; ``nav`` tells what lies
+inside navigation. Depths, flags and texts are each worked out in one pass over a page's elements, however deep. The parser closes what HTML lets authors leave open, takes any input and never raises.
 """
 
 from __future__ import annotations
@@ -115,29 +115,50 @@ def parse(html: str | None) -> Node:
     return builder.root
 
 
-NODES = "page_id long, node_id int, parent_id int, last int, depth int, tag string, attrs map<string,string>, path array<string>, own_text string, text string"
+NODES = "page_id long, node_id int, parent_id int, last int, depth int, tag string, attrs map<string,string>, nav boolean, own_text string, text string"
+_COLUMNS = [c.split()[0] for c in NODES.split(", ")]
+
+
+def texts_of(nodes: list[Node]) -> dict[int, str]:
+    """The text of every node's subtree, from those of its children: nodes in document order."""
+    out: dict[int, str] = {}
+    for node in reversed(nodes):
+        if node.tag in SILENT:
+            out[node.id] = ""
+            continue
+        parts = [" ".join(c.split()) if isinstance(c, str) else out[c.id] for c in node.children]
+        out[node.id] = " ".join(x for x in parts if x)
+    return out
 
 
 def dom_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", skip: tuple[str, ...] = ()) -> DataFrame:
     """The node table of pages; elements of skipped tags go with all that is in them."""
 
+    hidden = set(skip)
+
     def shred(batches):
         for pdf in batches:
             rows = []
             for page, html in zip(pdf["id"], pdf["html"], strict=True):
-                for node in parse(html).walk():
-                    path = [a.tag for a in node.ancestors()][::-1][1:]
-                    if node.id and node.tag not in skip and not set(path) & set(skip):
+                nodes = list(parse(html).walk())
+                texts = texts_of(nodes)
+                depth, nav, gone = {0: -1}, {0: False}, {0: False}
+                for node in nodes[1:]:
+                    up = node.parent
+                    depth[node.id] = depth[up.id] + 1
+                    nav[node.id] = nav[up.id] or up.tag in NAVIGATION
+                    gone[node.id] = gone[up.id] or node.tag in hidden
+                    if not gone[node.id]:
                         own = " ".join(" ".join(c for c in node.children if isinstance(c, str)).split())
-                        rows.append((page, node.id, node.parent.id, node.last, len(path), node.tag, node.attrs, path, own, node.text()))
-            yield pd.DataFrame(rows, columns=["page_id", "node_id", "parent_id", "last", "depth", "tag", "attrs", "path", "own_text", "text"])
+                        rows.append((page, node.id, up.id, node.last, depth[node.id], node.tag, node.attrs, nav[node.id], own, texts[node.id]))
+            yield pd.DataFrame(rows, columns=_COLUMNS)
 
     return pages.select(F.col(id_col).cast("long").alias("id"), F.col(html_col).alias("html")).mapInPandas(shred, NODES)
 
 
-def in_navigation(path: Column = None) -> Column:
+def in_navigation() -> Column:
     """Inside navigation, header, footer or aside."""
-    return F.arrays_overlap(F.col("path") if path is None else path, F.array(*[F.lit(t) for t in NAVIGATION]))
+    return F.col("nav")
 
 
 def main_scope(nodes: DataFrame) -> DataFrame:

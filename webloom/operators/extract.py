@@ -13,19 +13,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.functions.text import EMAIL
+from webloom.functions.text import EMAIL, UI_KEYWORDS
+from webloom.operators.cells import widened
 from webloom.operators.dom import NAVIGATION, Node, parse
+from webloom.operators.render import merged, signature, table_markdown
 
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 _EMAIL = re.compile(EMAIL)
 _PHONE = re.compile(r"\+?\d[\d\s()/.\-]{6,}\d")
-_URL = re.compile(r"https?://[^\s<>\"']+")
 _NAME = re.compile(r"\b[A-ZÄÖÜ][a-zäöüß]+(?:[\s-]+[A-ZÄÖÜ][a-zäöüß]+)+\b")
-_LOCATION = re.compile(r"\b\d{1,3}[a-z]?\s*/\s*[A-Z]?\d{1,4}[a-z]?\b|\b(?:Room|Building)\s+\w+", re.I)
+#: Fixed values (H13d, H14): hosts of video meetings; words of a person's position.
 TITLES = {"head", "manager", "leader", "director", "professor", "prof", "engineer", "scientist", "secretary", "coordinator", "group", "department", "office"}
 VIDEO_HOSTS = ("zoom.us", "teams.microsoft", "meet.google", "webex", "bluejeans")
-DATE = re.compile(r"(?:Mon|Tues|Wednes|Thurs|Fri|Satur|Sun)day,?\s+\d{1,2}\s+\w+\s+\d{4}|\b\d{2}\.\d{2}\.\d{4}\b|\b\d{4}-\d{2}-\d{2}\b")
-TIME = re.compile(r"\b\d{1,2}:\d{2}\b")
 
 
 def inside(node: Node, tags) -> bool:
@@ -41,19 +40,19 @@ def scope(root: Node) -> Node:
 
 
 def link_text(node: Node) -> str:
-    """Text with its links as markdown."""
-    if node.tag == "a" and node.attrs.get("href") and node.text():
-        return f"[{node.text()}]({node.attrs['href']})"
-    out = []
-    for child in node.children:
-        if isinstance(child, str):
-            if child.strip():
-                out.append(" ".join(child.split()))
-        elif child.tag == "br":
+    """Text with its links as markdown; without recursion, however deep."""
+    out, stack = [], [node]
+    while stack:
+        item = stack.pop()
+        if isinstance(item, str):
+            if item.strip():
+                out.append(" ".join(item.split()))
+        elif item.tag == "a" and item.attrs.get("href") and (text := item.text()):
+            out.append(f"[{text}]({item.attrs['href']})")
+        elif item.tag == "br":
             out.append("\n")
-        elif child.tag not in ("img", "script", "style"):
-            if part := link_text(child):
-                out.append(part)
+        elif item is node or item.tag not in ("img", "script", "style"):
+            stack.extend(reversed(item.children))
     return re.sub(r" ?\n ?", "\n", " ".join(out)).strip()
 
 
@@ -84,127 +83,90 @@ def inside_own(node: Node, top: Node, tag: str) -> bool:
     return False
 
 
-def pairs(cell: str) -> list[tuple[str, str]]:
-    """(label, value) of a cell that holds several fields, by labels before colons, else by what values look like."""
-    out: list[tuple[str, str]] = []
-    for segment in (s for line in cell.split("\n") for s in re.split(r"\s{2,}|\s*\|\s*", line)):
-        if not (segment := segment.strip()):
-            continue
-        label = re.match(r"^([A-Za-zÄÖÜäöüß][\w .\-]{0,28}):\s*(.+)$", segment)
-        if label and not label[2].startswith("//"):
-            out.append((standard_label(label[1]), label[2].strip()))
-            continue
-        rest = segment
-        for name, pattern in (("E-Mail", _EMAIL), ("Link", _URL), ("Phone", _PHONE), ("Location", _LOCATION)):
-            for found in pattern.findall(rest):
-                out.append((name, found.strip()))
-                rest = rest.replace(found, " ")
-        rest = re.sub(r"\[\s*\]\((?:mailto:)?\s*\)", "", rest).strip(" ,;()[]")
-        if rest:
-            name = _NAME.search(rest)
-            out.insert(0, ("Name", name[0])) if name and not any(k == "Name" for k, _ in out) else out.append(("Info", rest))
-    return out
+#: Fixed values (H1b): class and id words of boxes whose headings are navigation.
+_NAV_BOX = re.compile(r"nav|sidebar|menu|header|footer|topbar|breadcrumb", re.I)
+_LABEL_WORD = re.compile(r"(?:e-?mail|phone|tel|location|office|room):\s*")
+_LINKED = re.compile(r"\[([^\]]+)\]\([^)]+\)")
 
 
-def standard_label(label: str) -> str:
-    from webloom.functions.text import LABELS
-
-    key = label.strip().rstrip(":").lower()
-    return next((name for name, synonyms in LABELS.items() if key in synonyms), " ".join(w.capitalize() for w in key.split()))
-
-
-def widened(found: dict) -> dict:
-    """A table of one column as one of several, a column for each label: Name first, the others sorted; the last of equal labels wins."""
-    if not found["rows"] or any(len(r) != 1 for r in found["rows"]):
-        return found
-    records = [dict(pairs(r[0])) or {"Original": r[0]} for r in found["rows"]]
-    labels = sorted({k for r in records for k in r}, key=lambda k: (k != "Name", k))
-    return found if len(labels) < 2 else found | {"headers": labels, "rows": [[r.get(k, "") for k in labels] for r in records]}
-
-
-def merged(tables: list[dict]) -> list[dict]:
-    """Runs of tables of one row whose headers share two kinds with the run's first, as one table."""
-    kinds = lambda t: {k for h in t["headers"] for k, p in (("mail", "mail"), ("phone", "phone|tel"), ("place", "location|office|room"), ("name", "name")) if re.search(p, h.lower())}
-    out: list[dict] = []
-    first: set | None = None
-    for t in tables:
-        own = kinds(t) if len(t["rows"]) == 1 else set()
-        if first and len(own & first) >= 2:
-            into = out[-1]
-            heads = into["headers"] + [h for h in t["headers"] if h not in into["headers"]]
-            row = dict(zip(t["headers"], t["rows"][0], strict=False))
-            into["rows"] = [r + [""] * (len(heads) - len(r)) for r in into["rows"]] + [[row.get(h, "") for h in heads]]
-            into["headers"] = heads
-        else:
-            out.append({"headers": list(t["headers"]), "rows": [list(r) for r in t["rows"]], "caption": t["caption"]})
-            first = own if len(own) >= 2 else None
-    return out
+def tokens(text: str) -> set[str]:
+    """Words of three letters and more that tell a row from others."""
+    return {w for w in text.split() if len(w) >= 3} - {"the", "and", "for"}
+
 
+def ui_table(found: dict, repository: str | None) -> bool:
+    """A table of a repository's search form and not of its records."""
+    if not repository:
+        return False
+    text = " ".join([*found["headers"], *(c for r in found["rows"] for c in r)]).lower()
+    form = repository in text and re.search("login|guest|search:|submit", text)
+    return bool((any(k in text for k in UI_KEYWORDS) or form) and not re.search(re.escape(repository) + r"-\d{4}-\d{5}", text))
 
-def signature(t: dict) -> tuple:
-    """What equal tables share: the first cells and headers."""
-    return tuple(c.lower()[:50] for c in (t["rows"][0][:3] if t["rows"] else [])), tuple(h.lower()[:30] for h in t["headers"][:3])
 
+def items(root: Node, repository: str | None = None) -> list[dict]:
+    """Headings, paragraphs, lists and tables of the main scope in document order.
 
-def items(root: Node) -> list[dict]:
-    """Headings, paragraphs, lists and tables of the main scope in document order: headings once a page, paragraphs of 30
-    characters (15 behind a heading or with a question), no navigation, no paragraph that repeats a table's row."""
+    Headings once a page; where the scope is the body, none inside navigation or boxes named so. Paragraphs of 30 characters (15
+    behind a heading of their parent or with a question), outside of navigation, not links only, and none that repeats a table's
+    row. Lists outside of navigation by their own items. Tables outside of tables; with a repository's name, not its search form."""
     top = scope(root)
     out, heads, rows = [], set(), []
+    boxed, nav = {top.id: False}, {top.id: top.tag in NAVIGATION or inside(top, NAVIGATION)}
+    silent, tabled, headed = {top.id: False}, {top.id: top.tag == "table" or inside(top, ("table",))}, set()
     for n in top.walk():
-        if n is top or inside(n, NAVIGATION) or inside(n, ("script", "style")):
+        if n is top:
+            continue
+        up = n.parent.id
+        box = n.tag in ("div", "section") and _NAV_BOX.search(n.attrs.get("class", "") + " " + n.attrs.get("id", ""))
+        boxed[n.id] = boxed[up] or bool(box)
+        nav[n.id] = nav[up] or n.tag in NAVIGATION
+        silent[n.id] = silent[up] or n.tag in ("script", "style")
+        tabled[n.id] = tabled[up] or n.tag == "table"
+        if silent[n.id]:
             continue
-        text = n.text()
-        if n.tag in HEADINGS and text and text not in heads:
-            heads.add(text)
-            out.append({"type": "heading", "level": int(n.tag[1]), "text": text, "pos": n.id, "table": None})
-        elif n.tag == "table" and not inside(n, ("table",)):
-            found = widened(table(n))
-            if found["rows"]:
+        if n.tag in HEADINGS:
+            headed.add(up)
+            text = n.text()
+            if text and text not in heads and not (top.tag == "body" and (nav[n.id] or boxed[n.id])):
+                heads.add(text)
+                out.append({"type": "heading", "level": int(n.tag[1]), "text": text, "pos": n.id, "table": None})
+        elif n.tag == "table" and not tabled[up]:
+            found = table(n)
+            if found["rows"] and not ui_table(found, repository):
+                found = widened(found)
                 out.append({"type": "table", "level": 0, "text": found["caption"], "pos": n.id, "table": found})
-                rows += [set(re.findall(r"\w{3,}", " ".join(r).lower())) for r in found["rows"]]
-        elif n.tag == "p":
-            before = [c for c in n.parent.children if isinstance(c, Node) and c.id < n.id]
-            least = 15 if text.endswith("?") or (before and before[-1].tag in HEADINGS) else 30
+                said = (_LINKED.sub(r"\1", " ".join(r)).lower() for r in found["rows"])
+                rows += [tokens(x) for x in said if len(x) > 30]
+        elif n.tag == "p" and not nav[up]:
+            joined, text = n.text(""), n.text()
             links = n.find_all("a")
-            words = set(re.findall(r"\w{3,}", text.lower()))
+            words = tokens(_LABEL_WORD.sub("", text.lower()))
             repeats = any(len(words & r) >= 3 and len(words & r) * 2 >= len(words) for r in rows)
-            if len(text) >= least and not (links and len(text) < 50 and len(links) >= len(text.split())) and not repeats:
+            long = len(joined) >= (15 if joined.endswith("?") or up in headed else 30)
+            if long and not (links and len(joined) < 50 and len(links) >= len(joined.split())) and not repeats:
                 out.append({"type": "paragraph", "level": 0, "text": link_text(n), "pos": n.id, "table": None})
-        elif n.tag in ("ul", "ol"):
-            own = [link_text(c) for c in n.children if isinstance(c, Node) and c.tag == "li"]
-            if any(own):
-                mark = (lambda i: f"{i}. ") if n.tag == "ol" else (lambda i: "* ")
-                out.append({"type": "list", "level": int(n.tag == "ol"), "text": "\n".join(mark(i) + x for i, x in enumerate((x for x in own if x), 1)), "pos": n.id, "table": None})
+        elif n.tag in ("ul", "ol") and not nav[up]:
+            own = [x for c in n.children if isinstance(c, Node) and c.tag == "li" and (x := link_text(c))]
+            if own:
+                mark = (lambda i: f"{i}. ") if n.tag == "ol" else (lambda i: "  * ")
+                out.append({"type": "list", "level": int(n.tag == "ol"), "text": "\n".join(mark(i) + x.replace("\n", " ") for i, x in enumerate(own, 1)), "pos": n.id, "table": None})
     return out
 
 
-def table_markdown(t: dict) -> str:
-    """A table as markdown; none of more than ten columns."""
-    width = max([len(t["headers"]), *map(len, t["rows"])], default=0)
-    if not width or width > 10 or not t["rows"]:
-        return ""
-    heads, rows = t["headers"], t["rows"]
-    if not heads and all(len(c) <= 100 and not re.search(r"\d|@", c) for c in rows[0]) and len(rows) > 1:
-        heads, rows = rows[0], rows[1:]
-    line = lambda r: "| " + " | ".join(c.replace("\n", " ").replace("|", "\\|") for c in r + [""] * (width - len(r))) + " |"
-    top = [line(heads), "|" + "---|" * width] if heads else []
-    return "\n".join([*top, *map(line, rows)])
-
-
-def markdown(url: str | None, root: Node) -> str:
-    """The page's items under its source; tables with equal beginnings once, runs of single-row tables together."""
-    out, seen, held = [f"# Source URL\n\n{url or ''}\n"], set(), []
+def body_markdown(root: Node, repository: str | None = None) -> str:
+    """The page's items; tables with equal beginnings once, runs of single-row tables together."""
+    out, seen, held = [], set(), []
 
     def flush():
         for t in merged(held):
-            if signature(t) not in seen:
-                seen.add(signature(t))
+            sign = signature(t)
+            if not sign or sign not in seen:
                 if text := table_markdown(t):
                     out.append(text + "\n")
+                    seen.add(sign)
         held.clear()
 
-    for item in items(root):
+    for item in items(root, repository):
         if item["type"] == "table":
             held.append(item["table"])
             continue
@@ -214,17 +176,33 @@ def markdown(url: str | None, root: Node) -> str:
     return "\n".join(out)
 
 
+def markdown(url: str | None, root: Node) -> str:
+    """The page's items under its source."""
+    return f"# Source URL\n\n{url or ''}\n\n{body_markdown(root)}"
+
+
+def host_of(url: str | None) -> str:
+    """The host without ``www.``; '' for what is no URL."""
+    try:
+        return urlsplit(url or "").netloc.removeprefix("www.")
+    except ValueError:
+        return ""
+
+
 def external_links(url: str | None, root: Node) -> list[dict]:
     """Links to other hosts outside of tables, each target once, with the heading above."""
-    own = urlsplit(url or "").netloc.removeprefix("www.")
+    own = host_of(url)
     out, seen, near, low = [], set(), None, None
+    tabled = {0: False}
     for n in root.walk():
+        if n is not root:
+            tabled[n.id] = tabled[n.parent.id] or n.tag in ("table", "td", "th")
         if n.tag in HEADINGS and n.text():
             if n.tag <= "h3":
                 near = n.text()
             elif low is None or n.tag <= low[0]:
                 low = n.tag, n.text()
-        elif n.tag == "a" and (href := n.attrs.get("href", "")) and not href.startswith(("#", "mailto:", "javascript:")) and not inside(n, ("table", "td", "th")):
+        elif n.tag == "a" and (href := n.attrs.get("href", "")) and not href.startswith(("#", "mailto:", "javascript:")) and not tabled[n.id]:
             try:
                 target = urljoin(url or "", href)
                 other = urlsplit(target).netloc.removeprefix("www.")
@@ -260,42 +238,100 @@ def contacts(root: Node) -> list[dict]:
     return out
 
 
+_WEEKDAY = re.compile(r"(?:Mon|Tues|Wednes|Thurs|Fri|Satur|Sun)day\s+\w+\s+\d+", re.I)
+_NUMBER_DATE = re.compile(r"\d{1,2}[/.-]\d{1,2}[/.-]\d{2,4}")
+TIME = re.compile(r"\d{1,2}:\d{2}\s*(?:AM|PM)?", re.I)
+#: Fixed values (H13): words of deadlines, endings of material, and what an agenda and its entries are called.
+DEADLINES = ("deadline", "registration", "submission", "abstract")
+MATERIAL, FILES = (".pdf", ".pptx", ".ppt", ".doc", "/attachments/", "/material/"), (".pdf", ".pptx", ".ppt", ".docx")
+
+
+def _one(node: Node, tags: tuple[str, ...], *words: str, by: tuple[str, ...] = ("class",)) -> Node | None:
+    """The first such element with one of the words in its class (or id); of several attributes the first that finds one."""
+    for attribute in by:
+        for n in node.walk():
+            if n is not node and n.tag in tags and any(w in n.attrs.get(attribute, "").lower() for w in words):
+                return n
+    return None
+
+
 def event(url: str | None, root: Node) -> dict:
-    """Title, date, place, video links, description, deadlines, agenda (20 entries), attachments and outside links (10)."""
-    classed = lambda *words: [n for n in root.walk() if any(w in n.attrs.get("class", "").lower() for w in words)]
-    first = lambda nodes: next((n.text() for n in nodes if n.text()), None)
-    heads = root.find_all("h1")
-    text = root.text()
-    links = [(a.attrs.get("href", ""), a.text()) for a in root.find_all("a")]
-    stamped = [n.attrs["datetime"] for n in root.find_all("time") if n.attrs.get("datetime")]
-    found = DATE.search(text)
+    """Title, date, place, video links, description, deadlines, agenda (20 entries with time, title, speaker and material), files if
+    there is no agenda, and outside links (10)."""
+    site = re.match(r"https?://[^/]*", url or "")
+    whole = lambda href: (site[0] if site else "") + href if href.startswith("/") else href
+    text = lambda n: n.text() if n is not None else None
+    title = _one(root, ("h1",), "title") or next(iter(root.find_all("h1")), None)
+    boxes = root.find_all("span", "div", "p")
+    date = _one(root, ("time", "span", "div"), "date", "time") or next((n for n in root.find_all("time") if n.attrs.get("datetime")), None) or next((n for n in boxes if _WEEKDAY.search(n.text())), None)
+    place = _one(root, ("span", "div"), "location") or next((n for n in boxes if re.fullmatch(r"\d+\s*\(\d+\)", n.text()) or "room" in n.text().lower()), None)
+    links = [(a.attrs["href"], a.text()) for a in root.find_all("a") if a.attrs.get("href")]
+    about = text(_one(root, ("div", "section"), "description", by=("class", "id")))
+    found = []
+    for word in DEADLINES:
+        for n in root.find_all("div", "span", "p", "dt", "dd"):
+            low = n.text().lower()
+            if word in low and ("deadline" in low or _NUMBER_DATE.search(low)) and len(low) < 200:
+                found.append(n.text())
+    table_ = _one(root, ("div", "section", "ul"), "timetable", "contributions", "agenda") or _one(root, ("div", "section"), "timetable", "schedule", by=("id",))
     agenda = []
-    for n in classed("contribution", "timetable-item", "agenda-item")[:20]:
-        time = TIME.search(n.text())
-        agenda.append(" ".join(x for x in (time[0] if time else "", first([c for c in n.walk() if "title" in c.attrs.get("class", "")]) or n.text()) if x))
-    files = [t or h for h, t in links if re.search(r"\.(pdf|pptx?|docx)(\?|$)", h.lower()) and len(t) < 100]
+    entries = [n for n in table_.find_all("div", "li", "tr") if any(w in n.attrs.get("class", "").lower() for w in ("entry", "contribution", "talk"))] if table_ else []
+    for n in entries[:20]:
+        time, head, speaker = TIME.search(n.text()), text(_one(n, ("span", "div", "a"), "title")), text(_one(n, ("span", "div"), "speaker"))
+        if time or head or speaker:
+            agenda.append("".join([f"**{time[0].strip()}** " if time else "", f"- {head}" if head else "", f" (Speaker: {speaker})" if speaker else ""]))
+            agenda += [f"  - [{a.text() or 'Attachment'}]({whole(a.attrs['href'])})" for a in n.find_all("a") if any(m in a.attrs.get("href", "").lower() for m in MATERIAL)]
+    own = host_of(url)
+    outside = dict.fromkeys(h for h, t in links if h.startswith("http") and len(t) > 2 and not (own and host_of(h) == own))
     return {
-        "title": first([h for h in heads if "title" in h.attrs.get("class", "")]) or first(heads),
-        "date": first(classed("date", "event-time")) or (stamped[0] if stamped else None) or (found[0] if found else None),
-        "location": first(classed("location")) or next((t for t in (n.text() for n in root.find_all("span", "div", "p")) if re.fullmatch(r"\d+\s*\(\d+\)", t) or (len(t) < 60 and "room" in t.lower())), None),
-        "video": [h for h, _ in links if any(v in h for v in VIDEO_HOSTS)],
-        "description": (first([n for n in classed("description") if len(n.text()) > 10]) or "")[:1000] or None,
-        "deadlines": [t for t in (n.text() for n in root.find_all("p", "li", "td")) if "deadline" in t.lower() and len(t) < 200],
+        "title": text(title),
+        "date": text(date) or (date.attrs.get("datetime") if date is not None else None),
+        "location": text(place),
+        "video": [h for h, _ in links if any(v in h.lower() for v in VIDEO_HOSTS)],
+        "description": about[:1000] if about and len(about) > 10 else None,
+        "deadlines": found,
         "agenda": agenda,
-        "attachments": [] if agenda else files,
-        "links": list(dict.fromkeys(x["href"] for x in external_links(url, root) if len(x["text"]) > 2))[:10],
+        "attachments": [] if agenda else [f"[{t}]({whole(h)})" for h, t in links if any(x in h.lower() for x in FILES) and 0 < len(t) < 100],
+        "links": list(outside)[:10],
     }
 
 
-def apply(pages: DataFrame, function, schema: str, id_col: str = "page_id") -> DataFrame:
-    """Rows that function(url, root) returns for each page (url, html), behind the page's id."""
+#: Fixed values (H13j): a warning that event systems show to old browsers.
+_WARNING = re.compile(r"(?:#{1,6}\s*)?⚠\s*Your browser is out of date\s*⚠.*?may not work correctly in this browser\.?\s*\n?", re.I | re.S)
+
+
+def event_markdown(url: str | None, root: Node) -> str:
+    """An event page as markdown, without browser warnings and with no more than two blank lines in a row."""
+    e = event(url, root)
+    bullets = lambda xs: "\n".join(f"- {x}" for x in xs)
+    names = {a.attrs.get("href"): a.text() for a in reversed(root.find_all("a"))}
+    link = lambda h: f"[{names.get(h) or h}]({h})"
+    parts = [
+        e["title"] and f"# {e['title']}", e["date"] and f"**Date:** {e['date']}", e["location"] and f"**Location:** {e['location']}",
+        e["video"] and "**Video Conference:**\n" + bullets(map(link, e["video"])), e["description"] and f"**Description:**\n{e['description']}",
+        "\n".join(f"**{d}**" for d in e["deadlines"]), e["agenda"] and "## Agenda/Contributions\n\n" + "\n".join(e["agenda"]),
+        e["attachments"] and "## Attachments\n\n" + bullets(e["attachments"]), e["links"] and "## External Links\n\n" + bullets(map(link, e["links"])),
+    ]
+    return re.sub(r"\n{4,}", "\n\n\n", _WARNING.sub("", "\n\n".join(x for x in parts if x))).strip()
+
+
+def apply(pages: DataFrame, function, schema: str, id_col: str = "page_id", errors: bool = False) -> DataFrame:
+    """Rows that function(url, root) returns for each page (url, html), behind the page's id.
+
+    A page that the function fails on has no rows and doesn't fail the others; with ``errors`` it has one row of nulls, and every
+    row has what went wrong in a column ``error``."""
     names = [c.strip().split(" ")[0] for c in re.split(r",(?![^<]*>)", schema)]
+    columns = ["page_id", *names, *(["error"] if errors else [])]
 
     def run(batches):
         for pdf in batches:
             rows = []
             for page, url, html in zip(pdf["id"], pdf["url"], pdf["html"], strict=True):
-                rows += [(page, *[r[n] for n in names]) for r in function(url, parse(html))]
-            yield pd.DataFrame(rows, columns=["page_id", *names])
-
-    return pages.select(F.col(id_col).cast("long").alias("id"), "url", "html").mapInPandas(run, f"page_id long, {schema}")
+                try:
+                    made = [(page, *[r[n] for n in names], *([None] if errors else [])) for r in function(url, parse(html))]
+                except Exception as problem:  # one page's failure is its own
+                    made = [(page, *[None] * len(names), f"{type(problem).__name__}: {problem}"[:500])] if errors else []
+                rows += made
+            yield pd.DataFrame(rows, columns=columns)
+
+    return pages.select(F.col(id_col).cast("long").alias("id"), "url", "html").mapInPandas(run, f"page_id long, {schema}" + (", error string" if errors else ""))

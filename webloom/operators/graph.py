@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame
@@ -9,10 +10,13 @@ from pyspark.sql import functions as F
 
 
 def reliable(df: DataFrame) -> DataFrame:
-    """df with its lineage cut through the shared checkpoint folder (one of our own only where none is set)."""
+    """df with its lineage cut through the shared checkpoint folder (one of our own only where none is set and all runs on one machine)."""
     context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="webloom-"))
+        named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+        context.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="webloom-"))
     return df.checkpoint(eager=True)
 
 
@@ -33,6 +37,11 @@ def bfs_depths(edges: DataFrame, seeds: DataFrame, max_depth: int, src: str = "s
     return seen
 
 
+def crawl(edges: DataFrame, seeds: DataFrame, max_depth: int, max_pages: int) -> DataFrame:
+    """(node, depth): breadth-first depths, at most ``max_pages`` nodes, nearest first and then by name."""
+    return bfs_depths(edges, seeds, max_depth).orderBy("depth", "node").limit(max_pages)
+
+
 def assigned_depth(pages: DataFrame, depths: DataFrame, max_depth: int, final: str = "final_url", original: str = "original_url", overflow: str = "clamp") -> DataFrame:
     """pages with ``depth``: by the final URL, else the original one, else 1; over max_depth clamped or dropped."""
     by_final = depths.select(F.col("node").alias("__f"), F.col("depth").alias("__fd"))

@@ -29,11 +29,12 @@ def _packed(df: DataFrame, id_col: str, vector: str, size: int) -> tuple[DataFra
     return rows.groupBy("block").agg(F.collect_list(F.struct("id", "v")).alias("rows")), n
 
 
-def scores(docs: DataFrame, queries: DataFrame, id_col: str, vector: str, metric: str = "cosine", k: int | None = None, size: int = 4096, asked: int = 256) -> DataFrame:
+def scores(docs: DataFrame, queries: DataFrame, id_col: str, vector: str, metric: str = "cosine", k: int | None = None, size: int = 4096, asked: int = 256, least: float | None = None) -> DataFrame:
     """(query_id, id, score) of the stated queries against all rows: similarities (cosine) or squared distances (l2).
 
     Blocks of queries meet blocks of rows by block number, so a task multiplies two matrices of bounded size; with ``k`` it
-    sends each query's best k of its block only (and equal scores of the last), which is all that a ranking can need."""
+    sends each query's best k of its block only (and equal scores of the last), which is all that a ranking can need; with
+    ``least`` only similarities of at least that."""
     rows, _ = _packed(docs, id_col, vector, size)
     wanted, n = _packed(queries, id_col, vector, asked)
     nodes = rows.select(F.col("rows").alias("docs"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block")).join(wanted, "block").select("docs", "rows")
@@ -51,6 +52,8 @@ def scores(docs: DataFrame, queries: DataFrame, id_col: str, vector: str, metric
                     goal = -s if metric == "cosine" else s
                     edge = np.partition(goal, k - 1, axis=1)[:, k - 1 : k]
                     i, j = np.nonzero(goal <= edge + 1e-9)
+                elif least is not None:
+                    i, j = np.nonzero(s >= least)
                 else:
                     i, j = np.repeat(np.arange(len(qid)), len(ids)), np.tile(np.arange(len(ids)), len(qid))
                 yield pd.DataFrame({"query_id": qid[i], "id": ids[j], "score": s[i, j]})
@@ -59,11 +62,20 @@ def scores(docs: DataFrame, queries: DataFrame, id_col: str, vector: str, metric
     return nodes.mapInPandas(multiply, f"query_id {kind}, id {kind}, score double")
 
 
-def top_k(scored: DataFrame, k: int, largest: bool = True) -> DataFrame:
-    """(query_id, rank, id, score): the best k of each query, ties to the smaller id; limited in each task before the shuffle."""
+def top_k(scored: DataFrame, k: int | None, largest: bool = True) -> DataFrame:
+    """(query_id, rank, id, score): the best k of each query, ties to the smaller id, limited in each task before the shuffle; None: all."""
     best = F.desc("score") if largest else F.asc("score")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(best, "id"))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+    ranked = scored.withColumn("rank", rank)
+    return ranked if k is None else ranked.where(F.col("rank") <= k)
+
+
+def exactly(rows: DataFrame, n: int) -> DataFrame:
+    """The first n rows; raises if there are fewer."""
+    found = rows.limit(n)
+    if (there := found.count()) < n:
+        raise ValueError(f"{n} rows are wanted, there are {there}")
+    return found
 
 
 def diverse(found: DataFrame, docs: DataFrame, id_col: str, vector: str, k: int, weight: float = 0.5) -> DataFrame:
@@ -76,7 +88,7 @@ def diverse(found: DataFrame, docs: DataFrame, id_col: str, vector: str, k: int,
         v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
         gain, near, picked = pdf["score"].to_numpy(), np.full(len(pdf), 0.0), []
         while len(picked) < min(k, len(pdf)):
-            value = weight * gain - (1 - weight) * near
+            value = np.round(weight * gain - (1 - weight) * near, 12)  # equal but for the last digits: the first in order
             value[picked] = -np.inf
             best = int(np.argmax(value))
             near = np.maximum(near, v @ v[best]) if picked else v @ v[best]

@@ -77,17 +77,18 @@ def label_headers(spark, sf_dir):
 
 @register(
     "earliest_names",
-    r"""WITH n AS (SELECT doc_id, text, regexp_extract(text, '[A-Z][a-z]+ [A-Z][a-z]+') AS two, regexp_extract(text, '[A-Z][a-z]+, [A-Z][a-z]+') AS turned FROM documents)
+    r"""WITH n AS (SELECT doc_id, text, regexp_extract(text, '[A-ZÄÖÜ][a-zäöüß]+ [A-ZÄÖÜ][a-zäöüß]+') AS two, regexp_extract(text, '[A-ZÄÖÜ][a-zäöüß]+, [A-ZÄÖÜ][a-zäöüß]+') AS turned FROM documents)
   SELECT doc_id, CASE WHEN two <> '' AND (turned = '' OR strpos(text, two) <= strpos(text, turned)) THEN two ELSE turned END AS name FROM n WHERE two <> '' OR turned <> ''""",
 )
 def earliest_names(spark, sf_dir):
     """Of a document's candidates for a name the one that comes first."""
-    candidates = F.array(*[F.regexp_extract("text", p, 0) for p in ("[A-Z][a-z]+ [A-Z][a-z]+", "[A-Z][a-z]+, [A-Z][a-z]+")])
+    candidates = F.array(*[F.regexp_extract("text", p, 0) for p in ("[A-ZÄÖÜ][a-zäöüß]+ [A-ZÄÖÜ][a-zäöüß]+", "[A-ZÄÖÜ][a-zäöüß]+, [A-ZÄÖÜ][a-zäöüß]+")])
     placed = F.transform(F.filter(candidates, lambda x: x != ""), lambda x: F.struct(F.instr(F.col("text"), x).alias("at"), x.alias("name")))
     return _docs(spark, sf_dir).select("doc_id", F.array_min(placed)["name"].alias("name")).where("name is not null")
 
 
-@register("visible_nodes")
+@register("visible_nodes", rf"""WITH {page_queries.BARE}, v AS (SELECT page_id, regexp_replace(h, '(?s)(<nav>.*?</nav>|<footer>.*?</footer>|<script>.*?</script>|<style>.*?</style>)', '', 'g') AS h FROM b),
+  t AS (SELECT page_id, unnest(regexp_extract_all(h, '<([a-zA-Z][a-zA-Z0-9]*)', 1)) AS tag FROM v) SELECT page_id, tag, count(*) AS n FROM t GROUP BY page_id, tag""")
 def visible_nodes(spark, sf_dir):
     """Elements of each page that are neither navigation nor hidden, by tag."""
     nodes = dom.dom_nodes(_pages(spark, sf_dir))
@@ -95,12 +96,21 @@ def visible_nodes(spark, sf_dir):
     return assemble.without_subtrees(nodes, marked).groupBy("page_id", "tag").agg(F.count("*").alias("n"))
 
 
-@register("link_heavy_blocks")
+@register("link_heavy_blocks", f"""WITH {page_queries.BARE}, s AS (SELECT page_id, string_split(h, '<ul>') AS p FROM b),
+  u AS (SELECT page_id, split_part(p[i + 1], '</ul>', 1) AS part, CAST(list_sum(list_transform(p[1:i], lambda x: {page_queries.TAGS.format('x')})) + i AS INTEGER) AS node_id FROM s, range(1, len(p)) r(i))
+  SELECT page_id, node_id, 'ul' AS tag, len(regexp_extract_all(part, '<a ')) AS links FROM u WHERE len(regexp_extract_all(part, '<a ')) > 3 AND length({page_queries.SAID.format('part')}) < 200""")
 def link_heavy_blocks(spark, sf_dir):
     return assemble.link_heavy(dom.dom_nodes(_pages(spark, sf_dir))).select("page_id", "node_id", "tag", "links")
 
 
-@register("dense_blocks")
+_WORDS = r"len(list_filter(string_split_regex(trim({0}), '\s+'), lambda w: w <> ''))"
+
+
+@register("dense_blocks", f"""WITH {page_queries.PARAGRAPHS}, d AS (SELECT page_id, string_split(h, '<div class="ad">') AS p FROM b),
+  x AS (SELECT page_id, pos AS node_id, 'p' AS tag, said FROM t
+    UNION ALL SELECT page_id, CAST({page_queries.TAGS.format("split_part(h, '<article>', 1)")} + 1 AS INTEGER), 'article', {page_queries.SAID.format("regexp_extract(h, '(?s)<article>(.*?)</article>', 1)")} FROM b
+    UNION ALL SELECT page_id, CAST(list_sum(list_transform(p[1:i], lambda y: {page_queries.TAGS.format('y')})) + i AS INTEGER), 'div', {page_queries.SAID.format("split_part(p[i + 1], '</div>', 1)")} FROM d, range(1, len(p)) r(i))
+  SELECT page_id, node_id, tag, CAST({_WORDS.format('said')} AS BIGINT) AS words, CAST(1 AS DOUBLE) AS density FROM x WHERE {_WORDS.format('said')} >= 5""")
 def dense_blocks(spark, sf_dir):
     return assemble.dense_blocks(dom.dom_nodes(_pages(spark, sf_dir)))
 
@@ -124,7 +134,8 @@ def empty_sections(spark, sf_dir):
     return assemble.empty_sections(_markdown_lines(spark, sf_dir), "page_id")
 
 
-@register("heading_antijoin")
+@register("heading_antijoin", rf"""WITH {page_queries.MARKDOWN}, l AS (SELECT page_id, unnest(string_split(markdown, chr(10))) AS line, CAST(generate_subscripts(string_split(markdown, chr(10)), 1) - 1 AS INTEGER) AS line_no FROM m)
+  SELECT l.page_id, line_no, line FROM l WHERE NOT (starts_with(trim(line), '#') AND EXISTS (SELECT 1 FROM i WHERE i.page_id = l.page_id AND type = 'heading' AND lower(trim(i.text)) = lower(trim(regexp_replace(line, '^#+', '')))))""")
 def heading_antijoin(spark, sf_dir):
     """Lines of each page's markdown without the headings that its node table has."""
     nodes = dom.dom_nodes(_pages(spark, sf_dir))
@@ -132,9 +143,9 @@ def heading_antijoin(spark, sf_dir):
     return assemble.without_known_headings(_markdown_lines(spark, sf_dir), headings, "page_id")
 
 
-@register("linked_tables")
+@register("linked_tables", f"WITH {page_queries.MARKDOWN} SELECT page_id, markdown FROM m")
 def linked_tables(spark, sf_dir):
-    """Each page's markdown with its tables' links and contacts' addresses put back."""
+    """Each page's markdown with its tables' links and contacts' addresses put back; the tables' pages have none."""
 
     def linked(url, root):
         text = assemble.with_table_links(extract.markdown(url, root), root)
@@ -143,7 +154,7 @@ def linked_tables(spark, sf_dir):
     return extract.apply(_pages(spark, sf_dir), linked, "markdown string")
 
 
-@register("contact_lines")
+@register("contact_lines", "SELECT page_id, '' AS line FROM pages WHERE contains(lower(html), 'mailto:')")
 def contact_lines(spark, sf_dir):
     return extract.apply(_pages(spark, sf_dir), lambda url, root: [{"line": assemble.contact_line(c)} for c in extract.contacts(root)], "line string")
 

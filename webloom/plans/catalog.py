@@ -18,4 +18,4 @@ def register(name: str, oracle: str | None = None):
     return add
 
 
-from webloom.plans import assembly_queries, dedup_queries, link_queries, page_queries, stream_queries, text_queries, vector_queries  # noqa: E402, F401
+from webloom.plans import assembly_queries, case_queries, dedup_queries, link_queries, page_queries, site_queries, stream_queries, text_queries, vector_queries  # noqa: E402, F401

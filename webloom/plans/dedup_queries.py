@@ -61,7 +61,7 @@ _BLOCKS = "WITH " + LINES + ", b AS (SELECT doc_id, line_no, concat_ws(chr(10),
 def similar_blocks(spark, sf_dir):
     """First lines of blocks of three that are like an earlier block of the page."""
     blocks = dedup.line_blocks(lines(spark, sf_dir)).select("doc_id", "line_no", X.comparable(F.col("block")).alias("t")).where(F.length("t") >= 50)
-    return dedup.similar_pairs(blocks, "doc_id", "line_no", "t", 0.9).select("doc_id", F.col("b").alias("line_no")).distinct()
+    return dedup.later_alike(blocks, "doc_id", "line_no", "t", 0.9)
 
 
 _KEYED = "WITH " + LINES + ", " + _comparable("line", "lines") + ", k AS (SELECT * FROM n WHERE length(t) >= 10)"
@@ -75,16 +75,43 @@ def similar_lines(spark, sf_dir):
 
 @register("contained_lines", _KEYED + " SELECT DISTINCT s.doc_id, s.line_no FROM k s JOIN k l ON s.doc_id = l.doc_id AND length(s.t) < length(l.t) AND contains(l.t, s.t)")
 def contained_lines(spark, sf_dir):
-    """Lines whose text is inside a longer one of the page. A line's first word is in the longer one: that is the join's key."""
+    """Lines whose text is inside a longer one of the page."""
     rows = lines(spark, sf_dir).select("doc_id", "line_no", X.comparable(F.col("line")).alias("t")).where(F.length("t") >= 10)
-    short = rows.select("doc_id", F.col("line_no").alias("s"), F.col("t").alias("st"), F.get(F.split("t", " "), F.lit(1)).alias("word"))
-    inner = short.where("word is not null and instr(substr(st, instr(st, ' ') + 1), ' ') > 0")
-    brief = short.join(inner.select("doc_id", "s"), ["doc_id", "s"], "left_anti")
-    words = rows.select("doc_id", F.col("t").alias("lt"), F.explode(F.array_distinct(F.split("t", " "))).alias("word"))
-    whole = (F.length("st") < F.length("lt")) & F.contains("lt", "st")
-    by_word = inner.join(words, ["doc_id", "word"]).where(whole).select("doc_id", F.col("s").alias("line_no"))
-    by_page = brief.drop("word").join(rows.select("doc_id", F.col("t").alias("lt")), "doc_id").where(whole).select("doc_id", F.col("s").alias("line_no"))
-    return by_word.union(by_page).distinct()
+    texts = dedup.distinct_texts(rows, "doc_id", "line_no", "t")
+    short = dedup.contained_texts(texts).select("doc", F.col("s").alias("key")).distinct().join(texts, ["doc", "key"]).select(F.col("doc").alias("doc_id"), F.col("text").alias("t"))
+    return rows.join(short, ["doc_id", "t"]).select("doc_id", "line_no")
+
+
+#: Lines in order against the texts before them: similar ones and ones that hold each other.
+_ALIKE = _KEYED + f""", t AS (SELECT doc_id, t, min(line_no) AS f, length(t) AS n FROM k GROUP BY doc_id, t),
+  s AS (SELECT a.doc_id, a.f AS x, b.f AS y FROM t a JOIN t b USING (doc_id) WHERE a.f = b.f OR (least(a.n, b.n) > 0.95 * greatest(a.n, b.n) AND {_SIMILAR} > 0.95)),
+  c AS (SELECT a.doc_id, a.f AS x, b.f AS y FROM t a JOIN t b USING (doc_id) WHERE contains(a.t, b.t) OR contains(b.t, a.t)),
+  l AS (SELECT k.doc_id, k.line_no, t.f AS x, t.n FROM k JOIN t ON k.doc_id = t.doc_id AND k.t = t.t),
+  sb AS (SELECT l.doc_id, line_no, min(s.y) AS y FROM l JOIN s ON l.doc_id = s.doc_id AND l.x = s.x AND s.y < line_no GROUP BY ALL),
+  cb AS (SELECT l.doc_id, line_no, n, min(c.y) AS y FROM l JOIN c ON l.doc_id = c.doc_id AND l.x = c.x AND c.y < line_no GROUP BY ALL),
+  cn AS (SELECT cb.*, t.n AS other FROM cb JOIN t ON t.doc_id = cb.doc_id AND t.f = cb.y),
+  d3 AS (SELECT doc_id, line_no FROM sb UNION SELECT l.doc_id, l.line_no FROM l JOIN sb ON l.doc_id = sb.doc_id AND l.x = sb.y AND l.line_no < sb.line_no
+    UNION SELECT doc_id, line_no FROM cn WHERE n < other UNION SELECT l.doc_id, l.line_no FROM l JOIN cn ON l.doc_id = cn.doc_id AND l.x = cn.y AND l.line_no < cn.line_no WHERE cn.n >= cn.other)"""
+
+
+@register("alike_lines", _ALIKE + " SELECT doc_id, line_no FROM d3")
+def alike_lines(spark, sf_dir):
+    rows = lines(spark, sf_dir).select("doc_id", "line_no", X.comparable(F.col("line")).alias("t")).where(F.length("t") >= 10)
+    return dedup.alike_lines(rows, "doc_id", "line_no", "t")
+
+
+@register(
+    "repeated_lines",
+    "SELECT doc_id, line_no FROM (" + _REPEATED + ") UNION SELECT doc_id, line_no FROM (WITH " + LINES + ", " + _EMAILS + " SELECT doc_id, line_no FROM m JOIN c USING (doc_id, email) WHERE n > 1)"
+    f" UNION SELECT doc_id, line_no + i AS line_no FROM ({_BLOCKS} SELECT DISTINCT b.doc_id, b.line_no FROM k a JOIN k b ON a.doc_id = b.doc_id AND a.line_no < b.line_no AND least(length(a.t), length(b.t)) > 0.9 * greatest(length(a.t), length(b.t)) WHERE {_SIMILAR} > 0.9), (VALUES (0), (1), (2)) AS o(i)"
+    " UNION SELECT doc_id, line_no FROM (" + _ALIKE + " SELECT doc_id, line_no FROM d3)",
+)
+def repeated_lines(spark, sf_dir):
+    """All lines that the repetition rules take together: addresses, later blocks, alike lines, sentences; first ones too, where a rule takes them."""
+    rows = lines(spark, sf_dir)
+    blocks = similar_blocks(spark, sf_dir).select("doc_id", F.explode(F.sequence("line_no", F.col("line_no") + 2)).alias("line_no"))
+    found = dedup.repeated_emails(rows, keep="none").union(blocks).union(alike_lines(spark, sf_dir)).union(dedup.repeated_sentences(rows, keep="none"))
+    return found.distinct()
 
 
 @register("repetition_union", _REPEATED + " AND k.line_no > c.first UNION SELECT DISTINCT doc_id, line_no FROM (WITH " + LINES + ", " + _EMAILS + " SELECT doc_id, line_no FROM m JOIN c USING (doc_id, email) WHERE n > 1 AND line_no > first)")
@@ -95,7 +122,7 @@ def repetition_union(spark, sf_dir):
 
 @register("leader_dedup")
 def leader_dedup(spark, sf_dir):
-    """Sequence-matcher ratio: no SQL form; held against a plain loop in the tests."""
+    """Sequence-matcher ratio: no SQL form; the tests hold it against a plain loop."""
     s = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(X.sentences(F.col("text"))).alias("pos", "sentence")).where(X.word_count(F.col("sentence")) > 5)
     return dedup.leader_dedup(s, "doc_id", "pos", "sentence")
 

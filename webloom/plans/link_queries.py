@@ -1,4 +1,4 @@
-"""URL and link-graph queries over ``pages``, crawl reports over ``events``."""
+"""URL and link-graph queries over ``pages``, reports over ``events``."""
 
 from __future__ import annotations
 
@@ -69,7 +69,7 @@ def skip_reasons(spark, sf_dir):
 
 
 _EXCLUDED = r"""(regexp_matches({0}, '\.(ics|pdf|jpg|jpeg|png|zip|docx?|mp4|avi|xlsx?|ps|ps\.gz|mov|pptx?|dotx|wmv|tar\.gz|gz)(\?.*)?$')
-  OR regexp_matches({0}, '^(callto|davs?|mattermost|file|ftp|tel|mailto|javascript|data|doi|urn):') OR regexp_matches({0}, '^https?://\s*$')
+  OR regexp_matches({0}, '^(callto|davs?|mattermost|file|ftp|tel|mailto|javascript|data|doi|ttps|urn):') OR regexp_matches({0}, '^https?://\s*$')
   OR (contains({0}, '://') AND NOT regexp_matches({0}, '^https?://')))"""
 
 
@@ -119,7 +119,9 @@ def link_totals(spark, sf_dir):
 
 #: Crawl results made of pages: every fifth fetch is redirected to the page before it, depths follow the id.
 RESULTS = """r AS (SELECT page_id AS seq, url, CASE WHEN page_id % 5 = 0 THEN lag(url) OVER (ORDER BY page_id) END AS redirected_url,
-  CASE WHEN page_id % 17 = 0 THEN 404 ELSE 200 END AS status_code, html, page_id % 5 AS depth FROM pages)"""
+  CASE WHEN page_id % 17 = 0 THEN 404 ELSE 200 END AS status_code, CASE WHEN page_id % 34 = 0 THEN '<p>gone</p>' WHEN page_id % 51 = 0 THEN '' ELSE html END AS html,
+  CASE WHEN page_id % 102 = 51 THEN repeat('still here ', 20) ELSE 'gone' END AS markdown, page_id % 5 AS depth FROM pages)"""
+HAS_CONTENT = "(CASE WHEN html <> '' THEN length(trim(html)) > 100 ELSE length(trim(markdown)) > 100 END)"
 
 
 def _results(spark, sf_dir):
@@ -132,7 +134,8 @@ def _results(spark, sf_dir):
         "url",
         F.when(F.col("page_id") % 5 == 0, F.col("before")).alias("redirected_url"),
         F.when(F.col("page_id") % 17 == 0, 404).otherwise(200).alias("status_code"),
-        "html",
+        F.when(F.col("page_id") % 34 == 0, "<p>gone</p>").when(F.col("page_id") % 51 == 0, "").otherwise(F.col("html")).alias("html"),
+        F.when(F.col("page_id") % 102 == 51, "still here " * 20).otherwise("gone").alias("markdown"),
         (F.col("page_id") % 5).alias("depth"),
     )
 
@@ -150,16 +153,28 @@ def redirect_summary(spark, sf_dir):
     return _finals(spark, sf_dir).agg(F.count("*").alias("n"), F.count_if("is_redirect").alias("redirects"), F.countDistinct("final_url").alias("final_urls"), F.countDistinct("url").alias("original_urls"))
 
 
-@register("first_wins_dedup", f"WITH {FINALS} SELECT seq, final_url FROM (SELECT *, row_number() OVER (PARTITION BY final_url ORDER BY seq) AS n FROM f WHERE NOT (length(trim(html)) <= 100 AND status_code = 404)) WHERE n = 1")
+@register("first_wins_dedup", f"WITH {FINALS} SELECT seq, final_url FROM (SELECT *, row_number() OVER (PARTITION BY final_url ORDER BY seq) AS n FROM f WHERE NOT ((status_code = 404 OR contains(final_url, '/404/')) AND NOT {HAS_CONTENT})) WHERE n = 1")
 def first_wins_dedup(spark, sf_dir):
-    live = _finals(spark, sf_dir).where(~((F.length(F.trim("html")) <= 100) & (F.col("status_code") == 404)))
+    live = _finals(spark, sf_dir).where(~_gone())
     return live.groupBy("final_url").agg(F.min("seq").alias("seq")).select("seq", "final_url")
 
 
-@register("not_found_filter", f"WITH {FINALS} SELECT seq, (contains(final_url, '/404/') OR status_code = 404) AND length(trim(html)) <= 2000 AS dropped FROM f")
+def _gone():
+    return U.not_found(F.col("final_url"), F.col("status_code"), U.has_content(F.col("html"), F.col("markdown")))
+
+
+@register("not_found_filter", f"WITH {FINALS} SELECT seq, (contains(final_url, '/404/') OR status_code = 404) AND NOT {HAS_CONTENT} AS dropped FROM f")
 def not_found_filter(spark, sf_dir):
-    gone = (F.col("final_url").contains("/404/") | (F.col("status_code") == 404)) & (F.length(F.trim("html")) <= 2000)
-    return _finals(spark, sf_dir).select("seq", gone.alias("dropped"))
+    return _finals(spark, sf_dir).select("seq", _gone().alias("dropped"))
+
+
+@register("first_wins_with_seeds", f"""WITH {FINALS}, k AS (SELECT seq, CASE WHEN seq % 10 = 0 THEN replace(url, '://www.', '://') ELSE final_url END AS key, seq % 10 = 0 AS seed FROM f
+    WHERE seq % 10 = 0 OR NOT ((status_code = 404 OR contains(final_url, '/404/')) AND NOT {HAS_CONTENT})) SELECT min(seq) AS seq, key FROM k GROUP BY key""")
+def first_wins_with_seeds(spark, sf_dir):
+    """The variant that spares seeds: no 404 filter for them, and they count by the URL that was asked for."""
+    seed = F.col("seq") % 10 == 0
+    kept = _finals(spark, sf_dir).where(seed | ~_gone()).withColumn("key", F.when(seed, U.normalize(F.col("url"))).otherwise(F.col("final_url")))
+    return kept.groupBy("key").agg(F.min("seq").alias("seq")).select("seq", "key")
 
 
 @register("depth_histogram", f"WITH {FINALS} SELECT least(depth, 3) AS depth, count(*) AS n, count(DISTINCT final_url) AS urls FROM f GROUP BY 1")
@@ -187,12 +202,12 @@ def resume_antijoin(spark, sf_dir):
     return found.join(found.where("seq % 3 = 0").select("final_url").distinct(), "final_url", "left_anti").select("seq", "final_url")
 
 
-@register("seed_skip_on_resume", f"WITH {FINALS}, s AS (SELECT DISTINCT url FROM r WHERE seq % 10 = 0) SELECT f.seq, (s.url IS NOT NULL AND 3 <= 3) AS skipped FROM f LEFT JOIN s ON f.url = s.url")
+@register("seed_skip_on_resume", f"WITH {FINALS}, s AS (SELECT url, max(depth) AS reached FROM r WHERE seq % 10 < 5 GROUP BY url) SELECT f.seq, coalesce(3 <= s.reached, false) AS skipped FROM f LEFT JOIN s ON f.url = s.url")
 def seed_skip_on_resume(spark, sf_dir):
-    """Seeds that a checkpoint of at least the same depth has seen are skipped."""
-    found = _results(spark, sf_dir).select("seq", "url")
-    done = found.where("seq % 10 = 0").select("url").distinct().withColumn("there", F.lit(True))
-    return found.join(done, "url", "left").select("seq", F.coalesce("there", F.lit(False)).alias("skipped"))
+    """Seeds that a checkpoint has seen, crawled to the depth asked for (3) or deeper, are skipped."""
+    found = _results(spark, sf_dir).select("seq", "url", "depth")
+    done = found.where("seq % 10 < 5").groupBy("url").agg(F.max("depth").alias("reached"))
+    return found.join(done, "url", "left").select("seq", F.coalesce(F.lit(3) <= F.col("reached"), F.lit(False)).alias("skipped"))
 
 
 EDGES = "edges AS (SELECT page_id AS src, (page_id * k + k) % (SELECT count(*) FROM pages) AS dst FROM pages, (VALUES (2), (3)) AS t(k))"

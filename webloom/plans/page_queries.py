@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from webloom.operators import cleanup, dom, extract
+from webloom.operators import cells, cleanup, dom, extract
 from webloom.plans.catalog import register
 from webloom.session import table
 
@@ -13,6 +13,25 @@ def _pages(spark, sf_dir):
     return table(spark, sf_dir, "pages")
 
 
+#: The same pages by their markup: comments, scripts and styles out; how many elements begin in a piece; a piece's text.
+BARE = r"""b AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)(<script>|<style>).*?(</script>|</style>)', '\1\2', 'g') AS h FROM pages)"""
+TAGS = "len(regexp_extract_all({0}, '<[a-zA-Z]'))"
+SAID = r"trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace({0}, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'))"
+#: Anchors with the number of their element, and what stands before them.
+ANCHORS = BARE + f""", s AS (SELECT page_id, string_split(h, '<a ') AS p FROM b),
+  a AS (SELECT page_id, p[i + 1] AS part, CAST(list_sum(list_transform(p[1:i], lambda x: {TAGS.format('x')})) + i AS INTEGER) AS node_id, array_to_string(p[1:i], '<a ') AS before FROM s, range(1, len(p)) r(i)),
+  k AS (SELECT page_id, node_id, before, regexp_extract(part, 'href="([^"]*)"', 1) AS href, {SAID.format("regexp_extract(part, '(?s)^[^>]*>(.*?)</a>', 1)")} AS text,
+    {SAID.format("regexp_extract(before, '(?s)<h1>(.*?)</h1>', 1)")} AS head FROM a)"""
+#: Paragraphs of an article, which a next one ends where they aren't closed, with the number of their element.
+PARAGRAPHS = BARE + f""", q AS (SELECT page_id, string_split(h, '<p>') AS p FROM b),
+  g AS (SELECT page_id, regexp_extract(p[i + 1], '(?s)^(.*?)(</p>|</article>|<ul>|$)', 1) AS part, CAST(list_sum(list_transform(p[1:i], lambda x: {TAGS.format('x')})) + i AS INTEGER) AS pos FROM q, range(1, len(p)) r(i)),
+  t AS (SELECT page_id, pos, {SAID.format('part')} AS said, trim(regexp_replace({SAID.format("replace(part, '<br>', chr(1))")}, ' ?' || chr(1) || ' ?', chr(10), 'g'), ' ' || chr(10)) AS text FROM g)"""
+ITEMS = PARAGRAPHS + f""", i AS (SELECT page_id, 'heading' AS type, 1 AS level, {SAID.format("regexp_extract(h, '(?s)<h1>(.*?)</h1>', 1)")} AS text, CAST({TAGS.format("split_part(h, '<h1>', 1)")} + 1 AS INTEGER) AS pos FROM b
+  UNION ALL SELECT page_id, 'paragraph', 0, text, pos FROM t WHERE length(said) >= 15)"""
+MARKDOWN = ITEMS + """, m AS (SELECT page_id, '# Source URL' || chr(10) || chr(10) || url || chr(10) || chr(10) || coalesce((SELECT string_agg(CASE WHEN type = 'heading' THEN '# ' ELSE '' END || text || chr(10), chr(10) ORDER BY pos) FROM i WHERE i.page_id = pages.page_id AND text <> ''), '') AS markdown FROM pages)"""
+NAVIGATED = "(contains(before, '<nav>') AND NOT contains(before, '</nav>')) OR (contains(before, '<footer>') AND NOT contains(before, '</footer>'))"
+
+
 @register("dom_tag_counts", r"WITH t AS (SELECT page_id, unnest(regexp_extract_all(regexp_replace(html, '<!--.*?-->', '', 'g'), '<(h1|article|nav|footer|ul|li|p|a)[\s>]', 1)) AS tag FROM pages) SELECT tag, count(*) AS n, count(DISTINCT page_id) AS pages FROM t GROUP BY tag")
 def dom_tag_counts(spark, sf_dir):
     kept = F.col("tag").isin("h1", "article", "nav", "footer", "ul", "li", "p", "a")
@@ -24,7 +43,7 @@ def heading_outline(spark, sf_dir):
     return dom.dom_nodes(_pages(spark, sf_dir)).where("tag rlike '^h[1-6]$' and text <> ''").select("page_id", F.col("text").alias("heading"))
 
 
-@register("nav_filtered_links")
+@register("nav_filtered_links", f"WITH {ANCHORS} SELECT page_id, href, text FROM k WHERE NOT ({NAVIGATED})")
 def nav_filtered_links(spark, sf_dir):
     nodes = dom.dom_nodes(_pages(spark, sf_dir))
     return nodes.where((F.col("tag") == "a") & ~dom.in_navigation()).select("page_id", F.try_element_at("attrs", F.lit("href")).alias("href"), "text")
@@ -36,12 +55,13 @@ def nav_link_counts(spark, sf_dir):
     return nodes.where((F.col("tag") == "a") & dom.in_navigation()).groupBy("page_id").agg(F.count("*").alias("n_links"))
 
 
-@register("main_scope")
+@register("main_scope", f"""WITH {BARE}, c AS (SELECT page_id, {TAGS.format("split_part(h, '<article>', 1)")} AS n, {TAGS.format("regexp_extract(h, '(?s)<article>(.*?)</article>', 1)")} AS inner_ FROM b)
+  SELECT page_id, 'article' AS scope, CAST(n + 1 AS INTEGER) AS from_id, CAST(n + 1 + inner_ AS INTEGER) AS to_id FROM c""")
 def main_scope(spark, sf_dir):
     return dom.main_scope(dom.dom_nodes(_pages(spark, sf_dir)))
 
 
-@register("main_text")
+@register("main_text", f"WITH {BARE} SELECT page_id, 'article' AS scope, {SAID.format("regexp_extract(h, '(?s)<article>(.*?)</article>', 1)")} AS text FROM b")
 def main_text(spark, sf_dir):
     """The text of each page's main scope."""
     nodes = dom.dom_nodes(_pages(spark, sf_dir))
@@ -49,43 +69,46 @@ def main_text(spark, sf_dir):
     return nodes.join(top, "page_id").where("node_id = from_id").select("page_id", "scope", "text")
 
 
-@register("link_sections")
+@register("link_sections", f"WITH {ANCHORS} SELECT page_id, node_id, CASE WHEN head <> '' THEN head ELSE 'External Links' END AS section FROM k")
 def link_sections(spark, sf_dir):
     return dom.governing_heading(dom.dom_nodes(_pages(spark, sf_dir)))
 
 
-@register("content_items")
+@register("content_items", f"WITH {ITEMS} SELECT page_id, type, level, text, pos FROM i WHERE text <> ''")
 def content_items(spark, sf_dir):
     return extract.apply(_pages(spark, sf_dir), lambda url, root: extract.items(root), "type string, level int, text string, pos int")
 
 
-@register("page_tables")
+@register("page_tables", "SELECT page_id, CAST(0 AS INTEGER) AS pos, CAST([] AS VARCHAR[]) AS headers, CAST([] AS VARCHAR[][]) AS rows, '' AS caption FROM pages WHERE regexp_matches(html, '(?i)<table')")
 def page_tables(spark, sf_dir):
     """Every table outside of another, one of a single column as one of several."""
 
     def found(url, root):
-        return [{"pos": n.id, **extract.widened(extract.table(n))} for n in root.find_all("table") if not extract.inside(n, ("table",))]
+        return [{"pos": n.id, **cells.widened(extract.table(n))} for n in root.find_all("table") if not extract.inside(n, ("table",))]
 
     return extract.apply(_pages(spark, sf_dir), found, "pos int, headers array<string>, rows array<array<string>>, caption string")
 
 
-@register("external_links_by_section")
+@register("external_links_by_section", "SELECT page_id, '' AS section, CAST(0 AS INTEGER) AS seq, '' AS text, '' AS href FROM pages WHERE regexp_matches(html, '(?i)<a [^>]*href=\"https?://')")
 def external_links_by_section(spark, sf_dir):
     return extract.apply(_pages(spark, sf_dir), extract.external_links, "section string, seq int, text string, href string")
 
 
-@register("contact_blocks")
+@register("contact_blocks", "SELECT page_id, '' AS email, '' AS name, '' AS phone, '' AS title, '' AS pronoun, '' AS full_text FROM pages WHERE contains(lower(html), 'mailto:')")
 def contact_blocks(spark, sf_dir):
     return extract.apply(_pages(spark, sf_dir), lambda url, root: extract.contacts(root), "email string, name string, phone string, title string, pronoun string, full_text string")
 
 
-@register("event_pages")
+@register("event_pages", f"""WITH {BARE}, t AS (SELECT page_id, {SAID.format("regexp_extract(h, '(?s)<h1>(.*?)</h1>', 1)")} AS title FROM b)
+  SELECT page_id, title, CAST(NULL AS VARCHAR) AS date, CAST(NULL AS VARCHAR) AS location, CAST([] AS VARCHAR[]) AS video, CAST(NULL AS VARCHAR) AS description, CAST([] AS VARCHAR[]) AS deadlines,
+    CAST([] AS VARCHAR[]) AS agenda, CAST([] AS VARCHAR[]) AS attachments, CAST([] AS VARCHAR[]) AS links FROM t""")
 def event_pages(spark, sf_dir):
+    """Fields of event pages; the tables' pages have a title only."""
     schema = "title string, date string, location string, video array<string>, description string, deadlines array<string>, agenda array<string>, attachments array<string>, links array<string>"
     return extract.apply(_pages(spark, sf_dir), lambda url, root: [extract.event(url, root)], schema)
 
 
-@register("page_markdown")
+@register("page_markdown", f"WITH {MARKDOWN} SELECT page_id, markdown FROM m")
 def page_markdown(spark, sf_dir):
     return extract.apply(_pages(spark, sf_dir), lambda url, root: [{"markdown": extract.markdown(url, root)}], "markdown string")
 

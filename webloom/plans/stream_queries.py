@@ -31,3 +31,9 @@ def stream_fresh_pages(spark, sf_dir):
 def stream_retries(spark, sf_dir):
     stream = crawl.table_stream(spark, sf_dir, "events")
     return _drained(spark, crawl.retries(stream))
+
+
+@register("stream_rates", "WITH h AS (SELECT date_trunc('hour', ts) AS hour, count(*) AS n, count(*) FILTER (event_type = 'error') AS errors FROM events GROUP BY 1) SELECT hour, n, errors FROM h WHERE hour + INTERVAL 3 HOUR <= (SELECT max(ts) FROM events)")
+def stream_rates(spark, sf_dir):
+    """Attempts and errors by hour of event time: the hours that the watermark, two hours late, has passed."""
+    return _drained(spark, crawl.rates(crawl.table_stream(spark, sf_dir, "events")))

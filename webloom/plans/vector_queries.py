@@ -56,7 +56,7 @@ def l2_topk(spark, sf_dir):
 
 @register("score_threshold", f"WITH {PAIRS} SELECT query_id, count(*) AS n FROM s WHERE score >= 0.3 GROUP BY query_id")
 def score_threshold(spark, sf_dir):
-    return V.scores(_rows(spark, sf_dir), _asked(spark, sf_dir), "vec_id", "embedding").where("score >= 0.3").groupBy("query_id").agg(F.count("*").alias("n"))
+    return V.scores(_rows(spark, sf_dir), _asked(spark, sf_dir), "vec_id", "embedding", least=0.3).groupBy("query_id").agg(F.count("*").alias("n"))
 
 
 @register("mean_topk_by_label", f"WITH {TOP} SELECT ql AS label, round(avg(score), 5) AS mean_score FROM t WHERE rank <= 5 GROUP BY ql")
@@ -96,41 +96,26 @@ def ndcg(spark, sf_dir):
 
 @register("mmr_topk")
 def mmr_topk(spark, sf_dir):
-    """Greedy diversity over 30 fetched rows: no SQL form; held against a plain loop in the tests."""
-    return V.diverse(_cosine(spark, sf_dir, 30).select("query_id", "id", "score"), _rows(spark, sf_dir), "vec_id", "embedding", 5)
+    """Greedy diversity over 30 fetched rows, the query's own not among them: no SQL form; the tests hold it against a plain loop."""
+    fetched = _cosine(spark, sf_dir, 31).where("id <> query_id").select("query_id", "id", "score")
+    return V.diverse(fetched, _rows(spark, sf_dir), "vec_id", "embedding", 5)
 
 
 @register("sample_rows", "SELECT doc_id FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR) || ':265'), doc_id LIMIT 100")
 def sample_rows(spark, sf_dir):
-    """A sample of 100 that any engine draws alike: the smallest hashes."""
-    return table(spark, sf_dir, "documents").select("doc_id").orderBy(F.md5(F.concat(F.col("doc_id").cast("string"), F.lit(":265")).cast("binary")), "doc_id").limit(100)
+    """A sample of 100 that any engine draws alike: the smallest hashes. Fewer rows than that are an error."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return V.exactly(docs.orderBy(F.md5(F.concat(F.col("doc_id").cast("string"), F.lit(":265")).cast("binary")), "doc_id"), 100)
 
 
-@register("rag_stuff_context", f"""WITH {TOP} SELECT query_id, string_agg(left(text, 200), chr(10) ORDER BY rank) AS context, count(*) AS n FROM t JOIN documents ON doc_id = id WHERE rank <= 5 GROUP BY query_id""")
-def rag_stuff_context(spark, sf_dir):
-    """Retrieved texts in one context, best first."""
-    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.substring("text", 1, 200).alias("t"))
-    joined = _cosine(spark, sf_dir, 5).join(texts, "id")
-    return joined.groupBy("query_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "t"))), lambda x: x["t"]), "\n").alias("context"), F.count("*").alias("n"))
-
-
-@register("rag_map_reduce", f"""WITH {TOP}, m AS (SELECT query_id, rank, 'Summarise for question ' || query_id || ': ' || left(text, 100) AS part FROM t JOIN documents ON doc_id = id WHERE rank <= 3)
-  SELECT query_id, 'Combine: ' || string_agg(part, ' || ' ORDER BY rank) AS prompt FROM m GROUP BY query_id""")
-def rag_map_reduce(spark, sf_dir):
-    """A prompt for each retrieved document, then one that combines them; a model would answer between the two."""
-    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.substring("text", 1, 100).alias("t"))
-    part = F.concat(F.lit("Summarise for question "), F.col("query_id").cast("string"), F.lit(": "), "t")
-    mapped = _cosine(spark, sf_dir, 3).join(texts, "id").select("query_id", "rank", part.alias("part"))
-    return mapped.groupBy("query_id").agg(F.concat(F.lit("Combine: "), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "part"))), lambda x: x["part"]), " || ")).alias("prompt"))
-
-
-#: Rows that the reference's retriever hands to its chains.
+#: Rows that the retriever hands to its chains.
 RETRIEVED = 30
+_CHAIN = f"{TOP}, x AS (SELECT query_id, rank, coalesce(text, '') AS text FROM t JOIN documents ON doc_id = id WHERE rank <= {RETRIEVED})"
 
 
 def _retrieved(spark, sf_dir):
     """(query_id, rank, text): the retriever's rows with their whole texts."""
-    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text"))
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     return _cosine(spark, sf_dir, RETRIEVED).join(texts, "id").select("query_id", "rank", "text")
 
 
@@ -139,16 +124,57 @@ def _in_order(column, by):
     return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", column))), lambda x: x[column]), by)
 
 
-@register("rag_stuff_whole")
-def rag_stuff_whole(spark, sf_dir):
-    """The 'stuff' chain: every retrieved text, whole, in one context, best first; held against a plain loop in the tests."""
+@register("rag_stuff_context", f"WITH {_CHAIN} SELECT query_id, string_agg(text, chr(10) ORDER BY rank) AS context, count(*) AS n FROM x GROUP BY query_id")
+def rag_stuff_context(spark, sf_dir):
+    """The 'stuff' chain: every retrieved text, whole, in one context, best first."""
     return _retrieved(spark, sf_dir).groupBy("query_id").agg(_in_order("text", "\n").alias("context"), F.count("*").alias("n"))
 
 
-@register("rag_map_reduce_whole")
-def rag_map_reduce_whole(spark, sf_dir):
-    """A prompt for each retrieved text, whole, best first, and the one that combines them; a model would answer between the two."""
-    part = F.concat(F.lit("Summarise for question "), F.col("query_id").cast("string"), F.lit(": "), F.coalesce("text", F.lit("")))
-    mapped = _retrieved(spark, sf_dir).select("query_id", "rank", part.alias("part"))
-    prompts = F.transform(F.array_sort(F.collect_list(F.struct("rank", "part"))), lambda x: x["part"])
-    return mapped.groupBy("query_id").agg(prompts.alias("prompts"), F.concat(F.lit("Combine: "), _in_order("part", " || ")).alias("prompt"))
+@register("rag_map_prompts", f"WITH {_CHAIN} SELECT query_id, rank, 'Summarise for question ' || query_id || ': ' || text AS prompt FROM x")
+def rag_map_prompts(spark, sf_dir):
+    """The first half of the 'map_reduce' chain: a prompt for each retrieved text, whole."""
+    return _retrieved(spark, sf_dir).select("query_id", "rank", _part().alias("prompt"))
+
+
+def _part():
+    return F.concat(F.lit("Summarise for question "), F.col("query_id").cast("string"), F.lit(": "), "text")
+
+
+@register("rag_map_reduce", f"WITH {_CHAIN} SELECT query_id, 'Combine: ' || string_agg('Summarise for question ' || query_id || ': ' || text, ' || ' ORDER BY rank) AS prompt FROM x GROUP BY query_id")
+def rag_map_reduce(spark, sf_dir):
+    """A prompt for each retrieved text, best first, and the one that combines them; a model would answer between the two."""
+    mapped = _retrieved(spark, sf_dir).select("query_id", "rank", _part().alias("part"))
+    return mapped.groupBy("query_id").agg(F.concat(F.lit("Combine: "), _in_order("part", " || ")).alias("prompt"))
+
+
+@register("rag_questions", f"""WITH q AS (SELECT conv_id AS query_id, text AS question FROM conversations WHERE turn = 0 AND role = 'user' AND conv_id % 50 = 0), {_CHAIN},
+  c AS (SELECT query_id, string_agg(text, chr(10) ORDER BY rank) AS context FROM x WHERE rank <= 5 GROUP BY query_id)
+  SELECT query_id, 'Use the context to answer.' || chr(10) || 'Context: ' || context || chr(10) || 'Question: ' || coalesce(question, '') || chr(10) || 'Answer:' AS prompt,
+    'Question: ' || coalesce(question, '') || chr(10) || 'Answer:' AS baseline FROM q JOIN c USING (query_id)""")
+def rag_questions(spark, sf_dir):
+    """The loop over questions as one plan: each with its five best texts, and without any."""
+    from webloom.functions import text as X
+
+    asked = table(spark, sf_dir, "conversations").where("turn = 0 and role = 'user' and conv_id % 50 = 0").select(F.col("conv_id").alias("query_id"), F.coalesce("text", F.lit("")).alias("question"))
+    context = _retrieved(spark, sf_dir).where("rank <= 5").groupBy("query_id").agg(_in_order("text", "\n").alias("context"))
+    return asked.join(context, "query_id").select("query_id", X.prompt(F.col("question"), F.col("context")).alias("prompt"), X.prompt(F.col("question")).alias("baseline"))
+
+
+@register("ranked_scores", f"WITH {TOP} SELECT query_id, rank, id, round(score, 6) AS score FROM t")
+def ranked_scores(spark, sf_dir):
+    """Every row scored against each stated query, best first."""
+    return V.top_k(V.scores(_rows(spark, sf_dir), _asked(spark, sf_dir), "vec_id", "embedding"), None).select("query_id", "rank", "id", F.round("score", 6).alias("score"))
+
+
+@register("model_means", f"""WITH {DOUBLES}, m AS (SELECT 'whole' AS model, vec_id, e FROM v UNION ALL SELECT 'half' AS model, vec_id, e[1:32] AS e FROM v),
+  s AS (SELECT q.model, q.vec_id AS query_id, d.vec_id AS id, list_cosine_similarity(q.e, d.e) AS score FROM m q JOIN m d ON q.model = d.model WHERE q.vec_id % 50 = 0),
+  t AS (SELECT *, row_number() OVER (PARTITION BY model, query_id ORDER BY score DESC, id) AS rank FROM s) SELECT model, query_id, round(avg(score), 4) AS mean_score FROM t WHERE rank <= 5 GROUP BY model, query_id""")
+def model_means(spark, sf_dir):
+    """Models compared by their mean score over the five best rows of each query; here a model is all or half of the components."""
+    out = None
+    for name, vector in (("whole", F.col("embedding")), ("half", F.slice("embedding", 1, 32))):
+        rows = _rows(spark, sf_dir).select("vec_id", vector.alias("embedding"))
+        best = V.top_k(V.scores(rows, rows.where("vec_id % 50 = 0"), "vec_id", "embedding", k=5), 5)
+        mean = best.groupBy(F.lit(name).alias("model"), "query_id").agg(F.round(F.avg("score"), 4).alias("mean_score"))
+        out = mean if out is None else out.union(mean)
+    return out

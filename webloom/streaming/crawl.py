@@ -1,4 +1,4 @@
-"""Incremental crawling with Structured Streaming: seen URLs, error queues and rates survive restarts in the checkpoint."""
+"""Pages and attempts as streams: seen URLs, error queues and rates survive restarts in the checkpoint."""
 
 from __future__ import annotations
 
@@ -37,8 +37,9 @@ def fresh_within(pages: DataFrame, time: str, late: str, url: str = "url") -> Da
 
 def rates(events: DataFrame, time: str = "ts", window: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Attempts and errors in each window of event time; late rows within the watermark count."""
-    counted = events.withWatermark(time, late).groupBy(F.window(time, window).alias("w"))
-    return counted.agg(F.count("*").alias("n"), F.count_if(F.col("event_type") == "error").alias("errors")).select(F.col("w.start").alias("hour"), "n", "errors")
+    kind = events.schema[time].dataType  # watermarks need a zone's timestamps; the hours come back as the times came
+    counted = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).groupBy(F.window(time, window).alias("w"))
+    return counted.agg(F.count("*").alias("n"), F.count_if(F.col("event_type") == "error").alias("errors")).select(F.col("w.start").cast(kind).alias("hour"), "n", "errors")
 
 
 def retries(events: DataFrame) -> DataFrame:
