@@ -16,8 +16,6 @@ from pyspark.sql import types as T
 
 #: Bytes of text that a Python worker holds at once.
 SLICE_BYTES = 2 << 20
-#: Edges of a file of a graph's steps.
-EDGES = 200_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,10 +36,16 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/webloom-{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df with its lineage cut through reliable storage; the files go when nothing refers to them."""
+#: Rows of a file of what is stored on the way, where a bound of the rows is known.
+ROWS = 20_000
+
+
+def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """df with its lineage cut through reliable storage; the files go when nothing refers to them.
+
+    rows: a bound of their number, for no more files than they need, however many partitions a shuffle has."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return (df if rows is None else df.coalesce(max(1, -(-rows // ROWS)))).checkpoint(eager=True)
 
 
 def with_field(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
@@ -137,24 +141,24 @@ def stable_sample(df: DataFrame, key: str, most: int, by: str) -> DataFrame:
     return df.join(F.broadcast(counts), F.col(by) == F.col("__by")).where(place * F.col("__rows") < most).drop("__by", "__rows")
 
 
-def components(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str, rounds: int = 60, most: int | None = None) -> DataFrame:
     """Connected components as (node, root), root the smallest node that can be reached; only nodes with edges.
 
     Alternates large-star and small-star steps until nothing changes. Each step moves a number of edges that doesn't exceed
-    the input's; a node of very high degree is handled by a pre-aggregated minimum and a join, never collected. A step's edges are
-    stored in files of some ``EDGES`` each, however many partitions a shuffle has.
+    the input's; a node of very high degree is handled by a pre-aggregated minimum and a join, never collected. most: a bound of
+    the edges' number, if one is known.
     """
     links = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
-    links = checkpointed(links)
+    links = checkpointed(links, most)
     before = None
-    files = max(1, -(-links.count() // EDGES))
+    most = links.count()
     for _ in range(rounds):
         both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
-        links = checkpointed(small.coalesce(files))
+        links = checkpointed(small, most)
         state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break

@@ -391,7 +391,6 @@ def merged(runs: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
 
 def _applied(df: DataFrame, id_col: str, text_col: str, length: int, schema: T.StructType, function) -> DataFrame:
     """function(rows, their texts, their covered stretches) of all rows, in batches."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     gram = min(GRAM, max(1, length // 4))
     a, b = F.col(id_col).cast("string"), F.col(text_col).cast("string")
     one, two = F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))
@@ -399,13 +398,13 @@ def _applied(df: DataFrame, id_col: str, text_col: str, length: int, schema: T.S
     every = df.select(F.xxhash64(one, two, a.isNull()).alias("k1"), F.xxhash64(two, one).alias("k2"), F.struct(*fields).alias("row"))
     # What merges copies depends on the rows' order: it reads the source itself and not a shuffle, whose order a retry may change.
     runs = every.select("k1", "k2", F.col("row").getField(text_col).alias("text")).mapInArrow(_runs_of(length, gram), RUNS)
-    found = checkpointed(runs.repartition(parts, "spread").sortWithinPartitions("spread").mapInArrow(_grouped, FOUND))
+    found = checkpointed(runs.repartition("spread").sortWithinPartitions("spread").mapInArrow(_grouped, FOUND))
     open_ = found.where("not known")
     hot = open_.groupBy("key").count().where(F.col("count") > HOT).select("key", F.lit(True).alias("hot"))
     doubt = open_.join(hot, "key", "left").groupBy("k1", "k2").agg(F.collect_set(F.struct("key", "first", "last", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("runs"))
     # Both joins read one shuffle of the rows: they ask for the same columns of it.
     stretches = every.join(doubt.hint("merge"), ["k1", "k2"]).select("k1", "k2", "row", "runs").mapInArrow(_stretches(length, text_col), STRETCHES)
-    settled = stretches.repartition(parts, "spread").sortWithinPartitions("spread").mapInArrow(_resolved(length), RESOLVED)
+    settled = stretches.repartition("spread").sortWithinPartitions("spread").mapInArrow(_resolved(length), RESOLVED)
     covered = found.where("known").select("k1", "k2", "first", "last").unionByName(settled).groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
     rows = every.join(covered.hint("merge"), ["k1", "k2"], "left").select("row", "runs")
     columns = df.columns

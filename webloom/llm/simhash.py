@@ -199,12 +199,11 @@ EDGE = "v int, a long, b long"
 def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
     """(a, b): edges between distinct fingerprints ``fp`` whose components are those of all pairs within the radius."""
     masks = covering_masks(list(range(BITS)), radius)
-    parts = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
 
     first = distinct.select(
         F.explode(F.array(*[F.struct(F.lit(v).alias("v"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("k")) for v, m in enumerate(masks)])).alias("t"), "fp"
-    ).select("t.v", "t.k", "fp").repartition(parts, "v", "k").sortWithinPartitions("v", "k")
-    found = checkpointed(first.mapInArrow(lambda it: _runs(it, ["v", "k"], radius, BUCKET), EDGE))
+    ).select("t.v", "t.k", "fp").repartition("v", "k").sortWithinPartitions("v", "k")
+    found = checkpointed(first.mapInArrow(lean(lambda it: _runs(it, ["v", "k"], radius, BUCKET)), EDGE), distinct.count() * len(masks))
     edges = found.where("v < 0").select("a", "b")
     over = found.where("v >= 0").select("v", F.col("a").alias("fp")).distinct()
     if over.isEmpty():
@@ -217,7 +216,7 @@ def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
     second = (
         over.select("v", "fp", F.col("fp").bitwiseAND(F.get(outer, F.col("v"))).alias("k"), F.posexplode(F.get(table, F.col("v"))).alias("w", "m"))
         .select("v", "k", "w", F.col("fp").bitwiseAND(F.col("m")).alias("l"), "fp")
-        .repartition(parts, "v", "k", "w", "l")
+        .repartition("v", "k", "w", "l")
         .sortWithinPartitions("v", "k", "w", "l")
     )
     return edges.union(second.mapInArrow(lambda it: _runs(it, ["v", "k", "w", "l"], radius, None), EDGE).select("a", "b"))
@@ -226,7 +225,7 @@ def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
     """(id, fp, component): every row with its fingerprint and the smallest id among all rows that links can reach."""
     each = checkpointed(fingerprints(df, id_col, text_col, words))
-    distinct = checkpointed(each.groupBy("fp").agg(F.min("id").alias("least")))
+    distinct = checkpointed(each.groupBy("fp").agg(F.min("id").alias("least")), each.count())
     nodes = components(links(distinct, radius), "a", "b")
     rooted = distinct.join(nodes, distinct.fp == nodes.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component"))
@@ -426,10 +425,10 @@ def similar_nodes(source: DataFrame, members: DataFrame, words: int, radius: int
     The members of a root with over ``BLOCK`` shingles are dealt into blocks, and every two blocks meet in one task, so that each
     two members of a root are compared, whatever their number.
     """
-    parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = members.count()
     blocks = members.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
-    wanted = checkpointed(members.join(blocks, "root").select("text_key", "ref", "root", F.greatest("blocks", F.lit(1)).cast("long").alias("blocks")))
-    if wanted.count() <= BROADCAST:
+    wanted = checkpointed(members.join(blocks, "root").select("text_key", "ref", "root", F.greatest("blocks", F.lit(1)).cast("long").alias("blocks")), count)
+    if count <= BROADCAST:
         wanted = F.broadcast(wanted)
     else:
         source = source.dropDuplicates(["text_key"])
@@ -459,7 +458,7 @@ def similar_nodes(source: DataFrame, members: DataFrame, words: int, radius: int
     others = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).otherwise(F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: j != F.col("own")))
     met = rows.withColumn("own", own).withColumn("other", F.explode(others))
     key = F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other"))
-    dealt = met.select(key.alias("key"), "ref", "blocks", "items", *names).repartition(parts, "key").sortWithinPartitions("key")
+    dealt = met.select(key.alias("key"), "ref", "blocks", "items", *names).repartition("key").sortWithinPartitions("key")
     found = checkpointed(dealt.mapInArrow(_group_edges(radius, similarity), "whole boolean, a long, b long"))
     nodes, parted = found.where("whole").select(F.col("b").alias("node"), F.col("a").alias("root")), found.where("not whole")
     return nodes if parted.isEmpty() else nodes.union(components(parted, "a", "b"))
@@ -498,7 +497,7 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     fields = [source.schema["id"], *[T.StructField(n, T.LongType()) for n in ["row_key", "text_key", "ref", "n", *names]]]
     each = checkpointed(source.mapInArrow(lean(fingerprint), T.StructType(fields)))
-    distinct = checkpointed(each.groupBy("ref", "n", *names).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row_key")).alias("least"), F.min("text_key").alias("text_key")))
+    distinct = checkpointed(each.groupBy("ref", "n", *names).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row_key")).alias("least"), F.min("text_key").alias("text_key")), each.count())
     count = distinct.count()
     width = max(LEAST_BITS, int(np.ceil(np.log2(count + 1))))
     bands = int(np.ceil(np.log(MISS) / np.log(1 - (1 - p) ** width)))
@@ -513,9 +512,8 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     key = (key << np.uint64(1)) | ((fp[:, bit >> 6] >> np.uint64(bit & 63)) & np.uint64(1))
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *batch.columns], ["key", "ref", *names])
 
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = distinct.select("ref", *names).mapInArrow(lean(banded), "key long, ref long, " + ", ".join(f"{n} long" for n in names))
-    candidates = keyed.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_bucket_edges(radius), "a long, b long").distinct()
+    candidates = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_bucket_edges(radius), "a long, b long").distinct()
     groups = components(candidates, "a", "b")
     members = distinct.join(groups, distinct.ref == groups.node).select("ref", "root", "n", "text_key")
     nodes = similar_nodes(source.select("text", "text_key"), members, words, radius, similarity)
