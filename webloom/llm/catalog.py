@@ -67,4 +67,7 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op2_topk": topk.ORACLE,
+    "op3_warc": warc.ORACLE,
+    "op9_chat": chat.ORACLE,
+    "op10_decontamination": decontaminate.ORACLE,
 }

@@ -181,3 +181,15 @@ def conversation_digest(table: DataFrame) -> DataFrame:
     hard = table.sparkSession.createDataFrame([(-1, 0, "user", HARD), (-1, 1, "assistant", HARD)], "conv_id long, turn long, role string, text string")
     messages = reply_chains(table.select("conv_id", "turn", "role", "text").unionByName(hard))
     return read_back(conversations(messages).select(F.col("tree").alias("conv_id"), "formatted", "loss_spans"), "conv_id")
+
+
+_ESCAPED = r"length(coalesce({0}, '')) + len(regexp_extract_all(coalesce({0}, ''), '<\\*\|'))"
+_ORDER = "ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST"
+ORACLE = f"""
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT -1, 0, 'user', '{HARD}' UNION ALL SELECT -1, 1, 'assistant', '{HARD}')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(coalesce(role, '') || chr(10) || coalesce(text, '') || chr(10), '' {_ORDER})) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(coalesce(text, '')) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN coalesce(text, '') ELSE '' END, '' {_ORDER})) AS loss_sha256,
+  CAST(sum({len(START) + len(END) + 2} + {_ESCAPED.format("role")} + {len(NEWLINE) - 1} * (length(coalesce(role, '')) - length(replace(coalesce(role, ''), chr(10), ''))) + {_ESCAPED.format("text")}) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""

@@ -296,3 +296,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
     )
+
+
+_SPLIT = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLE = f"""
+WITH d AS (SELECT doc_id, {_SPLIT} AS w FROM documents), b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_SPLIT} AS w FROM benchmark),
+i AS (SELECT DISTINCT item_id, array_to_string(w[s:s + {WINDOW - 1}], ' ') AS t, least(len(w), {WINDOW}) AS n FROM b, unnest(range(1, greatest(len(w) - {WINDOW - 2}, 2))) r(s) WHERE len(w) > 0),
+x AS (SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS t FROM d, (SELECT DISTINCT n FROM i), unnest(range(1, greatest(len(w) - n + 2, 1))) u(s)),
+m AS (SELECT x.doc_id, x.s, x.n, i.item_id FROM x JOIN i ON x.t = i.t AND x.n = i.n),
+h AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT DISTINCT doc_id, s, n FROM m), unnest(range(s, s + n)) u(place) GROUP BY doc_id),
+k AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM m WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN k USING (doc_id)
+"""

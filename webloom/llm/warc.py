@@ -262,3 +262,12 @@ def round_trip(pages: DataFrame, path: str | None = None) -> DataFrame:
     path = path or scratch(pages.sparkSession, "warc")
     write_archives(archive_pages(pages), path)
     return page_records(read_archives(pages.sparkSession, path), pages.schema["page_id"].dataType)
+
+
+_DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(h, {i} * 5 + 1, 5) AS INTEGER) >> {shift}) & 31), 1)"
+ORACLE = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages), g AS (SELECT html, max(page_id) AS best FROM p GROUP BY html)
+SELECT page_id, strlen(html) AS payload_bytes, {" || ".join(_DIGIT.format(i=i, shift=shift) for i in range(8) for shift in (15, 10, 5, 0))} AS payload_digest,
+  CASE WHEN best > page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN best > page_id THEN best END AS refers_to
+FROM p JOIN g USING (html)
+"""
