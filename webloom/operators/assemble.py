@@ -49,25 +49,15 @@ def words_in(text: Column) -> Column:
     return F.size(F.filter(F.split(F.trim(text), r"\s+"), lambda w: w != ""))
 
 
-def subtree_links(nodes: DataFrame) -> DataFrame:
-    """A whole node table with ``links`` and ``link_words`` below each node: differences of running sums at the subtree's ends."""
-    order = Window.partitionBy("page_id").orderBy("node_id").rowsBetween(Window.unboundedPreceding, 0)
-    link = F.col("tag") == "a"
-    run = nodes.withColumn("__links", F.sum(link.cast("int")).over(order)).withColumn("__words", F.sum(F.when(link, words_in(F.col("text"))).otherwise(0)).over(order))
-    ends = run.select("page_id", F.col("node_id").alias("last"), F.col("__links").alias("__l"), F.col("__words").alias("__w"))
-    both = run.join(ends, ["page_id", "last"])
-    return both.withColumn("links", F.col("__l") - F.col("__links")).withColumn("link_words", F.col("__w") - F.col("__words")).drop("__links", "__words", "__l", "__w")
-
-
 def link_heavy(nodes: DataFrame, links: int = 3, chars: int = 200) -> DataFrame:
     """Lists and boxes of more links than that and less text: menus without a telling name."""
-    return subtree_links(nodes).where(F.col("tag").isin("div", "ul", "ol", "li") & (F.col("links") > links) & (F.length("text") < chars))
+    return nodes.where(F.col("tag").isin("div", "ul", "ol", "li") & (F.col("links") > links) & (F.length("text") < chars))
 
 
 def dense_blocks(nodes: DataFrame, least: int = 5, share: float = 0.5) -> DataFrame:
     """(page_id, node_id, tag, words, density) of blocks with enough words of which few are links: density is the share of words outside links."""
     words = words_in(F.col("text"))
-    counted = subtree_links(nodes).where(F.col("tag").isin(*BLOCKS)).withColumn("words", words).where(F.col("words") >= least)
+    counted = nodes.where(F.col("tag").isin(*BLOCKS)).withColumn("words", words).where(F.col("words") >= least)
     density = 1 - F.col("link_words") / F.col("words")
     return counted.withColumn("density", density).where(F.col("density") >= share).select("page_id", "node_id", "tag", F.col("words").cast("long").alias("words"), "density")
 
@@ -99,6 +89,13 @@ def without_known_headings(lines: DataFrame, headings: DataFrame, doc: str = "do
     return marked.join(known, [doc, "__key"], "left_anti").select(*lines.columns)
 
 
+def without_listed_headings(lines: DataFrame, headings: str) -> DataFrame:
+    """lines less the headings that the row's own array ``headings`` has already, compared without marks and case."""
+    key = F.lower(F.trim(F.regexp_replace("line", "^#+", "")))
+    known = F.transform(headings, lambda h: F.lower(F.trim(h)))
+    return lines.where(~(F.trim("line").startswith("#") & F.array_contains(known, key))).drop(headings)
+
+
 def without_table_text(lines: DataFrame, tables: DataFrame, doc: str = "doc_id", least: int = 5) -> DataFrame:
     """lines less those of more characters than that which their page's tables (doc, text: one row a page) contain."""
     plain = lambda c: F.lower(F.regexp_replace(F.trim(c), r"\s+", " "))

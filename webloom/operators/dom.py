@@ -1,7 +1,7 @@
 """HTML pages as a flat node table: one parse a page, then relational operators over nodes.
 
 ``node_id`` numbers a page's elements in document order; a subtree is the range from node_id to ``last``; ``nav`` tells what lies
-inside navigation. Depths, flags and texts are each worked out in one pass over a page's elements, however deep. The parser closes what HTML lets authors leave open, takes any input and never raises.
+inside navigation, ``links`` and ``link_words`` count the anchors below an element and their words. Depths, flags and texts are each worked out in one pass over a page's elements, however deep. The parser closes what HTML lets authors leave open, takes any input and never raises.
 """
 
 from __future__ import annotations
@@ -115,7 +115,7 @@ def parse(html: str | None) -> Node:
     return builder.root
 
 
-NODES = "page_id long, node_id int, parent_id int, last int, depth int, tag string, attrs map<string,string>, nav boolean, own_text string, text string"
+NODES = "page_id long, node_id int, parent_id int, last int, depth int, tag string, attrs map<string,string>, nav boolean, links int, link_words int, own_text string, text string"
 _COLUMNS = [c.split()[0] for c in NODES.split(", ")]
 
 
@@ -143,6 +143,12 @@ def dom_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
                 nodes = list(parse(html).walk())
                 texts = texts_of(nodes)
                 depth, nav, gone = {0: -1}, {0: False}, {0: False}
+                links = {n.id: [0, 0] for n in nodes}
+                for node in reversed(nodes[1:]):
+                    own, up = links[node.id], links[node.parent.id]
+                    linked = node.tag == "a"
+                    up[0] += own[0] + linked
+                    up[1] += own[1] + (len(texts[node.id].split()) if linked else 0)
                 for node in nodes[1:]:
                     up = node.parent
                     depth[node.id] = depth[up.id] + 1
@@ -150,7 +156,7 @@ def dom_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
                     gone[node.id] = gone[up.id] or node.tag in hidden
                     if not gone[node.id]:
                         own = " ".join(" ".join(c for c in node.children if isinstance(c, str)).split())
-                        rows.append((page, node.id, up.id, node.last, depth[node.id], node.tag, node.attrs, nav[node.id], own, texts[node.id]))
+                        rows.append((page, node.id, up.id, node.last, depth[node.id], node.tag, node.attrs, nav[node.id], *links[node.id], own, texts[node.id]))
             yield pd.DataFrame(rows, columns=_COLUMNS)
 
     return pages.select(F.col(id_col).cast("long").alias("id"), F.col(html_col).alias("html")).mapInPandas(shred, NODES)
@@ -161,21 +167,28 @@ def in_navigation() -> Column:
     return F.col("nav")
 
 
+def _scope(over) -> Column:
+    """The page's main, else article, else body; the first of its kind. over: a window or an aggregation's identity."""
+    rank = F.when(F.col("tag") == "main", 1).when(F.col("tag") == "article", 2).when(F.col("tag") == "body", 3)
+    return over(F.min(F.when(rank.isNotNull(), F.struct(rank.alias("rank"), "node_id", "last", "tag"))))
+
+
 def main_scope(nodes: DataFrame) -> DataFrame:
     """(page_id, scope, from_id, to_id): the page's main, else article, else body, else everything; the first of its kind."""
-    rank = F.when(F.col("tag") == "main", 1).when(F.col("tag") == "article", 2).when(F.col("tag") == "body", 3)
-    first = F.min(F.when(rank.isNotNull(), F.struct(rank.alias("rank"), "node_id", "last", "tag")))
-    picked = nodes.groupBy("page_id").agg(first.alias("s"), F.max("node_id").alias("end"))
+    picked = nodes.groupBy("page_id").agg(_scope(lambda c: c).alias("s"), F.max("node_id").alias("end"))
     return picked.select("page_id", F.coalesce("s.tag", F.lit("page")).alias("scope"), F.coalesce("s.node_id", F.lit(0)).alias("from_id"), F.coalesce("s.last", "end").alias("to_id"))
 
 
 def scoped(nodes: DataFrame) -> DataFrame:
-    """Nodes inside their page's main scope."""
-    return nodes.join(main_scope(nodes), "page_id").where((F.col("node_id") > F.col("from_id")) & (F.col("node_id") <= F.col("to_id")))
+    """Nodes with their page's scope, from_id and to_id: a window, so that the pages are parsed once."""
+    page = Window.partitionBy("page_id")
+    both = nodes.withColumn("__s", _scope(lambda c: c.over(page))).withColumn("__end", F.max("node_id").over(page))
+    own = both.withColumn("scope", F.coalesce("__s.tag", F.lit("page"))).withColumn("from_id", F.coalesce("__s.node_id", F.lit(0))).withColumn("to_id", F.coalesce("__s.last", "__end"))
+    return own.drop("__s", "__end")
 
 
 def governing_heading(nodes: DataFrame) -> DataFrame:
-    """(page_id, node_id, section) of every anchor: the nearest heading of level 1 to 3 before it, else the highest ranked of
+    """Every anchor with its section: the nearest heading of level 1 to 3 before it, else the highest ranked of
     levels 4 to 6 (the nearest of equal ones), else ``External Links``. An as-of join as a window over the page's nodes."""
     order = Window.partitionBy("page_id").orderBy("node_id").rowsBetween(Window.unboundedPreceding, -1)
     level = F.when(F.col("tag").rlike("^h[1-6]$"), F.substring("tag", 2, 1).cast("int"))
@@ -183,4 +196,4 @@ def governing_heading(nodes: DataFrame) -> DataFrame:
     both = nodes.where(F.col("tag").rlike("^(a|h[1-6])$"))
     near = F.last(F.when(heading & (level <= 3), F.col("text")), ignorenulls=True).over(order)
     low = F.min(F.when(heading & (level > 3), F.struct(level.alias("l"), (-F.col("node_id")).alias("at"), "text"))).over(order)
-    return both.withColumn("section", F.coalesce(near, low["text"], F.lit("External Links"))).where("tag = 'a'").select("page_id", "node_id", "section")
+    return both.withColumn("section", F.coalesce(near, low["text"], F.lit("External Links"))).where("tag = 'a'")

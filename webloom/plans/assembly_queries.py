@@ -100,7 +100,7 @@ def visible_nodes(spark, sf_dir):
   u AS (SELECT page_id, split_part(p[i + 1], '</ul>', 1) AS part, CAST(list_sum(list_transform(p[1:i], lambda x: {page_queries.TAGS.format('x')})) + i AS INTEGER) AS node_id FROM s, range(1, len(p)) r(i))
   SELECT page_id, node_id, 'ul' AS tag, len(regexp_extract_all(part, '<a ')) AS links FROM u WHERE len(regexp_extract_all(part, '<a ')) > 3 AND length({page_queries.SAID.format('part')}) < 200""")
 def link_heavy_blocks(spark, sf_dir):
-    return assemble.link_heavy(dom.dom_nodes(_pages(spark, sf_dir))).select("page_id", "node_id", "tag", "links")
+    return assemble.link_heavy(dom.dom_nodes(_pages(spark, sf_dir))).select("page_id", "node_id", "tag", F.col("links").cast("long").alias("links"))
 
 
 _WORDS = r"len(list_filter(string_split_regex(trim({0}), '\s+'), lambda w: w <> ''))"
@@ -118,10 +118,8 @@ def dense_blocks(spark, sf_dir):
 @register("section_groups")
 def section_groups(spark, sf_dir):
     """Every link of a page under its section, sections in order."""
-    nodes = dom.dom_nodes(_pages(spark, sf_dir))
-    anchors = nodes.where("tag = 'a'").select("page_id", "node_id", "text", F.try_element_at("attrs", F.lit("href")).alias("href"))
-    links = dom.governing_heading(nodes).join(anchors, ["page_id", "node_id"]).select("page_id", "section", F.col("node_id").alias("seq"), "text", "href")
-    return assemble.grouped_links(links)
+    anchors = dom.governing_heading(dom.dom_nodes(_pages(spark, sf_dir)))
+    return assemble.grouped_links(anchors.select("page_id", "section", F.col("node_id").alias("seq"), "text", F.try_element_at("attrs", F.lit("href")).alias("href")))
 
 
 def _markdown_lines(spark, sf_dir):
@@ -138,9 +136,13 @@ def empty_sections(spark, sf_dir):
   SELECT l.page_id, line_no, line FROM l WHERE NOT (starts_with(trim(line), '#') AND EXISTS (SELECT 1 FROM i WHERE i.page_id = l.page_id AND type = 'heading' AND lower(trim(i.text)) = lower(trim(regexp_replace(line, '^#+', '')))))""")
 def heading_antijoin(spark, sf_dir):
     """Lines of each page's markdown without the headings that its node table has."""
-    nodes = dom.dom_nodes(_pages(spark, sf_dir))
-    headings = nodes.where("tag rlike '^h[1-6]$'").select("page_id", F.col("text").alias("heading"))
-    return assemble.without_known_headings(_markdown_lines(spark, sf_dir), headings, "page_id")
+
+    def both(url, root):
+        return [{"markdown": extract.markdown(url, root), "headings": [n.text() for n in root.find_all(*extract.HEADINGS)]}]
+
+    pages = extract.apply(_pages(spark, sf_dir), both, "markdown string, headings array<string>")
+    lines = pages.select("page_id", "headings", F.posexplode(F.split("markdown", "\n")).alias("line_no", "line"))
+    return assemble.without_listed_headings(lines, "headings")
 
 
 @register("linked_tables", f"WITH {page_queries.MARKDOWN} SELECT page_id, markdown FROM m")

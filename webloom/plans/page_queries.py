@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from webloom.operators import cells, cleanup, dom, extract
@@ -64,14 +65,12 @@ def main_scope(spark, sf_dir):
 @register("main_text", f"WITH {BARE} SELECT page_id, 'article' AS scope, {SAID.format("regexp_extract(h, '(?s)<article>(.*?)</article>', 1)")} AS text FROM b")
 def main_text(spark, sf_dir):
     """The text of each page's main scope."""
-    nodes = dom.dom_nodes(_pages(spark, sf_dir))
-    top = dom.main_scope(nodes)
-    return nodes.join(top, "page_id").where("node_id = from_id").select("page_id", "scope", "text")
+    return dom.scoped(dom.dom_nodes(_pages(spark, sf_dir))).where("node_id = from_id").select("page_id", "scope", "text")
 
 
 @register("link_sections", f"WITH {ANCHORS} SELECT page_id, node_id, CASE WHEN head <> '' THEN head ELSE 'External Links' END AS section FROM k")
 def link_sections(spark, sf_dir):
-    return dom.governing_heading(dom.dom_nodes(_pages(spark, sf_dir)))
+    return dom.governing_heading(dom.dom_nodes(_pages(spark, sf_dir))).select("page_id", "node_id", "section")
 
 
 @register("content_items", f"WITH {ITEMS} SELECT page_id, type, level, text, pos FROM i WHERE text <> ''")
@@ -127,8 +126,7 @@ def notebook_text(spark, sf_dir):
     from webloom.functions import text as X
 
     english = F.try_element_at("attrs", F.lit("lang")) == "en"
-    kept = nodes.where(F.col("tag").isin(tags) & ~X.has_keyword(F.col("text"))).withColumn("en", F.coalesce(english, F.lit(False)))
-    any_en = nodes.where(F.col("tag").isin(tags)).groupBy("page_id").agg(F.max(F.coalesce(english, F.lit(False))).alias("any_en"))
-    chosen = kept.join(any_en, "page_id").where("en or not any_en")
+    listed = nodes.where(F.col("tag").isin(tags)).withColumn("en", F.coalesce(english, F.lit(False)))
+    chosen = listed.withColumn("any_en", F.max("en").over(Window.partitionBy("page_id"))).where(~X.has_keyword(F.col("text")) & F.expr("en or not any_en"))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("node_id", "text"))), lambda x: x["text"])
     return chosen.groupBy("page_id").agg(F.array_join(ordered, " ").alias("text"))
