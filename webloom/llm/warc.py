@@ -36,6 +36,8 @@ FIELDS = {
     2: ["URL", "IP-address", "Archive-date", "Content-type", "Result-code", "Checksum", "Location", "Offset", "Filename", "Archive-length"],
 }
 DATE = "19970101000000"
+#: Header fields of archived pages: a page's id, and the id of the page whose payload it has.
+PAGE, SAME = "X-Page-Id", "X-Same-Payload-As"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Bytes of payloads in a row of an archive, and rows in a file.
 RUN_BYTES, RUNS = 4 << 20, 8
@@ -120,13 +122,17 @@ def record(fields: list[tuple[str, str]], block: bytes) -> bytes:
     return b"WARC/1.1\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
+def named(url: str, date: str, digest: str, own: str | None = None) -> str:
+    """A record's identifier from what tells its document from others: always the same for the same document."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, ' '.join([url, timestamp(date), digest, *([own] if own else [])]))}>"
+
+
 def identifier(fields: dict[str, str], head: bytes, entity: bytes) -> str:
-    """A record's identifier: always the same for the same document."""
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, ' '.join([fields['URL'], fields['Archive-date'], base32_sha1(entity)]))}>"
+    return named(fields["URL"], fields["Archive-date"], base32_sha1(entity), http_field(head, PAGE))
 
 
-def convert(data: bytes, name_of: Callable = identifier, refers: Callable | None = None) -> Iterator[bytes]:
-    """The WARC records of an ARC file. refers(fields, head, entity): the identifier that the record revisits, or None."""
+def convert(data: bytes, refers: Callable | None = None) -> Iterator[bytes]:
+    """The WARC records of an ARC file. refers(fields, head, entity): (identifier, URL) of the record that this one revisits, or None."""
     for i, (fields, document) in enumerate(parse_arc(data)):
         date = timestamp(fields["Archive-date"])
         if not i:
@@ -137,11 +143,11 @@ def convert(data: bytes, name_of: Callable = identifier, refers: Callable | None
         target = refers(fields, head, entity) if refers and head else None
         block = head if target else document
         kind = "revisit" if target else "response" if head else "resource"
-        own = [("WARC-Type", kind), ("WARC-Record-ID", name_of(fields, head, entity)), ("WARC-Date", date), ("WARC-Target-URI", fields["URL"]), ("WARC-Payload-Digest", f"sha1:{base32_sha1(entity)}"), ("WARC-Block-Digest", f"sha1:{base32_sha1(block)}")]
+        own = [("WARC-Type", kind), ("WARC-Record-ID", identifier(fields, head, entity)), ("WARC-Date", date), ("WARC-Target-URI", fields["URL"]), ("WARC-Payload-Digest", f"sha1:{base32_sha1(entity)}"), ("WARC-Block-Digest", f"sha1:{base32_sha1(block)}")]
         if fields["IP-address"] not in ("0.0.0.0", "-"):
             own.append(("WARC-IP-Address", fields["IP-address"]))
         if target:
-            own += [("WARC-Refers-To", target), ("WARC-Profile", REVISIT)]
+            own += [("WARC-Refers-To", target[0]), ("WARC-Refers-To-Target-URI", target[1]), ("WARC-Profile", REVISIT)]
         yield record([*own, ("Content-Type", "application/http; msgtype=response" if head else fields["Content-type"])], block)
 
 
@@ -202,29 +208,28 @@ def convert_archives(arcs: DataFrame, content_col: str = "content") -> DataFrame
     return arcs.select(F.col(content_col).cast("binary")).mapInArrow(run, "run binary")
 
 
-def page_id_of(fields, head, entity) -> str:
-    return f"<urn:x-page:{http_field(head, 'X-Page-Id')}>"
-
-
 def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
     """(run): one WARC record for each page by way of ARC files, in runs of about ``RUN_BYTES``; versions of ARC take turns."""
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
-    named = source.withColumn("sha", F.sha1(F.col("payload").cast("binary")))
-    again = named.groupBy("sha").agg(F.max("id").alias("best"), F.count("*").alias("n")).where("n > 1").select("sha", "best")
-    rows = named.join(again, "sha", "left").select(F.col("id").cast("string").alias("id"), "url", "payload", F.when(F.col("best") > F.col("id"), F.col("best")).cast("string").alias("to"))
+    hashed = source.withColumn("sha", F.sha1(F.col("payload").cast("binary")))
+    last = F.max(F.struct("id", "url")).alias("best")
+    again = hashed.groupBy("sha").agg(last, F.count("*").alias("n")).where("n > 1").select("sha", "best")
+    revisits = F.col("best.id") > F.col("id")
+    rows = hashed.join(again, "sha", "left").select(F.col("id").cast("string").alias("id"), "url", "payload", F.when(revisits, F.col("best.id")).cast("string").alias("to"), F.when(revisits, F.col("best.url")).alias("there"))
 
     def run(batches):
         turn = 0
         for batch in batches:
             for part in slices(batch, "payload", RUN_BYTES):
                 documents, targets = [], []
-                for i, url, payload, target in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), utf8(part.column(2)), part.column(3).to_pylist(), strict=True):
-                    head = f"HTTP/1.0 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Page-Id: {'' if i is None else i}\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+                for i, url, payload, to, there in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), utf8(part.column(2)), part.column(3).to_pylist(), part.column(4).to_pylist(), strict=True):
+                    same = "" if to is None else f"{SAME}: {to}\r\n"
+                    head = f"HTTP/1.0 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{PAGE}: {'' if i is None else i}\r\n{same}Content-Length: {len(payload)}\r\n\r\n".encode()
                     documents.append((safe_url(url), DATE, "text/html", head + payload))
-                    targets.append(f"<urn:x-page:{target}>" if target is not None else None)
+                    targets.append(None if to is None else (named(safe_url(there), DATE, base32_sha1(payload), to), safe_url(there)))
                 turn += 1
                 legacy = arc_file(f"pages-{turn:05d}.arc", 1 + turn % 2, documents)
-                records = convert(legacy, page_id_of, lambda fields, head, entity, each=iter(targets): next(each))
+                records = convert(legacy, lambda fields, head, entity, each=iter(targets): next(each))
                 yield pa.RecordBatch.from_arrays([pa.array([b"".join(gzip.compress(r, 1, mtime=0) for r in records)], pa.binary())], ["run"])
 
     return rows.mapInArrow(run, "run binary")
@@ -235,8 +240,6 @@ READ = "payload_bytes long, payload_digest string, record_type string"
 
 def page_records(archives: DataFrame, id_type: T.DataType) -> DataFrame:
     """What archives of pages hold: (page_id, payload_bytes, payload_digest, record_type, refers_to)."""
-    number = lambda x: x.removeprefix("<urn:x-page:").removesuffix(">") or None if x else None
-
     def run(batches):
         for batch in batches:
             for data in batch.column(0).to_pylist():
@@ -247,9 +250,12 @@ def page_records(archives: DataFrame, id_type: T.DataType) -> DataFrame:
                     head, entity = split_http(block)
                     revisit = fields["WARC-Type"] == "revisit"
                     digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
+                    own, same = http_field(head, PAGE) or None, http_field(head, SAME) if revisit else None
                     if not revisit and base32_sha1(entity) != digest:
                         raise ValueError(f"digest of {fields['WARC-Record-ID']}")
-                    out.append((number(fields["WARC-Record-ID"]), int(http_field(head, "Content-Length")) if revisit else len(entity), digest, fields["WARC-Type"], number(fields.get("WARC-Refers-To"))))
+                    if named(fields["WARC-Target-URI"], fields["WARC-Date"], digest, own) != fields["WARC-Record-ID"] or (revisit and named(fields["WARC-Refers-To-Target-URI"], DATE, digest, same) != fields["WARC-Refers-To"]):
+                        raise ValueError(f"identifiers of {fields['WARC-Record-ID']}")
+                    out.append((own, int(http_field(head, "Content-Length")) if revisit else len(entity), digest, fields["WARC-Type"], same))
                 kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
