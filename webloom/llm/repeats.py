@@ -40,7 +40,7 @@ PIECE, REMEMBERED = 1 << 18, 100_000
 #: Different stretches of an anchor that a task sends to the anchor's group; stretches of an anchor that are sorted in one task.
 LOCAL, HOT = 8, 2048
 #: Bytes of stretches sorted at once.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 _MASK = (1 << 64) - 1
 _LOW = np.uint64((1 << 24) - 1)
 
