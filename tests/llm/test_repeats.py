@@ -77,6 +77,27 @@ def test_a_passage_among_many_different_neighbours(spark, monkeypatch, hot, loca
     assert rows_of(repeats.repeats_digest(df)) == expected(rows)
 
 
+@pytest.mark.parametrize(("hot", "local", "seed"), [(3, 1, 0), (3, 2, 1), (10_000, 1, 2), (10_000, 2, 3), (5, 8, 4)])
+def test_copies_and_parts_of_a_common_passage(spark, monkeypatch, hot, local, seed):
+    """Stretches of one anchor that come once, again in the same task, and again in parts only."""
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "LOCAL", local)
+    draw = np.random.default_rng(seed)
+    word = lambda n: " ".join("".join(draw.choice(list("etaoinshrd"), 5)) for _ in range(n))
+    passage, before, after = word(40), [word(12) for _ in range(6)], [word(12) for _ in range(6)]
+    rows = []
+    for i in range(90):
+        a, b = int(draw.integers(0, 60)), int(draw.integers(0, 60))
+        rows.append((i, f"{draw.choice(before)[a:]} {passage} {draw.choice(after)[:b]}" if draw.random() < 0.7 else rows[int(draw.integers(0, i))][1] if i else passage))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).checkpoint()
+    got = {(r["doc_id"], str([(s["start"], s["stop"]) for s in r["repeat_spans"]])) for r in repeats.repeats(df, length=60).collect()}
+    want = set()
+    for (i, _), m in zip(rows, covered([t.encode() for _, t in rows], 60), strict=True):
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], m.astype(int), [0]])))
+        want.add((i, str(list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)))))
+    assert got == want
+
+
 def test_a_text_of_many_pieces(spark, monkeypatch):
     monkeypatch.setattr(repeats, "PIECE", 5000)
     draw = np.random.default_rng(6)

@@ -157,10 +157,11 @@ RUNS = "kind int, spread long, key long, one long, two long, k1 long, k2 long, f
 
 
 def _runs_of(length: int, gram: int):
-    """Runs of every row. Kinds 0 to 2 as above; 3: not the only one of its anchor, and to be sorted as it is."""
+    """Runs of every row. Kinds 0 to 2 as above; 3: not the only one of its anchor, and to be sorted as it is. A stretch that was
+    sent so and comes again is sorted once more, so that the first finds it."""
 
     def run(batches):
-        merged_runs, stretches = _Merged(), {}
+        merged_runs, stretches, sent = _Merged(), {}, set()
         for batch in batches:
             for part in slices(batch, "text", 4 * PIECE):
                 k1, k2 = part.column(0).to_numpy(), part.column(1).to_numpy()
@@ -179,10 +180,13 @@ def _runs_of(length: int, gram: int):
                         n = stretches[k] = stretches.get(k, 0) + 1
                         if n > LOCAL:
                             kind[i] = 3
-                    if len(stretches) > REMEMBERED:
-                        stretches.clear()
-                    take = np.concatenate([np.arange(len(key)), np.array(again, np.int64)])
-                    kind = np.concatenate([kind, np.full(len(again), 2, np.int32)])
+                            sent.add((int(one[i]), int(two[i])))
+                    witness = [i for i in again if (int(one[i]), int(two[i])) in sent]
+                    for seen in (stretches, sent):
+                        if len(seen) > REMEMBERED:
+                            seen.clear()
+                    take = np.concatenate([np.arange(len(key)), np.array(again, np.int64), np.array(witness, np.int64)])
+                    kind = np.concatenate([kind, np.full(len(again), 2, np.int32), np.full(len(witness), 3, np.int32)])
                     a, b = k1[row[take]], k2[row[take]]
                     digits = [x[take].view(np.int64) for x in (key, one, two)]
                     spread = np.where((kind == 1) | (kind == 3), a, digits[0])
@@ -235,12 +239,13 @@ def _grouped(batches):
         done, sent = np.flatnonzero(kind == 1), np.flatnonzero(kind == 3)
         open_ = np.flatnonzero((kind == 0) | (kind == 2))
         _, group, n_key = np.unique(key[open_], return_inverse=True, return_counts=True)
-        _, same, n_whole = np.unique(_pair(one[open_], two[open_]), return_inverse=True, return_counts=True)
+        _, first_of, same, n_whole = np.unique(_pair(one[open_], two[open_]), return_index=True, return_inverse=True, return_counts=True)
         again = n_whole[same] > 1
         own = kind[open_] == 0
         known = np.concatenate([done, open_[own & again]])
-        doubt = own & ~again & (n_key[group] > 1)
-        doubted = np.zeros(len(n_key), bool)
+        # Where a task may have sent stretches straight to the sort, what is here is held against them, too.
+        doubted = np.bincount(group[first_of], minlength=len(n_key)) >= LOCAL
+        doubt = own & ~again & (doubted | (n_key > 1))[group]
         doubted[group[doubt]] = True
         # One of each stretch that is settled itself is a witness: others are held against it.
         witness = np.flatnonzero(own & again & doubted[group])
