@@ -356,6 +356,17 @@ def _bucket_edges(radius: int, short: int = 8):
     return lean(run)
 
 
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) with the components of these: every node to its smallest neighbour below it, and that one to the others.
+
+    The tables give a node no more than a bounded number of neighbours each, so its list is bounded, too; the neighbours of a
+    large group's rows are the same few, so that hardly more than an edge a row is left of an edge a row and table."""
+    near = edges.groupBy("b").agg(F.array_sort(F.collect_set("a")).alias("near"))
+    first = F.get("near", F.lit(0)).alias("a")
+    each = F.transform("near", lambda x, i: F.struct(first, F.when(i == 0, F.col("b")).otherwise(x).alias("b")))
+    return near.select(F.explode(each).alias("e")).select("e.a", "e.b").distinct()
+
+
 def _similar(rows: np.ndarray, sets: list[np.ndarray], radius: int, similarity: float) -> list[tuple[int, int]]:
     """Edges (row numbers) of a spanning forest of the sets that have the Jaccard similarity; rows beyond the radius aren't compared."""
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
@@ -513,8 +524,8 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *batch.columns], ["key", "ref", *names])
 
     keyed = distinct.select("ref", *names).mapInArrow(lean(banded), "key long, ref long, " + ", ".join(f"{n} long" for n in names))
-    candidates = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_bucket_edges(radius), "a long, b long").distinct()
-    groups = components(candidates, "a", "b")
+    candidates = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_bucket_edges(radius), "a long, b long")
+    groups = components(_contracted(candidates), "a", "b")
     members = distinct.join(groups, distinct.ref == groups.node).select("ref", "root", "n", "text_key")
     nodes = similar_nodes(source.select("text", "text_key"), members, words, radius, similarity)
     rooted = distinct.join(nodes, distinct.ref == nodes.node, "left").select("ref", "least", F.coalesce("root", "ref").alias("root"))
