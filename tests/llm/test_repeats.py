@@ -45,6 +45,7 @@ def test_the_query_over_the_table(spark, sf_dir):
 def test_random_texts_of_few_letters(spark, seed, monkeypatch):
     monkeypatch.setattr(repeats, "PIECE", 700)
     monkeypatch.setattr(repeats, "GROUP_BYTES", 2000)
+    monkeypatch.setattr(repeats, "SUFFIXES", 100)
     draw = np.random.default_rng(seed)
     parts = ["".join(draw.choice(list("abé"), int(draw.integers(5, 60)))) for _ in range(6)]
     rows = [(int(draw.integers(0, 15)), "".join(draw.choice(parts, int(draw.integers(0, 30))))) for _ in range(25)]

@@ -28,6 +28,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,8 +39,9 @@ LENGTH, GRAM = 400, 48
 #: Bytes hashed at once; anchor stretches that a task remembers in order to merge copies.
 PIECE, REMEMBERED = 1 << 18, 100_000
 #: Different stretches of an anchor that a task sends to the anchor's group; stretches of an anchor that are sorted in one task.
-LOCAL, HOT = 8, 2048
-#: Bytes of stretches sorted at once.
+LOCAL, HOT = 8, 1024
+#: Suffixes sorted at once, but for a group of more; bytes of stretches that are held for it.
+SUFFIXES = 1 << 17
 GROUP_BYTES = 1 << 20
 _MASK = (1 << 64) - 1
 _LOW = np.uint64((1 << 24) - 1)
@@ -356,7 +358,16 @@ def _resolved(length: int):
                 yield pa.RecordBatch.from_arrays([pa.array(x[hit]) for x in (k1, k2, first, last)], ["k1", "k2", "first", "last"])
         if not (whole := np.flatnonzero(kind < 0)).size:
             return
-        table = table.take(pa.array(whole)).combine_chunks()
+        spread, sizes = table.column(1).to_numpy()[whole], pc.binary_length(table.column(8)).to_numpy(zero_copy_only=False)[whole].astype(np.int64)
+        group = np.flatnonzero(np.concatenate([[True], spread[1:] != spread[:-1]]))
+        suffixes = np.concatenate([[0], np.cumsum(sizes - length + 1)])
+        start = 0
+        for stop in [*group[1:].tolist(), len(whole)]:  # whole groups, until there are enough suffixes to sort at once
+            if suffixes[stop] - suffixes[start] >= SUFFIXES or stop == len(whole):
+                yield from sort(table.take(pa.array(whole[start:stop])))
+                start = stop
+
+    def sort(table):
         stretches = table.column(8).to_pylist()
         sizes = np.fromiter(map(len, stretches), np.int64, len(stretches))
         base = np.concatenate([[0], np.cumsum(sizes)[:-1]])
