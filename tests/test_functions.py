@@ -48,6 +48,12 @@ def test_text_rules(spark):
     assert values(spark, ["a [](x) ![](y)"], X.empty_link_free(F.col("x"))) == ["a  ![](y)"]
 
 
+def test_places_are_not_trimmed(spark):
+    """An element that begins or ends with its own place's digits keeps them; spaces around it go."""
+    assert values(spark, ["0 a.  1 b.\n28.5 c2.  4191 d3. "], X.sentences(F.col("x"))) == [["0 a.", "1 b.", "28.5 c2.", "4191 d3."]]
+    assert values(spark, ["Answer: 0\n 1 \n2x2"], X.answer(F.col("x"))) == ["0\n1\n2x2"]
+
+
 def test_repeated_lines(spark):
     rows = [(1, 0, "mail a@b.org"), (1, 1, "again a@b.org"), (1, 2, "[c@d.org](mailto:c@d.org)"), (2, 0, "a@b.org")]
     df = spark.createDataFrame(rows, "doc_id long, line_no int, line string")
