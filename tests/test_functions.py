@@ -82,6 +82,14 @@ def test_pages_of_every_kind():
         extract.markdown("https://a.org", dom.parse(html))
 
 
+def test_references_that_were_cut_stay():
+    root = dom.parse('<h1>A &amp; B&amp &am</h1><p id="&lt;&amp">&lt;&#39;&#x41;&quot;&copy;&copy &notit; &</p><script>a && b &amp;</script>')
+    assert [n.text() for n in root.find_all("h1", "p")] == ["A & B&amp &am", "<'A\"\u00a9&copy &notit; &"]
+    assert root.find_all("p")[0].attrs == {"id": "<&amp"} and root.find_all("script")[0].children == ["a && b &amp;"]
+    assert dom.parse("&quot;&amp;&#39;\ufdd0", ("amp;",)).text() == "&quot;&&#39;\ufdd0"
+    assert dom.parse("\ufdd0").text() == "\ufdd0"
+
+
 def test_final_cleanup():
     lines = ["# Source URL", "", "https://a.org", "", "", "", "", "text", "5 mm", "## Empty", "| a |" * 12, "Privacy Policy", "Name", "", "", "", "end aB"]
     kept = [x for _, x in cleanup.clean_lines(lines)]
