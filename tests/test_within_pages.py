@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from webloom.functions import plain
 from webloom.functions import text as X
-from webloom.operators import dedup
+from webloom.operators import batches, dedup, dom
 from webloom.plans import catalog
 
 ODD = [
@@ -41,3 +41,14 @@ def test_texts_inside_others():
 def test_no_line_is_moved(spark, sf_dir, name):
     """A document's lines are searched where its row stands: pieces, words and texts of lines aren't shuffled."""
     assert "Exchange" not in catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_frames_are_sent_before_the_next_is_made(spark):
+    """However many pages come in at once, a stage holds a bounded number of result rows and characters."""
+    made = []
+    rows = ((made.append(i), "x" * 1000)[1:] for i in range(100_000))
+    sizes = [(len(f), len(made)) for f, _ in zip(batches.frames(rows, ["t"]), range(3), strict=False)]
+    assert sizes == [(4000, 4000), (4000, 8000), (4000, 12000)]
+    assert [len(f) for f in batches.frames(((i,) for i in range(25_000)), ["n"])] == [10_000, 10_000, 5000] and list(batches.frames([], ["n"])) == []
+    pages = spark.range(3000).select(F.col("id").alias("page_id"), F.lit("<p>" * 10).alias("html")).repartition(1)
+    assert dom.dom_nodes(pages).groupBy("page_id").count().where("count = 10").count() == 3000
