@@ -1,5 +1,7 @@
 """Searches within a page: plain text rules against the column expressions, blocks against whole texts, and plans that move no lines."""
 
+from difflib import SequenceMatcher
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -37,12 +39,28 @@ def test_texts_inside_others():
         assert sorted(dedup.contained(texts)) == sorted((i, j) for i, s in enumerate(texts) for j, t in enumerate(texts) if len(s) < len(t) and s in t)
 
 
-@pytest.mark.parametrize("name", ["similar_lines", "similar_blocks", "contained_lines", "alike_lines", "repeated_lines", "repeated_sentences", "repeated_sentences_all", "repetition_union"])
+@pytest.mark.parametrize("name", ["similar_lines", "similar_blocks", "contained_lines", "alike_lines", "repeated_lines", "repeated_sentences", "repeated_sentences_all", "repetition_union", "leader_dedup"])
 def test_no_line_is_moved(spark, sf_dir, name):
     """A document's lines are searched where its row stands: pieces, words and texts of lines aren't shuffled."""
     assert "Exchange" not in catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_leaders_are_those_of_a_plain_loop():
+    draw = np.random.default_rng(8)
+    base = ["".join(draw.choice(list("abcde fgé"), n)) for n in (3, 12, 40, 90, 250, 400)]
+    page = []
+    for n in range(150):
+        text = list(str(draw.choice(base)))
+        for _ in range(int(draw.integers(0, 1 + len(text) // 6))):
+            text[int(draw.integers(0, len(text)))] = str(draw.choice(list("ABx")))
+        page.append((n, "".join(text)))
+    kept = []
+    for key, text in page:
+        if not any(SequenceMatcher(None, text.strip().lower(), t.strip().lower()).ratio() > 0.9 for _, t in kept):
+            kept.append((key, text))
+    assert 20 < len(kept) < 130 and list(dedup.leaders(page)) == kept
+
+
 def test_frames_are_sent_before_the_next_is_made(spark):
     """However many pages come in at once, a stage holds a bounded number of result rows and characters."""
     made = []
